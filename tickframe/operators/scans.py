@@ -32,9 +32,11 @@ def _part_state(
     d: DataFrame, keys: Sequence[str], splits: Splits, aggs: list[Column], states: list[Column]
 ):
     """Per (hot key, part): state of all earlier parts. Rows: at most the number of parts."""
-    hot = splits.table(d.sparkSession)
-    pairs = [(k, f"__k{i}") for i, k in enumerate(keys)]
-    rows = d.join(F.broadcast(hot), null_safe(d, hot, pairs), "left_semi")
+    rows = d
+    if keys:
+        hot = splits.table(d.sparkSession)
+        pairs = [(k, f"__k{i}") for i, k in enumerate(keys)]
+        rows = d.join(F.broadcast(hot), null_safe(d, hot, pairs), "left_semi")
     per_part = rows.groupBy(*keys, P1, P2).agg(*aggs)
     before = (
         Window.partitionBy(*keys).orderBy(P1, P2).rowsBetween(Window.unboundedPreceding, -1)

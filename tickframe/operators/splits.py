@@ -33,7 +33,7 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     return cond
 
 
-def _rank(bounds: Column, v: Column, n_max: int, strict: bool) -> Column:
+def rank_in(bounds: Column, v: Column, n_max: int, strict: bool) -> Column:
     """How many sorted bounds are < v (strict) or <= v, by binary search."""
     steps = [1 << k for k in reversed(range(max(1, n_max.bit_length())))]
 
@@ -92,17 +92,22 @@ class Splits:
         Inside a heavy value, one that fills several quantiles, the second level follows the
         tie column when second-level bounds exist (order kept), else ``spread`` (order free).
         """
-        t = self.table(df.sparkSession)
-        pairs = [(k, f"__k{i}") for i, k in enumerate(keys)]
-        j = df.join(
-            F.broadcast(t), null_safe(df, t, pairs), "inner" if hot_only else "left"
-        )
-        b, v = F.col("__bounds"), F.col(pos)
-        j = j.withColumn("__le", _rank(b, v, self.longest, strict=False))
+        if keys:
+            t = self.table(df.sparkSession)
+            pairs = [(k, f"__k{i}") for i, k in enumerate(keys)]
+            j = df.join(
+                F.broadcast(t), null_safe(df, t, pairs), "inner" if hot_only else "left"
+            )
+            b = F.col("__bounds")
+        else:
+            j = df
+            b = F.array(*[F.lit(x) for x in self.rows[0][1]]).cast(T.ArrayType(self.pos_type))
+        v = F.col(pos)
+        j = j.withColumn("__le", rank_in(b, v, self.longest, strict=False))
         j = j.withColumn(
             "__lt",
             F.when(
-                F.get(b, F.col("__le") - 1) == v, _rank(b, v, self.longest, strict=True)
+                F.get(b, F.col("__le") - 1) == v, rank_in(b, v, self.longest, strict=True)
             ).otherwise(F.col("__le")),
         )
         mult = F.col("__le") - F.col("__lt")

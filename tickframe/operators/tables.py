@@ -138,7 +138,7 @@ def zip_positions(df: DataFrame, names: str, values: str, out: Sequence[str]) ->
     rest = [c for c in df.columns if c not in (names, values)]
     d = df.select(*rest, F.posexplode(both).alias("pos", "__z"))
     return d.select(
-        *rest, "pos", F.col(f"__z.`{names}`").alias(out[0]), F.col(f"__z.`{values}`").alias(out[1])
+        *rest, "pos", F.col("__z.`0`").alias(out[0]), F.col("__z.`1`").alias(out[1])
     )
 
 
