@@ -1 +1,221 @@
-"""To be filled."""
+"""Tables written and read back: partitions, incremental compute, files, compaction."""
+
+from __future__ import annotations
+
+import datetime as dt
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from registry.base import BAR_COLS_ROUNDED, BARS10_SQL, M10, query, table, ticks, tk_sql
+from registry.curves import CURVE_SQL, _input
+from tickframe.functions.times import micros
+from tickframe.operators.curves import CurveStore
+from tickframe.plans.dataset import DateTable, bar_table
+from tickframe.session import scratch_path
+from tickframe.sinks.compaction import audit_files, compact, file_parts
+from tickframe.sinks.files import children, rename
+from tickframe.sinks.tables import cached_result, write_partitioned, write_table
+from tickframe.sources.listing import pairs_on_disk
+from tickframe.sources.trades import read_futures_csv, read_spot_csv, read_table
+
+FROM, TO = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
+
+
+@query(
+    "table_by_date",
+    f"WITH {tk_sql()} SELECT date, symbol, time, trade_id, price FROM tk "
+    "WHERE date IN (DATE '2024-01-05', DATE '2024-01-12')",
+)
+def table_by_date(spark, sf):
+    path = scratch_path(spark, "by-date")
+    write_partitioned(ticks(spark, sf), path)
+    return read_table(spark, path, [FROM, TO]).select(
+        "date", "symbol", "time", "trade_id", "price"
+    )
+
+
+@query(
+    "table_by_peg_and_date",
+    f"WITH {tk_sql()} SELECT CASE WHEN trade_id % 2 = 0 THEN 'USDT' ELSE 'USDC' END AS "
+    "peg_symbol, date, count(*) AS n FROM tk GROUP BY 1, 2",
+)
+def table_by_peg_and_date(spark, sf):
+    path = scratch_path(spark, "by-peg")
+    peg = F.when(F.col("trade_id") % 2 == 0, "USDT").otherwise("USDC")
+    write_partitioned(ticks(spark, sf).withColumn("peg_symbol", peg), path, ["peg_symbol", "date"])
+    return read_table(spark, path).groupBy("peg_symbol", "date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "inventory",
+    f"WITH {tk_sql('user_id')} SELECT DISTINCT symbol, date FROM tk",
+)
+def inventory(spark, sf):
+    path = scratch_path(spark, "inventory")
+    t = ticks(spark, sf, "user_id")
+    write_partitioned(t, path)
+    cached = t.where("day(date) <= 10").select("symbol", "date").distinct()
+    return pairs_on_disk(spark.read.parquet(path), cached)
+
+
+@query(
+    "partition_validity",
+    f"WITH {tk_sql()} SELECT date, (day(date) % 4 <> 0) AS ok FROM tk GROUP BY date",
+)
+def partition_validity(spark, sf):
+    path = scratch_path(spark, "validity")
+    t = ticks(spark, sf)
+    write_partitioned(t.where("day(date) % 4 <> 0"), path)
+    return DateTable(spark, path, t.select("symbol", "date")).check()
+
+
+@query("bars_incremental", f"WITH {BARS10_SQL} SELECT {BAR_COLS_ROUNDED} FROM bars")
+def bars_incremental(spark, sf):
+    t = ticks(spark, sf)
+    path = scratch_path(spark, "bars")
+    b = bar_table(spark, t, t.select("symbol", "date"), path, M10, id_bits=32)
+    b.compute([d for d in b.partitions() if d.day <= 10], days_per_batch=6)
+    b.compute(days_per_batch=30)
+    return b[None].select(*[c.split(" AS ")[-1].strip() for c in _names(BAR_COLS_ROUNDED)])
+
+
+def _names(sql: str) -> list[str]:
+    depth, out, cur = 0, [], ""
+    for ch in sql:
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and depth == 0:
+            out.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    return [*out, cur]
+
+
+@query(
+    "csv_spot",
+    "SELECT event_id AS trade_id, round(value, 6) AS price, "
+    "CAST(1 + event_id % 7 AS DOUBLE) AS quantity, "
+    "date_trunc('millisecond', ts) AS time, event_id % 2 = 0 AS is_buyer_maker FROM events",
+)
+def csv_spot(spark, sf):
+    path = scratch_path(spark, "csv-spot")
+    ms = F.floor(micros("time") / 1000).cast("long")
+    ticks(spark, sf).select(
+        "trade_id", "price", "quantity", "quote_quantity", ms.alias("time"), "is_buyer_maker",
+        F.lit(True).alias("is_best_match"),
+    ).write.option("header", False).option("compression", "gzip").csv(path)
+    return read_spot_csv(spark, path).select(
+        "trade_id", "price", "quantity", "time", "is_buyer_maker"
+    )
+
+
+@query(
+    "csv_futures",
+    "SELECT event_id AS trade_id, round(value, 6) AS price, "
+    "CAST(1 + event_id % 7 AS DOUBLE) AS quantity, round(value * (1 + event_id % 7), 6) AS "
+    "quote_quantity, date_trunc('millisecond', ts) AS time, event_id % 2 = 0 AS is_buyer_maker "
+    "FROM events",
+)
+def csv_futures(spark, sf):
+    path = scratch_path(spark, "csv-futures")
+    ms = F.floor(micros("time") / 1000).cast("long")
+    ticks(spark, sf).select(
+        F.col("trade_id").alias("id"), "price", F.col("quantity").alias("qty"),
+        F.col("quote_quantity").alias("quote_qty"), ms.alias("time"), "is_buyer_maker",
+    ).write.option("header", True).csv(path)
+    return read_futures_csv(spark, path)
+
+
+@query(
+    "result_cache",
+    "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag",
+)
+def result_cache(spark, sf):
+    root = scratch_path(spark, "cache")
+
+    @cached_result(spark, root, version=2)
+    def flags():
+        return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+
+    flags()
+    return flags()
+
+
+@query(
+    "file_audit",
+    f"WITH {tk_sql()} SELECT CAST(date AS VARCHAR) AS date, true AS ok, count(*) AS n_rows FROM tk GROUP BY date",
+)
+def file_audit(spark, sf):
+    path = scratch_path(spark, "audit")
+    write_partitioned(ticks(spark, sf), path)
+    files = read_table(spark, path).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return audit_files(files).groupBy("date", "ok").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query(
+    "file_names",
+    """SELECT event_id, 'trades' AS kind, event_type AS symbol,
+  date_trunc('second', ts) AS file_time FROM events""",
+)
+def file_names(spark, sf):
+    p = F.concat(
+        F.lit("/live/trades/"), "event_type", F.lit("_"),
+        F.date_format("ts", "yy-MM-dd HH:mm:ss"), F.lit(".pq"),
+    )
+    return table(spark, sf, "events").select("event_id", file_parts(p).alias("f")).select(
+        "event_id", "f.*"
+    )
+
+
+@query(
+    "compacted",
+    f"""WITH {tk_sql()}, w AS (SELECT *, (day(date) - 1) // 7 AS week FROM tk),
+n AS (SELECT symbol, max(week) AS newest FROM w GROUP BY symbol)
+SELECT w.symbol, w.date, w.time, w.trade_id, w.price FROM w JOIN n USING (symbol)
+WHERE week < newest""",
+)
+def compacted(spark, sf):
+    source, target = scratch_path(spark, "small"), scratch_path(spark, "merged")
+    week = F.floor((F.day("date") - 1) / 7)
+    (
+        ticks(spark, sf).select("symbol", "time", "trade_id", "price", week.alias("week"),
+                                F.col("symbol").alias("s"))
+        .drop("symbol").repartition("s", "week").write.partitionBy("s", "week")
+        .parquet(f"{source}-parts")
+    )
+    # give the files the feed recorder's names: <symbol>_<time>.pq
+    _mkdir(spark, f"{source}/trades")
+    for s in children(spark, f"{source}-parts"):
+        for w in children(spark, f"{source}-parts/{s}") if s.startswith("s=") else []:
+            folder = f"{source}-parts/{s}/{w}"
+            for i, f in enumerate(n for n in children(spark, folder) if n.endswith(".parquet")):
+                stamp = f"24-01-{1 + int(w.split('=')[1]) * 7:02d} 00-00-{i:02d}"
+                rename(spark, f"{folder}/{f}", f"{source}/trades/{s.split('=')[1]}_{stamp}.pq")
+    compact(spark, source, target)
+    return spark.read.parquet(target).select("symbol", "date", "time", "trade_id", "price")
+
+
+def _mkdir(spark, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+@query(
+    "curve_stored",
+    "WITH lineitem AS (SELECT * FROM lineitem WHERE l_quantity >= 10 AND l_quantity <= 40), "
+    + CURVE_SQL
+    + " SELECT l_extendedprice, l_quantity, l_discount, tie, round(weight_norm, 6) AS weight_norm,"
+    " round(l_discount_cumsum, 6) AS l_discount_cumsum FROM c",
+)
+def curve_stored(spark, sf):
+    path = scratch_path(spark, "curves")
+    d = _input(spark, sf)
+    store = CurveStore.create(d, path, ["l_discount", "tie"], ["l_extendedprice"], "l_quantity")
+    store.set_range("l_quantity", 10.0, 40.0)
+    again = CurveStore(spark, path)
+    again.options.accum = ["l_discount"]
+    curve, _ = again.curves("tie")["l_extendedprice"]
+    return curve

@@ -265,19 +265,14 @@ def map_symbols(spark, sf):
 
 @query(
     "zip_positions",
-    """WITH o AS (SELECT l_orderkey, list(l_partkey ORDER BY l_partkey, l_quantity, l_suppkey, l_linenumber, l_extendedprice) AS p,
-  list(l_quantity ORDER BY l_partkey, l_quantity, l_suppkey, l_linenumber, l_extendedprice) AS q FROM lineitem GROUP BY 1)
-SELECT l_orderkey, CAST(i - 1 AS INTEGER) AS pos, p[i] AS name, q[i] AS ctx
-FROM (SELECT *, unnest(range(1, least(len(p), len(q) - 1) + 1)) AS i FROM o)""",
+    """WITH o AS (SELECT p_partkey, string_split(p_name, ' ') AS p, string_split(p_type, '_') AS q
+  FROM part)
+SELECT p_partkey, CAST(i - 1 AS INTEGER) AS pos, p[i] AS name, q[i] AS ctx
+FROM (SELECT *, unnest(range(1, least(len(p), len(q)) + 1)) AS i FROM o)""",
 )
 def zipped(spark, sf):
-    item = F.struct("l_partkey", "l_quantity", "l_suppkey", "l_linenumber", "l_extendedprice")
-    o = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(item)).alias("items")
-    )
-    o = o.select(
-        "l_orderkey", F.col("items.l_partkey").alias("p"),
-        F.slice("items.l_quantity", 1, F.size("items") - 1).alias("q"),
+    o = table(spark, sf, "part").select(
+        "p_partkey", F.split("p_name", " ").alias("p"), F.split("p_type", "_").alias("q")
     )
     return zip_positions(o, "p", "q", ("name", "ctx"))
 

@@ -58,11 +58,17 @@ def time_bars(
     the day it covers. First and last follow (time, tie)."""
     kept = ["symbol", "date", "peg_symbol", "price", "quantity", "is_buyer_maker"]
     g = _grid(trades, every, time, tie, id_bits, kept)
+    edge = F.col("__bar") + (F.lit(to_us(every)) if label == "right" else F.lit(0))
+    bars = g.groupBy("symbol", "date", "peg_symbol", "__bar").agg(*bar_measures())
+    return bar_columns(bars.withColumn("time", from_micros(edge)))
+
+
+def bar_measures() -> list[Column]:
+    """Aggregates of one bar over price, quantity, is_buyer_maker, __us and __ord."""
     p, q = F.col("price"), F.col("quantity")
     buy = F.when(F.col("is_buyer_maker"), F.lit(0.0)).otherwise(q)
     sell = F.when(F.col("is_buyer_maker"), q).otherwise(F.lit(0.0))
-    edge = F.col("__bar") + (F.lit(to_us(every)) if label == "right" else F.lit(0))
-    bars = g.groupBy("symbol", "date", "peg_symbol", "__bar").agg(
+    return [
         F.min_by(p, "__ord").alias("open"),
         F.max(p).alias("high"),
         F.min(p).alias("low"),
@@ -75,9 +81,12 @@ def time_bars(
         _weighted(p, buy).alias("vwap_taker_buy"),
         _weighted(p, sell).alias("vwap_taker_sell"),
         _weighted(p, q).alias("vwap_price"),
-    )
+    ]
+
+
+def bar_columns(bars: DataFrame) -> DataFrame:
     return bars.select(
-        "symbol", "date", from_micros(edge).alias("time"), "peg_symbol",
+        "symbol", "date", "time", "peg_symbol",
         "open", "high", "low", "close", "volume", "trade_count",
         from_micros("__last").alias("last_event_time"),
         "taker_buy_volume", "taker_sell_volume",
