@@ -30,8 +30,7 @@ def bars_10m(spark, sf):
     + f" SELECT {BAR_COLS_ROUNDED.replace(', 6)', f' + {OFF_TIE}, 6)')} FROM bars",
 )
 def bars_1d_trades(spark, sf):
-    tie = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return off_tie(time_bars(lots(spark, sf), timedelta(days=1), tie=tie))
+    return off_tie(time_bars(lots(spark, sf), timedelta(days=1), tie=("lot_id",)))
 
 
 @query(

@@ -11,6 +11,8 @@ from tickframe import prepare
 from tickframe.operators.asof import asof_splits
 from tickframe.operators.bars import time_bars
 from tickframe.operators.splits import Splits
+from tickframe.session import scratch_path
+from tickframe.sinks.tables import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +69,13 @@ def ticks(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataF
     )
 
 
+# The four identity columns as one ordered number.
+LOT_ID = (
+    "((CAST(l_orderkey AS DECIMAL(13)) * 10 + l_linenumber) * 10000000 + l_partkey) * 10000000 "
+    "+ l_suppkey"
+)
+
+
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as trades: many equal times, a four-column trade identity."""
     li = table(spark, sf_dir, "lineitem")
@@ -81,7 +90,7 @@ def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("quote_quantity"),
         (F.col("l_linenumber") % 2 == 0).alias("is_buyer_maker"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        "l_discount", "l_extendedprice",
+        "l_discount", "l_extendedprice", F.expr(LOT_ID).alias("lot_id"),
     )
 
 
@@ -89,6 +98,15 @@ def bars10(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> Data
     return time_bars(ticks(spark, sf_dir, symbol), M10, id_bits=32)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once, read many: what several steps build on is a table, as in production."""
+    return write_table(df, scratch_path(df.sparkSession, name))
+
+
+def stored_bars10(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataFrame:
+    return stored(bars10(spark, sf_dir, symbol), "bars")
+
+
 def tick_splits(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> Splits:
     """Hot symbols of the raw ticks; reused by everything derived from them."""
     return asof_splits(ticks(spark, sf_dir, symbol), ["symbol"], "time")

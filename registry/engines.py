@@ -6,7 +6,9 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from registry.base import BARS10_SQL, M10, bars10, query, rounds, tick_splits, ticks, tk_sql
+from registry.base import (
+    BARS10_SQL, M10, bars10, query, stored, stored_bars10, tick_splits, ticks, tk_sql,
+)
 from tickframe.functions.numbers import ratio
 from tickframe.operators.asof import asof_join
 from tickframe.operators.bars import time_bars
@@ -89,7 +91,7 @@ SELECT symbol, time, round(return_x, 6) AS "return",
   max_tick_to_query_lag_x AS max_tick_to_query_lag FROM ret""",
 )
 def returns_single(spark, sf):
-    b = bars10(spark, sf)
+    b = stored_bars10(spark, sf)
     r = Returns(b, splits=tick_splits(spark, sf))
     return r.query(
         b.select("symbol", "time"), timedelta(0), M10, tolerance=MIN30,
@@ -103,7 +105,7 @@ def returns_single(spark, sf):
 SELECT symbol, time, {_mark_cols(FIVE)} FROM ret""",
 )
 def returns_batch(spark, sf):
-    b = bars10(spark, sf)
+    b = stored_bars10(spark, sf)
     return Returns(b, splits=tick_splits(spark, sf)).query_batch(
         b.select("symbol", "time"), {n: mark(n) for n in FIVE}, tolerance=MIN30,
         row_key=["symbol", "time"],
@@ -135,7 +137,7 @@ SELECT symbol, time, trade_id,
 def returns_unknown_symbol(spark, sf):
     t = ticks(spark, sf).select("symbol", "time", "trade_id")
     q = t.unionByName(t.where("symbol = 'click'").withColumn("symbol", F.lit("nobody")))
-    return Returns(bars10(spark, sf), splits=tick_splits(spark, sf)).query(
+    return Returns(stored_bars10(spark, sf), splits=tick_splits(spark, sf)).query(
         q, F.col("time"), timedelta(hours=1), tolerance=timedelta(hours=1),
         append_query_tick_times=True, append_start_end_fairs=True,
     )
@@ -229,7 +231,7 @@ def _rounded_meta(prefix: str = "") -> str:
 def _meta(spark, sf) -> Metadata:
     t = ticks(spark, sf)
     return Metadata(
-        bars10(spark, sf), t.select("symbol", "date").distinct(),
+        stored_bars10(spark, sf), t.select("symbol", "date").distinct(),
         splits=tick_splits(spark, sf),
     )
 
@@ -359,10 +361,10 @@ SELECT br.symbol, br.date, br.time, br.close, {_mark_cols(ALL)}, {_rounded_meta(
 FROM br ASOF LEFT JOIN meta ON br.symbol = meta.symbol AND br.time >= meta.time""",
 )
 def research(spark, sf):
-    fine = time_bars(ticks(spark, sf), timedelta(seconds=5), id_bits=32)
-    index = bars10(spark, sf).select("symbol", "date", "time", "close")
+    fine = stored(time_bars(ticks(spark, sf), timedelta(seconds=5), id_bits=32), "fine-bars")
     m = _meta(spark, sf)
-    meta = m.compute().drop("date", "last_event_time")
+    index = m.bars.select("symbol", "date", "time", "close")
+    meta = stored(m.compute().drop("date", "last_event_time"), "metadata")
     meta = meta.select(
         "symbol", "time",
         *[F.round(f.name, 3).alias(f.name) if f.dataType.typeName() == "double" else f.name

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tickframe.functions.times import from_micros, micros, to_us
 from tickframe.operators.splits import P1, P2, Splits, measure_splits, null_safe
@@ -16,11 +16,18 @@ def order_position(us, is_query: bool):
     return us * F.lit(2) + F.lit(1 if is_query else 0)
 
 
+def time_us(df: DataFrame, name: str) -> Column:
+    """Microseconds of a time column; a bigint column already holds them."""
+    if isinstance(df.schema[name].dataType, T.LongType):
+        return F.col(name)
+    return micros(name)
+
+
 def asof_splits(
     df: DataFrame, by: Sequence[str], on: str, **kw
 ) -> Splits:
     """Splits for the as-of join, measured on one side (the larger one is the useful choice)."""
-    return measure_splits(df, by, order_position(micros(on), False), **kw)
+    return measure_splits(df, by, order_position(time_us(df, on), False), **kw)
 
 
 def asof_join(
@@ -42,7 +49,7 @@ def asof_join(
 
     Every left row is kept. ``values`` that are older than ``tolerance`` become NULL; the
     matched time (``time_as``) and the lag in microseconds (``lag_as``) are reported anyway.
-    ``tie`` orders right rows of equal time; None means by all values, () declares them unique.
+    Times may be timestamps or bigint microseconds. ``tie`` orders right rows of equal time; None means by all values, () declares them unique.
 
     Plan: one union, one shuffle on (key, part), one running ``last`` per partition. Hot keys
     are cut by ``splits``; the state entering a part comes from a broadcast table of one row
@@ -57,18 +64,18 @@ def asof_join(
 
     keys = [f"__b{i}" for i in range(len(left_by))]
     tick = F.struct(
-        micros(right_on).alias("us"),
+        time_us(right, right_on).alias("us"),
         *[F.col(c).alias(f"t{i}") for i, c in enumerate(tie)],
         *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)],
     )
     ticks = right.where(F.col(right_on).isNotNull()).select(
         *[F.col(c).alias(k) for c, k in zip(right_by, keys)],
-        order_position(micros(right_on), False).alias("__pos"),
+        order_position(time_us(right, right_on), False).alias("__pos"),
         tick.alias("__tick"),
     )
     queries = left.select(
         *[F.col(c).alias(k) for c, k in zip(left_by, keys)],
-        order_position(micros(left_on), True).alias("__pos"),
+        order_position(time_us(left, left_on), True).alias("__pos"),
         F.struct(*[F.col(c) for c in left.columns]).alias("__row"),
     )
     both = ticks.unionByName(queries, allowMissingColumns=True)
@@ -98,7 +105,9 @@ def asof_join(
     out = [F.col(f"__row.`{c}`").alias(c) for c in left.columns]
     out += [F.when(fresh, F.col(f"__m.v{i}")).alias(names[v]) for i, v in enumerate(values)]
     if time_as:
-        out.append(from_micros(F.col("__m.us")).alias(time_as))
+        whole = isinstance(right.schema[right_on].dataType, T.LongType)
+        us = F.col("__m.us")
+        out.append((us if whole else from_micros(us)).alias(time_as))
     if lag_as:
         out.append((us_left - F.col("__m.us")).alias(lag_as))
     return found.select(*out)

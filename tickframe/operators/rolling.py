@@ -149,12 +149,10 @@ def _sums_split(d, keys, time, parts, periods, splits) -> DataFrame:
         {f"__r{i}": F.col(i) for i in parts},
         splits=splits,
     )
-    ticks = ends.select(
-        *keys, from_micros("__us").alias("__tt"), *[f"__r{i}" for i in parts]
-    )
+    ticks = ends.select(*keys, F.col("__us").alias("__tt"), *[f"__r{i}" for i in parts])
     out = d
     for tag, back in [("__n", 1)] + [(f"__o{k}", to_us(p) + 1) for k, p in enumerate(periods)]:
-        q = out.withColumn("__qt", from_micros(F.col("__us") - F.lit(back)))
+        q = out.withColumn("__qt", F.col("__us") - F.lit(back))
         out = asof_join(
             q, ticks.select(*keys, "__tt", *[F.col(f"__r{i}").alias(f"{tag}{i}") for i in parts]),
             "__qt", "__tt", keys, tie=(), splits=splits,

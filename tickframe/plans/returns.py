@@ -38,7 +38,7 @@ class Returns:
         self.ticks = backend.select(
             "symbol",
             *(["date"] if self.has_date else []),
-            as_col(tick_time).alias("tick_time"),
+            micros(tick_time).alias("tick_us"),
             as_col(fair).cast("double").alias("fair"),
         )
         self.unique = unique
@@ -125,15 +125,13 @@ class Returns:
                 F.array(*[F.col(b) + F.lit(o).cast("long") for b, o in points])
             ).alias("__i", "__q"),
         ).where(F.col("symbol").isNotNull() & F.col("__q").isNotNull())
-        exploded = exploded.withColumn("__qt", from_micros("__q"))
 
         ticks = self._pruned(q, points, dates, tolerance, strict_date_pruning)
         m = asof_join(
-            exploded, ticks.select("symbol", "tick_time", "fair"), "__qt", "tick_time",
+            exploded, ticks.select("symbol", "tick_us", "fair"), "__q", "tick_us",
             ["symbol"], tolerance=tolerance, values=["fair"],
-            tie=() if self.unique else None, time_as="__tt", splits=self.splits,
+            tie=() if self.unique else None, time_as="__tu", splits=self.splits,
         )
-        m = m.withColumn("__tu", micros("__tt"))
         aggs = []
         for i in range(len(points)):
             here = F.col("__i") == i

@@ -30,34 +30,42 @@ def _received(df: DataFrame) -> Column:
 
 def envelope(df: DataFrame, text: str = "value") -> DataFrame:
     """channel, data (JSON text) and received_time of each message."""
-    e = df.select(_received(df), F.from_json(text, ENVELOPE_JSON).alias("e"))
-    return e.select("received_time", F.col("e.channel").alias("channel"), F.col("e.data").alias("data"))
+    return df.select(_received(df), F.json_tuple(text, "channel", "data").alias("channel", "data"))
+
+
+def _parsed(df: DataFrame, keep: list, text: str, schema: str) -> DataFrame:
+    """Fields of one JSON object as columns.
+
+    The generator keeps the optimizer from copying the parse into every filter and field that
+    uses it, so each message is parsed once.
+    """
+    return df.select(*keep, F.inline(F.array(F.from_json(text, schema))))
 
 
 def _channel(df: DataFrame, text: str, channel: str, schema: str) -> DataFrame:
     e = envelope(df, text).where(F.col("channel") == channel)
-    return e.select("received_time", F.from_json("data", schema).alias("d"))
+    return _parsed(e, ["received_time"], "data", schema)
 
 
 def trades(df: DataFrame, text: str = "value") -> DataFrame:
     """All trades of each message, each with its own symbol."""
-    d = _channel(df, text, TRADES, TRADES_JSON)
-    t = d.select("received_time", F.explode("d").alias("t"))
+    e = envelope(df, text).where(F.col("channel") == TRADES)
+    t = e.select("received_time", F.inline(F.from_json("data", TRADES_JSON)))
     return t.select(
-        F.col("t.coin").alias("symbol"), "received_time", F.col("t.tid").alias("trade_id"),
-        parse_number("t.px").alias("price"), parse_number("t.sz").alias("size"),
-        F.timestamp_millis("t.time").alias("trade_time"),
-        (F.col("t.side") == "B").alias("is_buy"),
+        F.col("coin").alias("symbol"), "received_time", F.col("tid").alias("trade_id"),
+        parse_number("px").alias("price"), parse_number("sz").alias("size"),
+        F.timestamp_millis("time").alias("trade_time"),
+        (F.col("side") == "B").alias("is_buy"),
     )
 
 
 def best_quotes(df: DataFrame, text: str = "value") -> DataFrame:
     """Best bid and offer; a side the message lacks gives NULLs."""
     d = _channel(df, text, BBO, BBO_JSON)
-    bid, ask = F.get("d.bbo", F.lit(0)), F.get("d.bbo", F.lit(1))
+    bid, ask = F.get("bbo", F.lit(0)), F.get("bbo", F.lit(1))
     return d.select(
-        F.col("d.coin").alias("symbol"), "received_time",
-        F.timestamp_millis("d.time").alias("time"),
+        F.col("coin").alias("symbol"), "received_time",
+        F.timestamp_millis("time").alias("time"),
         parse_number(bid["px"]).alias("bid_price"), parse_number(bid["sz"]).alias("bid_size"),
         bid["n"].alias("bid_orders"),
         parse_number(ask["px"]).alias("ask_price"), parse_number(ask["sz"]).alias("ask_size"),
@@ -85,22 +93,22 @@ def _levels(side: Column) -> Column:
 
 def books(df: DataFrame, text: str = "value") -> DataFrame:
     """Book snapshots with nested level arrays; two sides required."""
-    d = _channel(df, text, BOOK, BOOK_JSON).where(F.size("d.levels") == 2)
+    d = _channel(df, text, BOOK, BOOK_JSON).where(F.size("levels") == 2)
     return d.select(
-        F.col("d.coin").alias("symbol"), "received_time",
-        F.timestamp_millis("d.time").alias("time"),
-        _levels(F.get("d.levels", F.lit(0))).alias("bid_levels"),
-        _levels(F.get("d.levels", F.lit(1))).alias("ask_levels"),
+        F.col("coin").alias("symbol"), "received_time",
+        F.timestamp_millis("time").alias("time"),
+        _levels(F.get("levels", F.lit(0))).alias("bid_levels"),
+        _levels(F.get("levels", F.lit(1))).alias("ask_levels"),
     )
 
 
 def books_flat(df: DataFrame, text: str = "value") -> DataFrame:
     """One row per level with its depth and the cumulative size of its side."""
-    d = _channel(df, text, BOOK, BOOK_JSON).where(F.size("d.levels") == 2)
+    d = _channel(df, text, BOOK, BOOK_JSON).where(F.size("levels") == 2)
     return flat_levels(
         d.select(
-            F.col("d.coin").alias("symbol"), "received_time",
-            F.timestamp_millis("d.time").alias("time"), F.col("d.levels").alias("levels"),
+            F.col("coin").alias("symbol"), "received_time",
+            F.timestamp_millis("time").alias("time"), F.col("levels").alias("levels"),
         )
     )
 
@@ -138,31 +146,31 @@ def top_levels(df: DataFrame, k: int = 3) -> DataFrame:
 def perp_contexts(df: DataFrame, text: str = "value") -> DataFrame:
     d = _channel(df, text, PERP_CONTEXT, PERP_CONTEXT_JSON)
     return d.select(
-        F.col("d.coin").alias("symbol"), "received_time",
-        parse_number("d.ctx.markPx").alias("mark_price"),
-        parse_number("d.ctx.midPx").alias("mid_price"),
-        parse_number("d.ctx.funding").alias("funding_rate"),
-        parse_number("d.ctx.openInterest").alias("open_interest"),
-        parse_number("d.ctx.dayNtlVlm").alias("day_volume"),
-        parse_number("d.ctx.oraclePx").alias("oracle_price"),
+        F.col("coin").alias("symbol"), "received_time",
+        parse_number("ctx.markPx").alias("mark_price"),
+        parse_number("ctx.midPx").alias("mid_price"),
+        parse_number("ctx.funding").alias("funding_rate"),
+        parse_number("ctx.openInterest").alias("open_interest"),
+        parse_number("ctx.dayNtlVlm").alias("day_volume"),
+        parse_number("ctx.oraclePx").alias("oracle_price"),
     )
 
 
 def spot_contexts(df: DataFrame, text: str = "value") -> DataFrame:
     d = _channel(df, text, SPOT_CONTEXT, SPOT_CONTEXT_JSON)
     return d.select(
-        F.col("d.coin").alias("symbol"), "received_time",
-        parse_number("d.ctx.markPx").alias("mark_price"),
-        parse_number("d.ctx.midPx").alias("mid_price"),
-        parse_number("d.ctx.dayNtlVlm").alias("day_volume"),
-        parse_number("d.ctx.circulatingSupply").alias("circulating_supply"),
-        parse_number("d.ctx.totalSupply").alias("total_supply"),
+        F.col("coin").alias("symbol"), "received_time",
+        parse_number("ctx.markPx").alias("mark_price"),
+        parse_number("ctx.midPx").alias("mid_price"),
+        parse_number("ctx.dayNtlVlm").alias("day_volume"),
+        parse_number("ctx.circulatingSupply").alias("circulating_supply"),
+        parse_number("ctx.totalSupply").alias("total_supply"),
     )
 
 
 def mids(df: DataFrame, text: str = "value") -> DataFrame:
     d = _channel(df, text, MIDS, MIDS_JSON)
-    return d.select("received_time", F.explode("d.mids").alias("symbol", "px")).select(
+    return d.select("received_time", F.explode("mids").alias("symbol", "px")).select(
         "symbol", "received_time", parse_number("px").alias("price")
     )
 
@@ -226,10 +234,10 @@ def depth_diffs(df: DataFrame, text: str = "value") -> DataFrame:
 
 def depth_snapshots(df: DataFrame, text: str = "value") -> DataFrame:
     keep = [c for c in ("symbol",) if c in df.columns]
-    d = df.select(*keep, _received(df), F.from_json(text, SHORT_DEPTH_JSON).alias("d"))
+    d = _parsed(df, [*keep, _received(df)], text, SHORT_DEPTH_JSON)
     return d.select(
-        *keep, "received_time", F.col("d.lastUpdateId").alias("last_update_id"),
-        _pairs("d.bids").alias("bids"), _pairs("d.asks").alias("asks"),
+        *keep, "received_time", F.col("lastUpdateId").alias("last_update_id"),
+        _pairs("bids").alias("bids"), _pairs("asks").alias("asks"),
     )
 
 
