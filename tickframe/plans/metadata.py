@@ -108,13 +108,15 @@ class Metadata:
     def snapshot(self, rolled: DataFrame, time: str, names: list[str], dates) -> DataFrame:
         """Last rolling row per symbol and grid interval, labelled with the interval's end.
 
-        ``dates`` is inclusive: grid times run from the first date to the end of the last.
+        ``dates`` is inclusive and names the partitions of the output: a snapshot belongs to
+        the date of the rows it sums up, so its label runs from after the first midnight to the
+        midnight that ends the last date, and no row falls into a partition not asked for.
         """
         s = last_per_interval(rolled, ["symbol"], time, self.grid_interval, "grid_time")
         if dates:
             g = F.col("grid_time").cast("timestamp")
             lo, hi = (F.lit(d).cast("timestamp") for d in (dates[0], dates[1] + DAY))
-            s = s.where((g >= lo) & (g < hi))
+            s = s.where((g > lo) & (g <= hi))
         return s.select("symbol", "grid_time", *names)
 
     def compute(self, dates: tuple[date, date] | None = None) -> DataFrame:

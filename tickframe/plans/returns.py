@@ -145,6 +145,7 @@ class Returns:
                 for i in range(len(points))
             ]
         wide = m.groupBy(*[F.col(c).alias(f"__id{k}") for k, c in enumerate(ids)]).agg(*aggs)
+        # joined on the whole key, so a hot symbol's rows spread over all tasks again
         j = q.join(
             wide, null_safe(q, wide, [(c, f"__id{k}") for k, c in enumerate(ids)]), "left"
         )
