@@ -285,7 +285,9 @@ class QuantileTransform(Step):
         from tickframe.functions.numbers import probit
 
         x = F.col(c).cast("double")
-        u = F.when(x.isNotNull(), position_between(self.stats[c]["knots"])(x))
+        # Arrow hands NaN back as NULL, so missing values bypass the function
+        there = x.isNotNull() & ~F.isnan(x)
+        u = F.when(there, position_between(self.stats[c]["knots"])(x)).otherwise(x)
         if self.method == "uniform":
             return u
         if self.clip:
