@@ -12,6 +12,7 @@ from registry.base import (
 from tickframe.functions.numbers import ratio
 from tickframe.operators.asof import asof_join
 from tickframe.operators.bars import time_bars
+from tickframe.operators.quantiles import IN_TASK_ROWS
 from tickframe.operators.ranks import rank_columns
 from tickframe.operators.rolling import last_per_interval, rolling, rolling_frame, total
 from tickframe.operators.scans import forward_fill, running_sums
@@ -116,7 +117,7 @@ def returns_batch(spark, sf):
     "returns_unknown_symbol",
     f"""WITH {BARS10_SQL}, q AS (
   SELECT symbol, time, trade_id FROM tk
-  UNION ALL SELECT 'nobody' AS symbol, time, trade_id FROM tk WHERE symbol = 'click'),
+  UNION ALL SELECT 'click_none' AS symbol, time, trade_id FROM tk WHERE symbol = 'click'),
 s AS (SELECT q.*, q.time AS st, b.last_event_time AS stt,
         CASE WHEN b.last_event_time + INTERVAL '1 hour' >= q.time THEN b.vwap_price END AS sf
       FROM q ASOF LEFT JOIN bars b ON q.symbol = b.symbol AND q.time >= b.last_event_time),
@@ -126,8 +127,8 @@ e AS (SELECT s.*, s.time + INTERVAL '1 hour' AS et, b.last_event_time AS ett,
       FROM s ASOF LEFT JOIN bars b
         ON s.symbol = b.symbol AND s.time + INTERVAL '1 hour' >= b.last_event_time)
 SELECT symbol, time, trade_id,
-  CASE WHEN symbol <> 'nobody' THEN st END AS start_query_time,
-  CASE WHEN symbol <> 'nobody' THEN et END AS end_query_time,
+  CASE WHEN symbol <> 'click_none' THEN st END AS start_query_time,
+  CASE WHEN symbol <> 'click_none' THEN et END AS end_query_time,
   stt AS start_tick_time, ett AS end_tick_time,
   greatest(epoch_us(st) - epoch_us(stt), epoch_us(et) - epoch_us(ett))
     AS max_tick_to_query_lag,
@@ -136,7 +137,7 @@ SELECT symbol, time, trade_id,
 )
 def returns_unknown_symbol(spark, sf):
     t = ticks(spark, sf).select("symbol", "time", "trade_id")
-    q = t.unionByName(t.where("symbol = 'click'").withColumn("symbol", F.lit("nobody")))
+    q = t.unionByName(t.where("symbol = 'click'").withColumn("symbol", F.concat("symbol", F.lit("_none"))))
     return Returns(stored_bars10(spark, sf), splits=tick_splits(spark, sf)).query(
         q, F.col("time"), timedelta(hours=1), tolerance=timedelta(hours=1),
         append_query_tick_times=True, append_start_end_fairs=True,
@@ -301,7 +302,7 @@ def rolling_any_aggregate(spark, sf):
 def snapshot_hourly(spark, sf):
     m = Metadata(bars10(spark, sf), ticks(spark, sf), splits=tick_splits(spark, sf))
     s = last_per_interval(
-        m.rolling_bars(), ["symbol"], "last_event_time", timedelta(hours=1), "grid_time"
+        m.rolling_bars(), ["symbol"], "last_event_time", timedelta(hours=1), "grid_time", m.splits
     )
     return s.select("symbol", "grid_time", "last_event_time", "liquidity_1d", "trade_count_7d")
 
@@ -318,7 +319,7 @@ def xs_rank(spark, sf):
     v = ticks(spark, sf, "user_id").groupBy("symbol", F.col("date").alias("grid_time")).agg(
         F.when(F.count(F.lit(1)) > 1, F.sum("quantity")).alias("volume")
     )
-    return rank_columns(v, ["volume"], ["grid_time"])
+    return rank_columns(v, ["volume"], ["grid_time"], in_task_rows=IN_TASK_ROWS)
 
 
 @query(

@@ -11,6 +11,7 @@ from tickframe.functions.times import micros
 from tickframe.operators.asof import asof_splits
 from tickframe.operators.curves import dependence_curve
 from tickframe.operators.quantiles import exact_quantiles
+from tickframe.operators.ranks import rank_columns
 from tickframe.operators.rolling import (
     filled, last_per_interval, mean, rolling, rolling_frame, sample_std, total,
 )
@@ -107,6 +108,20 @@ def test_last_per_interval(frame):
     }
 
 
+def test_last_per_interval_with_hot_keys(data):
+    one = data.dropDuplicates(["symbol", "time"]).select("symbol", "time", "trade_id", "price").cache()
+    args = (one, ["symbol"], "time", timedelta(hours=1), "grid")
+    cut = asof_splits(one, ["symbol"], "time", min_rows=25)
+    assert cut.active and same(last_per_interval(*args), last_per_interval(*args, splits=cut))
+
+
+def test_rank_by_counts_equals_window(data):
+    d = data.select("symbol", "trade_id", F.round("price", -1).alias("v"), "x")
+    plain = rank_columns(d, ["v", "x"], ["symbol"])
+    spread = rank_columns(d, ["v", "x"], ["symbol"], in_task_rows=20)
+    assert same(plain.select(spread.columns), spread) and spread.count() == d.count()
+
+
 @pytest.mark.parametrize("method", ["linear", "lower", "nearest"])
 def test_distributed_quantiles_equal_in_task(spark, sf, method):
     d = table(spark, sf, "lineitem").select("l_extendedprice", "l_discount").withColumn(

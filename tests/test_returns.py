@@ -1,9 +1,11 @@
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from registry.base import bars10
+from tickframe.operators.asof import asof_splits
 from tickframe.plans.metadata import Metadata
 from tickframe.plans.research import DEFAULT_MARKS, default_marks, mark
 from tickframe.plans.returns import Returns
@@ -111,3 +113,27 @@ def test_last_date_of_a_batch_is_kept(bars):
     full = Metadata(bars, uni).compute().where(F.col("date") == F.lit(d))
     cols = ["symbol", "time", "trade_count_7d", "vol_ssize_30d_lookback", "liquidity_1d_q"]
     assert same(one.select(cols), full.select(cols))
+
+
+def test_hot_symbol_plan_equals_plain_plan(spark, sf, bars):
+    """Returns and metadata with every symbol cut into parts."""
+    uni = bars.select("symbol", "date").distinct()
+    cut = asof_splits(bars, ["symbol"], "last_event_time", min_rows=30)
+    assert cut.active
+    q = bars.select("symbol", "time")
+    marks = {n: mark(n) for n in ("now_to_p10m", "m1d_to_now")}
+    assert same(
+        Returns(bars).query_batch(q, marks, tolerance=60 * M),
+        Returns(bars, splits=cut).query_batch(q, marks, tolerance=60 * M),
+    )
+    d = date(2024, 1, 20)
+    key = ["symbol", "time"]
+    pair = [
+        Metadata(bars, uni, splits=s).compute((d, d)).toPandas().set_index(key).sort_index()
+        for s in (None, cut)
+    ]
+    assert len(pair[0]) == len(pair[1]) > 0
+    for c in pair[0].columns.drop(["date", "last_event_time"]):
+        np.testing.assert_allclose(
+            pair[1][c].astype(float), pair[0][c].astype(float), rtol=1e-8, atol=1e-8, err_msg=c
+        )

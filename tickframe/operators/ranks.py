@@ -7,6 +7,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickframe.functions.times import as_col
+from tickframe.operators.scans import running_sums
+from tickframe.operators.splits import measure_splits, null_safe
+from tickframe.session import scratch_path
+from tickframe.sinks.tables import write_table
 
 
 def average_rank_share(value: str, by: Sequence[str]) -> Column:
@@ -24,11 +28,44 @@ def average_rank_share(value: str, by: Sequence[str]) -> Column:
 
 
 def rank_columns(
-    df: DataFrame, values: Sequence[str], by: Sequence[str], suffix: str = "_q"
+    df: DataFrame, values: Sequence[str], by: Sequence[str], suffix: str = "_q",
+    in_task_rows: int | None = None,
 ) -> DataFrame:
+    """Append the rank share of every value.
+
+    A cross-section is sorted in one task. That is safe when its size is bounded (symbols at
+    one time); otherwise give ``in_task_rows``: sections are then measured, and if one is
+    larger the ranks come from distributed running counts instead.
+    """
+    if in_task_rows is not None:
+        largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if largest is not None and largest > in_task_rows:
+            return _ranks_by_counts(df, values, by, suffix, in_task_rows)
     return df.select("*", *[average_rank_share(v, by).alias(v + suffix) for v in values])
 
 
+def _ranks_by_counts(df, values, by, suffix, in_task_rows) -> DataFrame:
+    """Ranks out of running value counts: equal values share one row, sections are split."""
+    out = df
+    for v in values:
+        counts = (
+            df.where(F.col(v).isNotNull())
+            .groupBy(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(by)], F.col(v).alias("__v"))
+            .agg(F.count(F.lit(1)).alias("__n"))
+        )
+        counts = write_table(counts, scratch_path(df.sparkSession, "rank-counts"))
+        ks = [f"__b{i}" for i in range(len(by))]
+        splits = measure_splits(counts, ks, F.col("__v"), min_rows=in_task_rows)
+        cum = running_sums(counts, ks, F.col("__v"), {"__hi": F.col("__n")}, splits=splits)
+        total = counts.groupBy(*[F.col(k).alias(f"{k}t") for k in ks]).agg(F.sum("__n").alias("__all"))
+        cum = cum.join(total, null_safe(cum, total, [(k, f"{k}t") for k in ks]))
+        share = (2 * F.col("__hi") - F.col("__n") + 1).cast("double") / 2.0 / F.col("__all")
+        r = cum.select(*ks, "__v", share.alias(v + suffix))
+        on = null_safe(out, r, list(zip(by, ks))) & (out[v] == r["__v"])
+        out = out.join(r, on, "left").drop(*ks, "__v")
+    return out
+
+
 def top_n(
     df: DataFrame,
     volume: str,

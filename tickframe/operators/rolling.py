@@ -198,17 +198,27 @@ def rolling_frame(
 
 
 def last_per_interval(
-    df: DataFrame, keys: Sequence[str], time: str, every: timedelta, out: str
+    df: DataFrame, keys: Sequence[str], time: str, every: timedelta, out: str,
+    splits: Splits | None = None,
 ) -> DataFrame:
     """Last row of each (key, interval), labelled with the interval's end.
 
     A row is the last one when the next row of the key falls into another interval, so the
-    partitioning and sort of a preceding rolling window are reused.
+    partitioning and sort of a preceding rolling window are reused. With hot keys the same is
+    an aggregation per (key, interval), which has a map-side part and no per-key task.
     """
     every_us = F.lit(to_us(every))
-    grid = micros(time) - F.pmod(micros(time), every_us)
-    w = Window.partitionBy(*keys).orderBy("__us")
-    d = df.withColumn("__us", micros(time)).withColumn("__g", grid)
-    d = d.withColumn("__next", F.lead("__g").over(w))
-    d = d.where(F.col("__next").isNull() | (F.col("__next") != F.col("__g")))
-    return d.withColumn(out, from_micros(F.col("__g") + every_us)).drop("__us", "__g", "__next")
+    d = df.withColumn("__us", micros(time))
+    d = d.withColumn("__g", F.col("__us") - F.pmod(F.col("__us"), every_us))
+    if splits is not None and splits.active:
+        rest = [c for c in df.columns if c not in keys]
+        row = F.struct(*[F.col(c) for c in rest])
+        last = F.max_by(row, F.struct(F.col("__us"), row)).alias("__r")
+        d = d.groupBy(*keys, "__g").agg(last).select(
+            *[F.col(c) if c in keys else F.col(f"__r.`{c}`").alias(c) for c in df.columns], "__g"
+        )
+    else:
+        w = Window.partitionBy(*keys).orderBy("__us")
+        d = d.withColumn("__next", F.lead("__g").over(w))
+        d = d.where(F.col("__next").isNull() | (F.col("__next") != F.col("__g")))
+    return d.withColumn(out, from_micros(F.col("__g") + every_us)).select(*df.columns, out)

@@ -112,7 +112,9 @@ class Metadata:
         the date of the rows it sums up, so its label runs from after the first midnight to the
         midnight that ends the last date, and no row falls into a partition not asked for.
         """
-        s = last_per_interval(rolled, ["symbol"], time, self.grid_interval, "grid_time")
+        s = last_per_interval(
+            rolled, ["symbol"], time, self.grid_interval, "grid_time", self.splits
+        )
         if dates:
             g = F.col("grid_time").cast("timestamp")
             lo, hi = (F.lit(d).cast("timestamp") for d in (dates[0], dates[1] + DAY))
