@@ -24,6 +24,8 @@ class Step:
     """One fit / transform step over a set of columns."""
 
     needs_fit = False
+    # True when fitting on a table already does what transforming that table would do
+    fit_is_transform = False
 
     def __init__(self) -> None:
         self.stats: dict[str, dict] = {}
@@ -67,6 +69,15 @@ class Step:
     def fit_transform(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
         return self.fit(df, cols).transform(df, cols)
 
+    # -- shared by the steps that need quantiles
+    def _quantiles(self, df, cols, probs, method="linear") -> dict[str, list[float | None]]:
+        sizes = {c: self.stats[c]["present"] for c in cols}
+        return exact_quantiles(df, cols, probs, method, sizes=sizes)
+
+
+def _present(c: str) -> dict[str, Column]:
+    return {"present": F.count(drop_nan(c))}
+
 
 def fit_together(df: DataFrame, work: list[tuple[Step, list[str]]]) -> None:
     """Fit several steps on one table: all scalar statistics come from one aggregation."""
@@ -95,10 +106,13 @@ class FillMissing(Step):
         self.value = value
         self.needs_fit = value == "median"
 
+    def stat_columns(self, c):
+        return _present(c) if self.needs_fit else {}
+
     def fit_more(self, df, cols):
         if self.value != "median":
             return
-        med = exact_quantiles(df, cols, [0.5], method="lower")
+        med = self._quantiles(df, cols, [0.5], method="lower")
         for c in cols:
             if med[c][0] is None:
                 raise ValueError(f"feature {c} has no value to take a median of")
@@ -191,9 +205,12 @@ class ClipQuantiles(Step):
         super().__init__()
         self.lo, self.hi = lo, hi
 
+    def stat_columns(self, c):
+        return _present(c)
+
     def fit_more(self, df, cols):
         probs = [p for p in (self.lo, self.hi) if p is not None]
-        q = exact_quantiles(df, cols, probs)
+        q = self._quantiles(df, cols, probs)
         for c in cols:
             got = dict(zip(probs, q[c]))
             self.stats[c] = {"lo": got.get(self.lo), "hi": got.get(self.hi)}
@@ -225,6 +242,8 @@ class Log(Step):
 class RaiseNonFinite(Step):
     """Stop with counts when NaN (or NULL) or infinite values are present."""
 
+    fit_is_transform = True
+
     def __init__(self, on_missing: bool = True, on_inf: bool = True) -> None:
         super().__init__()
         self.on_missing, self.on_inf = on_missing, on_inf
@@ -270,14 +289,17 @@ class QuantileTransform(Step):
         self.method, self.n, self.clip = method, n_quantiles, output_clip
         self.subsample, self.seed = subsample, seed
 
+    def stat_columns(self, c):
+        return _present(c)
+
     def fit_more(self, df, cols):
-        d = df
-        if self.subsample is not None:
-            rows = df.count()
-            if rows > self.subsample:
-                d = df.sample(fraction=self.subsample / rows, seed=self.seed)
         probs = [i / (self.n - 1) for i in range(self.n)]
-        q = exact_quantiles(d.select(*cols), cols, probs)
+        rows = max(self.stats[c]["present"] for c in cols)
+        if self.subsample is not None and rows > self.subsample:
+            some = df.select(*cols).sample(fraction=self.subsample / rows, seed=self.seed)
+            q = exact_quantiles(some, cols, probs)
+        else:
+            q = self._quantiles(df, cols, probs)
         for c in cols:
             self.stats[c] = {"knots": q[c]}
 
@@ -415,9 +437,12 @@ class FeatureGroups:
                 for p, steps in self.steps.items()
                 if i < len(steps) and self.groups[p]
             ]
-            fit_together(df, [(s, c) for s, c in level if refit or not s.fitted])
+            fresh = [(s, c) for s, c in level if refit or not s.fitted]
+            fit_together(df, fresh)
+            done = {id(s) for s, _ in fresh if s.fit_is_transform}
             for s, c in level:
-                df = s.transform(df, c)
+                if id(s) not in done:
+                    df = s.transform(df, c)
         return df
 
     def transform(self, df: DataFrame) -> DataFrame:

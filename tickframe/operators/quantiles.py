@@ -27,15 +27,18 @@ def exact_quantiles(
     probs: Sequence[float],
     method: str = "linear",
     in_task_rows: int = IN_TASK_ROWS,
+    sizes: dict[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles per column, NULL and NaN ignored; None for an empty column.
 
     ``method``: linear interpolation, "lower" (index rounded down) or "nearest" (rounded half
-    up). The result holds columns * probs numbers.
+    up). The result holds columns * probs numbers. ``sizes`` are the numbers of present values
+    per column, if the caller knows them.
     """
     columns = list(columns)
-    counts = df.agg(*[F.count(drop_nan(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    sizes = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
+    if sizes is None:
+        counts = df.agg(*[F.count(drop_nan(c)) for c in columns]).first()
+        sizes = dict(zip(columns, counts))
     small = [c for c in columns if sizes[c] <= in_task_rows]
     large = [c for c in columns if sizes[c] > in_task_rows]
     out: dict[str, list[float | None]] = {}

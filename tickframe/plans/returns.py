@@ -8,12 +8,15 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickframe.functions.numbers import simple_return
 from tickframe.functions.times import as_col, from_micros, micros, to_us
 from tickframe.operators.asof import asof_join
 from tickframe.operators.splits import Splits, null_safe
 from tickframe.operators.tables import known_symbols
 
+def _ntz(us: str) -> str:
+    return f"CAST(timestamp_micros({us}) AS TIMESTAMP_NTZ)"
+
+
 # A mark is (start, duration). The start is an offset from the query's time column, or any
 # timestamp Column over the query.
 Mark = tuple[timedelta | Column, timedelta]
@@ -132,42 +135,36 @@ class Returns:
             ["symbol"], tolerance=tolerance, values=["fair"],
             tie=() if self.unique else None, time_as="__tu", splits=self.splits,
         )
-        aggs = []
-        for i in range(len(points)):
-            here = F.col("__i") == i
-            aggs += [
-                F.max(F.when(here, F.col("fair"))).alias(f"__f{i}"),
-                F.max(F.when(here, F.col("__tu"))).alias(f"__u{i}"),
-            ]
-        if append_query_tick_times:
-            aggs += [
-                F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"__q{i}")
-                for i in range(len(points))
-            ]
+        # SQL text: one round trip to the JVM per expression, where dozens of marks add up
+        wanted = {"__f": "fair", "__u": "__tu", **({"__q": "__q"} if append_query_tick_times else {})}
+        aggs = [
+            F.expr(f"max(CASE WHEN __i = {i} THEN {c} END)").alias(f"{p}{i}")
+            for i in range(len(points))
+            for p, c in wanted.items()
+        ]
         wide = m.groupBy(*[F.col(c).alias(f"__id{k}") for k, c in enumerate(ids)]).agg(*aggs)
         # joined on the whole key, so a hot symbol's rows spread over all tasks again
         j = q.join(
             wide, null_safe(q, wide, [(c, f"__id{k}") for k, c in enumerate(ids)]), "left"
         )
-        out = [F.col(c) for c in query.columns]
+        new: list[tuple[str, str]] = []
         for n in marks:
             s, e = ends[n]
-            fs, fe = F.col(f"__f{s}"), F.col(f"__f{e}")
             if append_query_tick_times:
-                out += [
-                    from_micros(f"__q{s}").alias(f"start_query_time_{n}"),
-                    from_micros(f"__q{e}").alias(f"end_query_time_{n}"),
-                    from_micros(f"__u{s}").alias(f"start_tick_time_{n}"),
-                    from_micros(f"__u{e}").alias(f"end_tick_time_{n}"),
+                new += [
+                    (f"start_query_time_{n}", _ntz(f"__q{s}")),
+                    (f"end_query_time_{n}", _ntz(f"__q{e}")),
+                    (f"start_tick_time_{n}", _ntz(f"__u{s}")),
+                    (f"end_tick_time_{n}", _ntz(f"__u{e}")),
                 ]
             if append_lag:
-                lags = [
-                    F.col(points[i][0]) + F.lit(points[i][1]) - F.col(f"__u{i}") for i in (s, e)
-                ]
-                out.append(F.greatest(*lags).alias(f"max_tick_to_query_lag_{n}"))
+                lags = [f"{points[i][0]} + {points[i][1]}L - __u{i}" for i in (s, e)]
+                new.append((f"max_tick_to_query_lag_{n}", f"greatest({', '.join(lags)})"))
             if append_start_end_fairs:
-                out += [fs.alias(f"start_fair_{n}"), fe.alias(f"end_fair_{n}")]
-            out.append(simple_return(fs, fe).alias(f"return_{n}"))
+                new += [(f"start_fair_{n}", f"__f{s}"), (f"end_fair_{n}", f"__f{e}")]
+            new.append((f"return_{n}", f"try_divide(__f{e} - __f{s}, __f{s})"))
+        out = [F.col(f"`{c}`") for c in query.columns]
+        out += [F.expr(text).alias(name) for name, text in new]
         return j.select(*out)
 
     def _pruned(self, q, points, dates, tolerance, strict) -> DataFrame:
