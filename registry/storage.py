@@ -7,16 +7,21 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from registry.base import BAR_COLS_ROUNDED, BARS10_SQL, M10, query, table, ticks, tk_sql
+from registry.base import (
+    BAR_COLS_ROUNDED, BARS10_SQL, M10, query, stored, table, ticks, tk_sql,
+)
 from registry.curves import CURVE_SQL, _input
+from registry.feeds import BOOK_SQL, book_messages
 from tickframe.functions.times import micros
 from tickframe.operators.curves import CurveStore
 from tickframe.plans.dataset import DateTable, bar_table
+from tickframe.plans.ingest import Ingest, update_summary
 from tickframe.session import scratch_path
 from tickframe.sinks.compaction import audit_files, compact, file_parts
 from tickframe.sinks.files import children, rename
 from tickframe.sinks.tables import cached_result, write_partitioned, write_table
-from tickframe.sources.listing import pairs_on_disk
+from tickframe.sources.books import read_book_archive
+from tickframe.sources.listing import one_pair, pairs_on_disk
 from tickframe.sources.trades import read_futures_csv, read_spot_csv, read_table
 
 FROM, TO = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
@@ -219,3 +224,136 @@ def curve_stored(spark, sf):
     again.options.accum = ["l_discount"]
     curve, _ = again.curves("tie")["l_extendedprice"]
     return curve
+
+
+# ---- raw archives ----------------------------------------------------------------------
+
+def _archives(spark, t) -> str:
+    """Daily zip archives ``<symbol>-trades-<date>.zip`` of the spot layout."""
+    parts, out = scratch_path(spark, "zip-csv"), scratch_path(spark, "zip")
+    ms = F.floor(micros("time") / 1000).cast("long")
+    (
+        t.select("trade_id", "price", "quantity", "quote_quantity", ms.alias("time"),
+                 "is_buyer_maker", F.lit(True).alias("best"), F.col("symbol").alias("s"),
+                 F.col("date").alias("d"))
+        .repartition("s", "d").write.partitionBy("s", "d").option("header", False).csv(parts)
+    )
+
+    def pack(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for batch in batches:
+            done = []
+            for path, content in zip(batch["path"], batch["content"]):
+                tags = dict(x.split("=", 1) for x in path.split("/") if "=" in x)
+                name = f"{tags['s']}-trades-{tags['d']}"
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(f"{name}.csv", content)
+                fs, folder = pafs.FileSystem.from_uri(out)
+                fs.create_dir(folder, recursive=True)
+                with fs.open_output_stream(f"{folder}/{name}.zip") as f:
+                    f.write(buf.getvalue())
+                done.append(name)
+            yield pd.DataFrame({"name": done})
+
+    csvs = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv").load(parts).select("path", "content")
+    )
+    csvs.mapInPandas(pack, "name string").count()
+    return out
+
+
+def _ingested(spark, sf):
+    """Archives exist for four days out of five; every tenth day is already in the table."""
+    t = ticks(spark, sf)
+    job = Ingest(spark, _archives(spark, t.where("day(date) % 5 <> 0")), scratch_path(spark, "hive"))
+    ready = t.where("day(date) % 10 = 0").withColumns(
+        {"peg_symbol": F.lit("USDT"), "is_best_match": F.lit(True)}
+    )
+    write_partitioned(ready, job.hive, ["date", "symbol"])
+    return job, stored(job.update(t.select("symbol", "date")), "status")
+
+
+STATUS = (
+    "CASE WHEN day(date) % 10 = 0 THEN 'skipped' WHEN day(date) % 5 = 0 THEN 'failed' "
+    "ELSE 'success' END"
+)
+
+
+@query(
+    "ingest_status",
+    f"WITH {tk_sql()} SELECT DISTINCT symbol, date, {STATUS} AS status FROM tk",
+)
+def ingest_status(spark, sf):
+    return _ingested(spark, sf)[1]
+
+
+@query(
+    "ingest_summary",
+    f"""WITH {tk_sql()}, s AS (SELECT DISTINCT symbol, date, {STATUS} AS status FROM tk)
+SELECT count(*) AS total, count(*) FILTER (WHERE status = 'success') AS success,
+  count(*) FILTER (WHERE status = 'skipped') AS skipped,
+  count(*) FILTER (WHERE status = 'failed') AS failed FROM s""",
+)
+def ingest_summary(spark, sf):
+    return update_summary(_ingested(spark, sf)[1])
+
+
+@query(
+    "ingested_trades",
+    f"""WITH {tk_sql()} SELECT symbol, date, trade_id, round(price, 6) AS price, quantity,
+  date_trunc('millisecond', time) AS time, is_buyer_maker FROM tk
+WHERE day(date) % 5 <> 0""",
+)
+def ingested_trades(spark, sf):
+    job, _ = _ingested(spark, sf)
+    return spark.read.parquet(job.hive).where("day(date) % 5 <> 0").select(
+        "symbol", "date", "trade_id", "price", "quantity", "time", "is_buyer_maker"
+    )
+
+
+@query(
+    "one_symbol_date",
+    f"WITH {tk_sql()} SELECT symbol, date, trade_id, price FROM tk "
+    "WHERE symbol = 'click' AND date = DATE '2024-01-08'",
+)
+def one_symbol_date(spark, sf):
+    t = ticks(spark, sf).select("symbol", "date", "trade_id", "price")
+    return one_pair(t, t, "click", dt.date(2024, 1, 8))
+
+
+@query(
+    "book_archive",
+    f"""WITH {BOOK_SQL}
+SELECT symbol, received_time, time, is_bid, CAST(d AS SMALLINT) AS depth,
+  round(value + (CASE WHEN is_bid THEN -1 ELSE 1 END) * (d + 1) * 0.5, 6) AS price,
+  CAST((d + 1) * (d + 2) / 2 AS DOUBLE) AS csize, CAST(d + 2 AS SMALLINT) AS num_orders
+FROM b WHERE epoch_us(received_time) % 20 <> 0""",
+)
+def book_archive(spark, sf):
+    """Archive lines in gzip text files per symbol; about one line in twenty has a
+    wrong version."""
+    parts, folder = scratch_path(spark, "book-parts"), scratch_path(spark, "books")
+    raw = F.from_json("value", "channel string, data struct<coin:string,time:bigint,"
+                      "levels:array<array<struct<px:string,sz:string,n:bigint>>>>")
+    m = book_messages(spark, sf).withColumn("raw", raw)
+    wrong = micros("received_time") % 20 == 0
+    line = F.to_json(F.struct(
+        F.date_format("received_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
+        F.when(wrong, 2).otherwise(1).alias("ver_num"), "raw",
+    ))
+    m.select(line.alias("value"), F.col("raw.data.coin").alias("s")).repartition("s").write.partitionBy(
+        "s"
+    ).option("compression", "gzip").text(parts)
+    _mkdir(spark, folder)
+    for s in (n for n in children(spark, parts) if n.startswith("s=")):
+        for i, f in enumerate(n for n in children(spark, f"{parts}/{s}") if n.endswith(".txt.gz")):
+            rename(spark, f"{parts}/{s}/{f}", f"{folder}/{s.split('=')[1]}.{i}.txt.gz")
+    good, _ = read_book_archive(spark, folder)
+    return good.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("received_time", "time")})
