@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import query, table
+from tickframe.functions import numbers
 from tickframe.operators.features import (
     Clip, ClipQuantiles, Elementwise, FeatureGroups, FillMissing, GroupShare, Identity, Log,
     QuantileTransform, RaiseNonFinite, Standardize, row_moments,
@@ -107,10 +108,47 @@ def feat_quantile(spark, sf):
     return QuantileTransform(n_quantiles=11).fit_transform(d, ["o_totalprice"])
 
 
-@query("feat_gaussian")
+def _poly_sql(x: str, coefs) -> str:
+    out = repr(coefs[0])
+    for c in coefs[1:]:
+        out = f"({out} * {x} + {c!r})"
+    return out
+
+
+def probit_sql(p: str) -> str:
+    """The published rational approximation, written out for the oracle."""
+    a, b, c, d = (numbers._A, numbers._B, numbers._C, numbers._D)
+    z, r = f"({p} - 0.5)", f"(({p} - 0.5) * ({p} - 0.5))"
+    lo, hi = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))"
+
+    def tail(q: str) -> str:
+        return f"{_poly_sql(q, c)} / {_poly_sql(q, d + (1.0,))}"
+
+    return (
+        f"CASE WHEN {p} < 0.02425 THEN {tail(lo)} WHEN {p} > 1 - 0.02425 THEN -{tail(hi)} "
+        f"ELSE {_poly_sql(r, a)} * {z} / {_poly_sql(r, b + (1.0,))} END"
+    )
+
+
+KNOTS = 51
+KNOTS_SQL = f"""k AS (SELECT unnest(range({KNOTS})) AS i,
+  unnest(quantile_cont(o_totalprice, {[i / (KNOTS - 1) for i in range(KNOTS)]})) AS q
+  FROM orders),
+g AS (SELECT a.i, a.q AS lo, b.q AS hi FROM k a JOIN k b ON b.i = a.i + 1),
+m AS (SELECT o_orderkey, o_totalprice AS x, (SELECT max(i) FROM g WHERE lo < x OR i = 0) AS i
+      FROM orders),
+u AS (SELECT o_orderkey, least(greatest((m.i + (x - lo) / (hi - lo)) / {KNOTS - 1}.0::DOUBLE,
+        1e-7::DOUBLE), 1 - 1e-7::DOUBLE) AS u FROM m JOIN g ON m.i = g.i)"""
+
+
+@query(
+    "feat_gaussian",
+    f"WITH {KNOTS_SQL} SELECT o_orderkey, round({probit_sql('u')}, 5) AS o_totalprice FROM u",
+    digits=5,
+)
 def feat_gaussian(spark, sf):
     d = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return QuantileTransform("gaussian").fit_transform(d, ["o_totalprice"])
+    return QuantileTransform("gaussian", KNOTS).fit_transform(d, ["o_totalprice"])
 
 
 @query(
