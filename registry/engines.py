@@ -19,7 +19,7 @@ from tickframe.operators.scans import forward_fill, running_sums
 from tickframe.operators.asof import order_position
 from tickframe.functions.times import micros
 from tickframe.operators.tables import null_summary, pivot_by
-from tickframe.plans.metadata import Metadata, append_metadata
+from tickframe.plans.metadata import RANK_DIGITS, Metadata, append_metadata
 from tickframe.plans.research import default_marks, mark, research_table
 from tickframe.plans.returns import Returns
 
@@ -200,10 +200,14 @@ def snap_sql(name: str, src: str, time: str, cols: str) -> str:
                              ORDER BY {time} DESC) = 1)"""
 
 
-def rank_sql(v: str) -> str:
+def rank_sql(v: str, digits: int | None = None) -> str:
+    k = v
+    if digits:
+        scale = f"pow(10, {digits - 1} - floor(log10(abs(nullif({v}, 0)))))"
+        k = f"(CASE WHEN {v} = 0 THEN 0 ELSE round({v} * {scale}) / {scale} END)"
     return f"""CASE WHEN {v} IS NOT NULL THEN
-    (rank() OVER (PARTITION BY grid_time ORDER BY {v} NULLS LAST)
-     + (count(*) OVER (PARTITION BY grid_time, {v}) - 1) / 2.0::DOUBLE)
+    (rank() OVER (PARTITION BY grid_time ORDER BY {k} NULLS LAST)
+     + (count(*) OVER (PARTITION BY grid_time, {k}) - 1) / 2.0::DOUBLE)
     / count({v}) OVER (PARTITION BY grid_time) END AS {v}_q"""
 
 
@@ -215,7 +219,7 @@ META_SQL = ",\n".join([
     snap_sql("sr", "rr", "time", ", ".join(RET_NAMES)),
     f"""meta AS (
   SELECT symbol, grid_time AS time, date, last_event_time, {', '.join(BAR_NAMES)},
-    {', '.join(RET_NAMES)}, {', '.join(rank_sql(v) for v in RANKED_NAMES)}
+    {', '.join(RET_NAMES)}, {', '.join(rank_sql(v, RANK_DIGITS) for v in RANKED_NAMES)}
   FROM sb JOIN sr USING (symbol, grid_time))""",
 ])
 

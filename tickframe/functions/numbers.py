@@ -50,6 +50,14 @@ def neg_inf(c: str | Column) -> Column:
     return as_col(c) == F.lit(float("-inf"))
 
 
+def significant(c: str | Column, digits: int) -> Column:
+    """Round to a number of significant digits."""
+    x = as_col(c).cast("double")
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1.0) - F.floor(F.log10(F.abs(x))))
+    plain = (x == 0) | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    return F.when(plain, x).otherwise(F.rint(x * scale) / scale)
+
+
 def simple_return(start: Column, end: Column) -> Column:
     return ratio(end - start, start)
 

@@ -6,6 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickframe.functions.numbers import significant
 from tickframe.functions.times import as_col
 from tickframe.operators.scans import running_sums
 from tickframe.operators.splits import measure_splits, null_safe
@@ -29,14 +30,23 @@ def average_rank_share(value: str, by: Sequence[str]) -> Column:
 
 def rank_columns(
     df: DataFrame, values: Sequence[str], by: Sequence[str], suffix: str = "_q",
-    in_task_rows: int | None = None,
+    in_task_rows: int | None = None, digits: int | None = None,
 ) -> DataFrame:
     """Append the rank share of every value.
 
+    ``digits`` ranks values by that many significant digits, so that equal sums stay tied
+    whatever order they were added up in.
+
     A cross-section is sorted in one task. That is safe when its size is bounded (symbols at
     one time); otherwise give ``in_task_rows``: sections are then measured, and if one is
     larger the ranks come from distributed running counts instead.
     """
+    if digits is not None:
+        keys = {f"__k{i}": significant(v, digits) for i, v in enumerate(values)}
+        r = rank_columns(df.withColumns(keys), list(keys), by, suffix, in_task_rows)
+        return r.drop(*keys).withColumnsRenamed(
+            {k + suffix: v + suffix for k, v in zip(keys, values)}
+        )
     if in_task_rows is not None:
         largest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         if largest is not None and largest > in_task_rows:

@@ -22,6 +22,8 @@ Measures = dict[timedelta, dict[str, Measure]]
 DAY = timedelta(days=1)
 # Fixed pattern: columns that get a rank share.
 RANKED = r"^(daily_vol|liquidity)"
+# Rolling sums are exact to about 12 digits; ties are judged on fewer.
+RANK_DIGITS = 10
 
 
 def liquidity_measures() -> Measures:
@@ -132,7 +134,9 @@ class Metadata:
             self.rolling_returns(dates), "returns_grid_time", ret_names, dates
         )
         both = of_bars.join(of_returns, ["symbol", "grid_time"])
-        both = rank_columns(both, columns_matching(both, self.ranked), ["grid_time"])
+        both = rank_columns(
+            both, columns_matching(both, self.ranked), ["grid_time"], digits=RANK_DIGITS
+        )
         return both.withColumnRenamed("grid_time", "time")
 
 
