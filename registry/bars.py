@@ -20,14 +20,14 @@ from tickframe.operators.tables import symbols_per_date
 
 @query("bars_10m", f"WITH {BARS10_SQL} SELECT {BAR_COLS_ROUNDED} FROM bars")
 def bars_10m(spark, sf):
-    return bars10(spark, sf)
+    return off_tie(bars10(spark, sf))
 
 
 @query(
     "bars_1d_trades",
     "WITH " + LOTS_SQL + ",\n"
     + bars_sql("bars", "lots", "1 day", "time, l_orderkey, l_linenumber, l_partkey, l_suppkey")
-    + f" SELECT {BAR_COLS_ROUNDED.replace(', 6)', f' + {OFF_TIE}, 6)')} FROM bars",
+    + f" SELECT {BAR_COLS_ROUNDED} FROM bars",
 )
 def bars_1d_trades(spark, sf):
     return off_tie(time_bars(lots(spark, sf), timedelta(days=1), tie=("lot_id",)))
@@ -47,27 +47,27 @@ def bars_left_label(spark, sf):
     "bars_quote",
     f"""WITH {tk_sql()}
 SELECT symbol, date, peg_symbol, time_bucket(INTERVAL '1 hour', time) AS time,
-  round(first(price ORDER BY time, trade_id), 6) AS open, round(max(price), 6) AS high,
-  round(min(price), 6) AS low, round(last(price ORDER BY time, trade_id), 6) AS close,
-  round(sum(quantity), 6) AS volume_base, round(sum(quote_quantity), 6) AS volume_quote,
+  round(first(price ORDER BY time, trade_id) + {OFF_TIE}, 6) AS open, round(max(price) + {OFF_TIE}, 6) AS high,
+  round(min(price) + {OFF_TIE}, 6) AS low, round(last(price ORDER BY time, trade_id) + {OFF_TIE}, 6) AS close,
+  round(sum(quantity) + {OFF_TIE}, 6) AS volume_base, round(sum(quote_quantity) + {OFF_TIE}, 6) AS volume_quote,
   count(*) AS trade_count,
-  round(sum(CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END), 6)
+  round(sum(CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END) + {OFF_TIE}, 6)
     AS taker_buy_volume_quote,
-  round(sum(CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END), 6)
+  round(sum(CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END) + {OFF_TIE}, 6)
     AS taker_sell_volume_quote,
   round(sum(CASE WHEN is_buyer_maker THEN 0 ELSE price * quote_quantity END)
-    / nullif(sum(CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END), 0), 6)
+    / nullif(sum(CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END), 0) + {OFF_TIE}, 6)
     AS vwap_taker_buy,
   round(sum(CASE WHEN is_buyer_maker THEN price * quote_quantity ELSE 0 END)
-    / nullif(sum(CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END), 0), 6)
+    / nullif(sum(CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END), 0) + {OFF_TIE}, 6)
     AS vwap_taker_sell,
-  round(sum(price * quantity) / nullif(sum(quantity), 0), 6) AS vwap_total_by_base,
+  round(sum(price * quantity) / nullif(sum(quantity), 0) + {OFF_TIE}, 6) AS vwap_total_by_base,
   epoch_us(time_bucket(INTERVAL '1 hour', tk.time) + INTERVAL '1 hour') - epoch_us(max(tk.time))
     AS actual_time_offset_us
 FROM tk GROUP BY symbol, date, peg_symbol, time_bucket(INTERVAL '1 hour', tk.time)""",
 )
 def bars_quote(spark, sf):
-    return quote_bars(ticks(spark, sf), timedelta(hours=1), id_bits=31)
+    return off_tie(quote_bars(ticks(spark, sf), timedelta(hours=1), id_bits=31))
 
 
 @query(

@@ -151,18 +151,16 @@ def bars_sql(name: str, src: str, every: str, order: str) -> str:
 
 BARS10_SQL = tk_sql() + ",\n" + bars_sql("bars", "tk", "10 minutes", "time, trade_id")
 
-BAR_COLS_ROUNDED = """symbol, date, time, peg_symbol, round(open, 6) AS open,
-  round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close,
-  round(volume, 6) AS volume, trade_count, last_event_time,
-  round(taker_buy_volume, 6) AS taker_buy_volume,
-  round(taker_sell_volume, 6) AS taker_sell_volume,
-  round(vwap_taker_buy, 6) AS vwap_taker_buy,
-  round(vwap_taker_sell, 6) AS vwap_taker_sell, round(vwap_price, 6) AS vwap_price"""
-
-
 # Shifts a value off the decimal ties that divisions by small quantities produce, so that the
 # last summation bit cannot decide the rounding. Applied on both sides of a comparison.
 OFF_TIE = 1.23e-8
+BAR_COLS_ROUNDED = f"""symbol, date, time, peg_symbol, round(open + {OFF_TIE}, 6) AS open,
+  round(high + {OFF_TIE}, 6) AS high, round(low + {OFF_TIE}, 6) AS low, round(close + {OFF_TIE}, 6) AS close,
+  round(volume + {OFF_TIE}, 6) AS volume, trade_count, last_event_time,
+  round(taker_buy_volume + {OFF_TIE}, 6) AS taker_buy_volume,
+  round(taker_sell_volume + {OFF_TIE}, 6) AS taker_sell_volume,
+  round(vwap_taker_buy + {OFF_TIE}, 6) AS vwap_taker_buy,
+  round(vwap_taker_sell + {OFF_TIE}, 6) AS vwap_taker_sell, round(vwap_price + {OFF_TIE}, 6) AS vwap_price"""
 
 
 def off_tie(df: DataFrame) -> DataFrame:

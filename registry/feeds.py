@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from registry.base import (
-    BAR_COLS_ROUNDED, BARS10_SQL, M10, query, table, ticks, tk_sql,
+    BAR_COLS_ROUNDED, BARS10_SQL, M10, off_tie, query, table, ticks, tk_sql,
 )
 from tickframe.operators.tables import split_valid
 from tickframe.session import scratch_path
@@ -426,7 +426,7 @@ def stream_bars(spark, sf):
     out = scratch_path(spark, "stream-bars")
     b = streaming_bars(_tick_stream(spark, sf), M10, "1 hour")
     drain(file_sink(b, out, f"{out}-checkpoint", every=None))
-    return spark.read.parquet(out)
+    return off_tie(spark.read.parquet(out))
 
 
 @query("stitched_stream", "SELECT event_id, event_type AS symbol, value FROM events")

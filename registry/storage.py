@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from registry.base import (
-    BAR_COLS_ROUNDED, BARS10_SQL, M10, query, stored, table, ticks, tk_sql,
+    BAR_COLS_ROUNDED, BARS10_SQL, M10, off_tie, query, stored, table, ticks, tk_sql,
 )
 from registry.curves import CURVE_SQL, _input
 from registry.feeds import BOOK_SQL, book_messages
@@ -82,7 +82,7 @@ def bars_incremental(spark, sf):
     b = bar_table(spark, t, t.select("symbol", "date"), path, M10, id_bits=32)
     b.compute([d for d in b.partitions() if d.day <= 10], days_per_batch=6)
     b.compute(days_per_batch=30)
-    return b[None].select(*[c.split(" AS ")[-1].strip() for c in _names(BAR_COLS_ROUNDED)])
+    return off_tie(b[None]).select(*[c.split(" AS ")[-1].strip() for c in _names(BAR_COLS_ROUNDED)])
 
 
 def _names(sql: str) -> list[str]:
