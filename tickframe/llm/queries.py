@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
 from tickframe import prepare
 from tickframe.llm.exact_dedup import exact_duplicates
+from tickframe.llm.piece_coding import coding_digests
 from tickframe.llm.rows import prepare_texts
+from tickframe.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +41,13 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (text_sha256)""")
 def op9_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
+
+
+@query("op5_piece_coding")
+def op5_piece_coding(spark, sf_dir):
+    return coding_digests(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark, sf_dir):
+    return token_counts(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
