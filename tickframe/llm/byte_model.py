@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import json
+from array import array
 import unicodedata
 
 import numpy as np
@@ -97,18 +98,39 @@ def _crosses(first: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return crossed
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1
+    characters for themselves, the other bytes in order from code point 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def rank_encoder(path: str):
+    """Ids of one pre-token by merging pairs in the order of their ids: three times as fast as
+    the tokenizer. None where ids do not follow the order of the merges."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocab, letters = model["vocab"], byte_letters()
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [vocab[a + b] for a, b in pairs]
+    if ids != sorted(ids) or max(vocab[c] for c in letters) > min(ids):
+        return None
+    ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if all(c in letters for c in token) and (len(token) == 1 or i >= ids[0] and i <= ids[-1])}
+    coder = tiktoken.Encoding("chunks", pat_str=".+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+    return lambda c: coder.encode_single_piece(c.encode())
+
+
 @functools.lru_cache(maxsize=2)
 def id_table(path: str) -> ChunkTable:
     """Pre-token -> its ids as little-endian unsigned 32-bit numbers."""
-    t, _ = tokenizer(path)
-
-    def work(chunks: list[str]) -> list[bytes]:
-        coded = t.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(coded.ids, "<u4")
-        bounds = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(chunks) + 1))
-        return [ids[a:b].tobytes() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-
-    return ChunkTable(work)
+    merge = rank_encoder(path)
+    if merge is None:
+        t, _ = tokenizer(path)
+        merge = lambda c: t.encode([c], is_pretokenized=True, add_special_tokens=False).ids
+    return ChunkTable(lambda chunks: [array("I", merge(c)).tobytes() for c in chunks])
 
 
 def encoded(texts: list, path: str) -> list[bytes]:
@@ -116,10 +138,11 @@ def encoded(texts: list, path: str) -> list[bytes]:
     t, special = tokenizer(path)
     table, out = id_table(path), []
     for _, part in text_batches(texts):
-        whole = [
-            not x.isascii() and max(x) >= chr(COVERED) or any(s in x for s in special) for x in part
-        ]
-        batch = TextBatch(["" if w else x for w, x in zip(whole, part)])
+        batch = TextBatch(part)
+        whole = [False] * len(part)
+        if len(batch.points) and (batch.points.max() >= COVERED or any(s in batch.joined for s in special)):
+            whole = [not x.isascii() and max(x) >= chr(COVERED) or any(s in x for s in special) for x in part]
+            batch = TextBatch(["" if w else x for w, x in zip(whole, part)])
         if len(batch.points):
             starts, ends = pretokens(batch)
             values, index = table.values(batch, starts, ends)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickframe import prepare
 from tickframe.llm.exact_dedup import exact_duplicates
+from tickframe.llm.packing import pack_documents
 from tickframe.llm.piece_coding import coding_digests
 from tickframe.llm.rows import prepare_texts
 from tickframe.llm.token_counts import token_counts
@@ -51,3 +52,8 @@ def op5_piece_coding(spark, sf_dir):
 @query("op10_token_counts")
 def op10_token_counts(spark, sf_dir):
     return token_counts(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark, sf_dir):
+    return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), size=1024, end_id=2)
