@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickframe import prepare
 from tickframe.llm.exact_dedup import exact_duplicates
+from tickframe.llm.language import fit_language, languages
 from tickframe.llm.packing import pack_documents
 from tickframe.llm.piece_coding import coding_digests
-from tickframe.llm.rows import prepare_texts
+from tickframe.llm.quality import fit_quality, quality_scores
+from tickframe.llm.rows import held_out, may_learn, prepare_texts
 from tickframe.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +59,21 @@ def op10_token_counts(spark, sf_dir):
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), size=1024, end_id=2)
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query("op1_quality")
+def op1_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = fit_quality(docs, labels(spark, sf_dir), may_learn("doc_id", 5, 0))
+    return quality_scores(docs, model, 0.3).withColumn("held_out", held_out("doc_id", 5, 0))
+
+
+@query("op3_language")
+def op3_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    net = fit_language(docs, may_learn("doc_id", 5, 0))
+    return languages(docs, net).withColumn("held_out", held_out("doc_id", 5, 0))
