@@ -12,6 +12,7 @@ from tickframe.llm.exact_dedup import exact_duplicates
 from tickframe.llm.language import fit_language, languages
 from tickframe.llm.packing import pack_documents
 from tickframe.llm.piece_coding import coding_digests
+from tickframe.llm.private_data import fit_private, private_spans
 from tickframe.llm.quality import fit_quality, quality_scores
 from tickframe.llm.rows import held_out, may_learn, prepare_texts
 from tickframe.llm.token_counts import token_counts
@@ -77,3 +78,9 @@ def op3_language(spark, sf_dir):
     docs = documents(spark, sf_dir)
     net = fit_language(docs, may_learn("doc_id", 5, 0))
     return languages(docs, net).withColumn("held_out", held_out("doc_id", 5, 0))
+
+
+@query("op8_private_data")
+def op8_private_data(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return private_spans(docs, fit_private(docs))
