@@ -8,6 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
 from tickframe import prepare
+from tickframe.llm.embedding_dedup import near_vectors
 from tickframe.llm.exact_dedup import exact_duplicates
 from tickframe.llm.language import fit_language, languages
 from tickframe.llm.packing import pack_documents
@@ -84,3 +85,8 @@ def op3_language(spark, sf_dir):
 def op8_private_data(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return private_spans(docs, fit_private(docs))
+
+
+@query("op6_embedding_dedup")
+def op6_embedding_dedup(spark, sf_dir):
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.98)
