@@ -16,6 +16,7 @@ from tickframe.llm.piece_coding import coding_digests
 from tickframe.llm.private_data import fit_private, private_spans
 from tickframe.llm.quality import fit_quality, quality_scores
 from tickframe.llm.rows import held_out, may_learn, prepare_texts
+from tickframe.llm.text_dedup import near_duplicates
 from tickframe.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +91,8 @@ def op8_private_data(spark, sf_dir):
 @query("op6_embedding_dedup")
 def op6_embedding_dedup(spark, sf_dir):
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.98)
+
+
+@query("op2_minhash_dedup")
+def op2_minhash_dedup(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
