@@ -11,6 +11,7 @@ from tickframe import prepare
 from tickframe.llm.embedding_dedup import near_vectors
 from tickframe.llm.exact_dedup import exact_duplicates
 from tickframe.llm.language import fit_language, languages
+from tickframe.llm.language_model import fit_language_model, model_scores
 from tickframe.llm.packing import pack_documents
 from tickframe.llm.piece_coding import coding_digests
 from tickframe.llm.private_data import fit_private, private_spans
@@ -96,3 +97,10 @@ def op6_embedding_dedup(spark, sf_dir):
 @query("op2_minhash_dedup")
 def op2_minhash_dedup(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = fit_language_model(docs, may_learn("doc_id", 7, 2))
+    return model_scores(docs, model).withColumn("held_out", held_out("doc_id", 7, 2))
