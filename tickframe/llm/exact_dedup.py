@@ -150,3 +150,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.when(F.col("size").isNull(), True).otherwise(F.col("keep").eqNullSafe(F.col("row_id"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
+    """``docs`` with one row of every different text. A row given twice, id and text, stays once."""
+    verdict = stored(exact_duplicates(docs, id_col, text_col, keep), "verdict")
+    dropped = verdict.where("NOT kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    named = docs.withColumn("_digest", F.sha2(text, 256))
+    left = named.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")), "left_anti")
+    if not verdict.where("kept").groupBy("text_sha256").count().where("count > 1").isEmpty():
+        left = left.dropDuplicates(["_digest"])
+    return left.select(docs.columns)

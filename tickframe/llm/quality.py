@@ -236,3 +236,15 @@ def quality_scores(
 
     scored = map_texts(docs, id_col, text_col, [T.StructField("score", T.DoubleType())], start)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows that score below ``threshold``."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            good = model.score(feature_rows(b.column(at).to_pylist())) >= threshold
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -2,8 +2,8 @@
 
 Every text is a set of hashed shingles; its sketch is the k smallest hashes. Equal sets form a
 class with one representative. Representatives meet through inverted lists of sketch values:
-two sets that are similar enough share at least MIN_SHARED values of their sketches, so it is
-enough to list each sketch under all but MIN_SHARED - 1 of its values, frequent values left out
+two sets that are similar enough share at least ``min_shared`` values of their sketches, so it is
+enough to list each sketch under all but so many of its values less one, frequent values left out
 first. Pairs from the lists are filtered by the Jaccard similarity estimated on the sketch of
 their union and verified on the full sets.
 
@@ -26,7 +26,7 @@ from tickframe.llm.rows import id_and_text, map_texts, stored
 from tickframe.llm.spans import mix, text_batches, word_hashes
 
 K = 64
-MIN_SHARED = 40  # of K: five standard deviations below what a similarity of 0.85 gives
+DEVIATIONS = 5  # what shared sketch values may stay below their mean, in standard deviations
 LIST_PAIRS = 64
 PIVOTS = 4
 TILE_ROWS, TILE_COLUMNS = 256, 512
@@ -109,11 +109,17 @@ def value_frequencies(classes: DataFrame) -> np.ndarray:
     return table.reshape(-1)
 
 
+def min_shared(percent: int) -> int:
+    """Values of K that the sketches of similar sets share but for a chance below 1e-5."""
+    p = percent / 100
+    return int(K * p - DEVIATIONS * (K * p * (1 - p)) ** 0.5)
+
+
 def needed_overlap(n: int, percent: int) -> int:
     """Sketch values that a similar set shares at least. Exact where the sketch is the whole set:
     ``percent`` of n, less what the other sketch may have lost by being cut at K."""
     if n > K:
-        return MIN_SHARED
+        return min_shared(percent)
     return min(-(-percent * n // 100), K - (K * (100 - percent)) // percent - 1)
 
 
@@ -147,6 +153,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     one = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     two = classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
 
+    least = min_shared(percent)
+
     def run(batches):
         for batch in batches:
             keep = []
@@ -157,7 +165,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                     keep.append(bool(similar(len(both), n, m, percent)))
                 else:
                     union = np.union1d(x, y)[:K]
-                    keep.append(int((both <= union[-1]).sum()) >= MIN_SHARED * len(union) / K)
+                    keep.append(int((both <= union[-1]).sum()) >= least * len(union) / K)
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in (0, 1)], names=["a", "b"])
 
@@ -326,3 +334,9 @@ def near_duplicates(
         F.when(F.col("row_id").isNotNull(), component).alias("component_id"),
         F.when(F.col("row_id").isNotNull(), component == own).otherwise(True).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that are not the first of their component."""
+    verdict = stored(near_duplicates(docs, width, percent, id_col, text_col), "near")
+    return docs.join(verdict.where("NOT kept").select(id_col), id_col, "left_anti").select(docs.columns)
