@@ -237,7 +237,7 @@ class PairShard:
         left = np.where(known, self.left[own] / 65535.0, 1.0)[which]
         rows = np.flatnonzero((end > begin)[which])
         k = which[rows]
-        target = base[k] + word[rows]
+        target = base[k] + word[rows] + 1
         place = self.words.successor(target)
         inside = place < end[k]
         rows, place, target = rows[inside], place[inside], target[inside]
@@ -257,9 +257,9 @@ def _pair_shard(uri: str) -> PairShard:
 
 def coded_pairs(keys: np.ndarray, probabilities: np.ndarray, first: int, contexts_: int, hot: bool) -> dict:
     """The arrays of one shard; ``keys`` sorted."""
-    context, word = (keys >> 32) - first, keys & 0xFFFFFFFF
+    context, word = (keys >> 32) - first, (keys & 0xFFFFFFFF) + 1
     pointers = np.searchsorted(context, np.arange(contexts_ + 1))
-    # Within a range a value is the word plus the last value of the ranges before it.
+    # Within a range a value is the word, from 1 on, plus the last value of the ranges before.
     used = np.flatnonzero(np.diff(pointers) > 0)
     lasts = word[pointers[used + 1] - 1] if len(used) else np.zeros(0, np.int64)
     before = np.concatenate(([0], np.cumsum(lasts)[:-1])) if len(used) else lasts

@@ -219,14 +219,14 @@ def fit_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             )
 
     spans = rows.mapInArrow(run, "x array<double>, y int").orderBy(F.xxhash64("x"), "x", "y").limit(SAMPLE_SPANS).toPandas()
-    x = np.array([list(map(float, v)) for v in spans["x"]], float).reshape(len(spans), -1)
+    x = np.array([list(map(float, v)) for v in spans["x"]], float).reshape(len(spans), len(span_features("0", 0, 1, 1)))
     y = spans["y"].to_numpy(float)
     check = np.arange(len(y)) % 10 == 0
     trees = fit_trees(x[~check], y[~check])
     score = trees.score(x[check])
     thresholds = []
     for kind in range(len(KINDS)):
-        of = x[check][:, 0] == kind if len(y) else np.zeros(0, bool)
+        of = x[check][:, 0] == kind
         p, right = score[of], y[check][of]
         order = np.argsort(-p, kind="stable")
         precise = np.cumsum(right[order]) >= PRECISION * np.arange(1, len(order) + 1)
