@@ -58,10 +58,6 @@ def significant(c: str | Column, digits: int) -> Column:
     return F.when(plain, x).otherwise(F.rint(x * scale) / scale)
 
 
-def simple_return(start: Column, end: Column) -> Column:
-    return ratio(end - start, start)
-
-
 def spread(bid: str | Column, ask: str | Column) -> Column:
     return as_col(ask) - as_col(bid)
 

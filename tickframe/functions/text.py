@@ -10,7 +10,6 @@ from tickframe.functions.times import as_col
 SYMBOL_JUNK = r"[^\p{L}\p{N}_-]"
 STREAM_NAME = r"^[A-Za-z0-9_/-]+$"
 FILE_DATE = r"(\d{4}-\d{2}-\d{2})"
-SMALL_FILE = r"([^/]+)/([^/]+)_(\d{2}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\.pq$"
 
 
 def clean_symbol(c: str | Column) -> Column:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_scratch: str | None = None
+SCRATCH = "spark.checkpoint.dir"
+_made: list[str] = []
+_own: dict[str, str] = {}  # by application
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -20,21 +24,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    app = spark.sparkContext.applicationId
+    if not spark.conf.get(SCRATCH, None) and spark.sparkContext.master.startswith("local["):
+        # One machine, no cluster: the session gets a folder of its own, gone when it ends.
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="spark-")
+            atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
     return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder.
-
-    The folder is ``spark.checkpoint.dir``. Only a local-mode session, whose executors share
-    one machine, may fall back to a temporary folder.
-    """
-    global _local_scratch
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path under the shared folder that ``spark.checkpoint.dir`` names."""
+    root = spark.conf.get(SCRATCH, None) or _own.get(spark.sparkContext.applicationId)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="spark-")
-        root = _local_scratch
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        raise RuntimeError(f"set {SCRATCH} to a folder all executors can reach")
+    _made.append(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every scratch folder handed out so far; results that read them must be finished."""
+    from tickframe.sinks.files import remove
+
+    done = 0
+    while _made:
+        done += bool(remove(spark, _made.pop()))
+    return done
