@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import query, table
-from tickframe.functions import numbers
 from tickframe.operators.features import (
     Clip, ClipQuantiles, Elementwise, FeatureGroups, FillMissing, GroupShare, Identity, Log,
-    QuantileTransform, RaiseNonFinite, Standardize, row_moments,
+    QuantileTransform, RaiseNonFinite, RowStandardize, Standardize,
 )
 
 ID = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -116,8 +115,16 @@ def _poly_sql(x: str, coefs) -> str:
 
 
 def probit_sql(p: str) -> str:
-    """The published rational approximation, written out for the oracle."""
-    a, b, c, d = (numbers._A, numbers._B, numbers._C, numbers._D)
+    """The published rational approximation of the normal quantile, with its own numbers."""
+    # Acklam's coefficients.
+    a = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02,
+         1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00)
+    b = (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02,
+         6.680131188771972e01, -1.328068155288572e01)
+    c = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00,
+         -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00)
+    d = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00,
+         3.754408661907416e00)
     z, r = f"({p} - 0.5)", f"(({p} - 0.5) * ({p} - 0.5))"
     lo, hi = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))"
 
@@ -151,15 +158,20 @@ def feat_gaussian(spark, sf):
     return QuantileTransform("gaussian", KNOTS).fit_transform(d, ["o_totalprice"])
 
 
+ROW_PARTS = [f"v{k}" for k in range(8)]
+
+
 @query(
     "feat_rowwise",
-    """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
-SELECT vec_id, round(list_avg(v), 6) AS mean, round(list_stddev_pop(v), 6) AS std FROM e""",
+    f"""WITH e AS (SELECT vec_id, CAST(embedding[1:8] AS DOUBLE[]) AS v FROM embeddings),
+m AS (SELECT *, list_avg(v) AS m, list_stddev_pop(v) AS s FROM e)
+SELECT vec_id, {', '.join(f'round((v[{k + 1}] - m) / s, 6) AS v{k}' for k in range(8))} FROM m""",
 )
 def feat_rowwise(spark, sf):
-    e = table(spark, sf, "embeddings")
-    v = F.col("embedding").cast("array<double>")
-    return row_moments(e, v, "mean", "std").select("vec_id", "mean", "std")
+    e = table(spark, sf, "embeddings").select(
+        "vec_id", *[F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate(ROW_PARTS)]
+    )
+    return RowStandardize().transform(e, ROW_PARTS)
 
 
 @query(
@@ -208,3 +220,63 @@ def feat_groups(spark, sf):
         ["l_quantity", "l_discount", "l_extendedprice"],
     )
     return g.fit(d)
+
+
+@query(
+    "feat_quantile_1000",
+    """WITH k AS (SELECT unnest(range(1000)) AS i, unnest(quantile_cont(o_totalprice,
+    [x / 999.0::DOUBLE for x in range(1000)])) AS q FROM orders),
+s AS (SELECT q, min(i) AS first, max(i) AS last FROM k GROUP BY q),
+g AS (SELECT q AS lo, first, last, lead(q) OVER (ORDER BY q) AS hi, lead(first) OVER (ORDER BY q) AS nxt FROM s)
+SELECT o_orderkey, round((CASE WHEN x = lo THEN first WHEN hi IS NULL THEN 999
+  ELSE last + (x - lo) / (hi - lo) * (nxt - last) END) / 999.0::DOUBLE, 6) AS o_totalprice
+FROM (SELECT o_orderkey, o_totalprice AS x FROM orders) ASOF JOIN g ON x >= lo""",
+)
+def feat_quantile_1000(spark, sf):
+    d = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return QuantileTransform().fit_transform(d, ["o_totalprice"])
+
+
+def _two_groups() -> FeatureGroups:
+    return FeatureGroups(
+        {"l_(quantity|discount)": [FillMissing(), Standardize()], "l_extended.*": [Log(), ClipQuantiles(0.01, 0.99)]},
+        ["l_quantity", "l_discount", "l_extendedprice"],
+    )
+
+
+@query(
+    "feat_transform_new",
+    f"""WITH {GAPS_SQL}, half AS (SELECT * FROM g WHERE l_orderkey % 2 = 0),
+f AS (SELECT coalesce(l_quantity, (SELECT quantile_disc(l_quantity, 0.5) FROM half)) AS l_quantity,
+  coalesce(l_discount, (SELECT quantile_disc(l_discount, 0.5) FROM half)) AS l_discount FROM half),
+s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS dq, avg(l_discount) AS md, stddev_pop(l_discount) AS dd FROM f),
+q AS (SELECT quantile_cont(ln(l_extendedprice + 1e-8), 0.01) AS lo, quantile_cont(ln(l_extendedprice + 1e-8), 0.99) AS hi FROM half)
+SELECT {ID}, round((l_quantity - mq) / dq, 6) AS l_quantity,
+  round(least(greatest(ln(l_extendedprice + 1e-8), lo), hi), 6) AS l_extendedprice,
+  round((coalesce(l_discount, (SELECT quantile_disc(l_discount, 0.5) FROM half)) - md) / dd, 6) AS l_discount
+FROM g, s, q WHERE l_orderkey % 2 = 1""",
+)
+def feat_transform_new(spark, sf):
+    """Fitted on the lines of even orders, applied to those of odd ones."""
+    d = _gaps(spark, sf).drop("l_returnflag")
+    g = _two_groups()
+    g.fit(d.where("l_orderkey % 2 = 0"))
+    return g.transform(d.where("l_orderkey % 2 = 1"))
+
+
+@query(
+    "feat_match_info",
+    """WITH c AS (SELECT column_name AS feature, row_number() OVER () - 1 AS i FROM
+  (SELECT unnest(['l_quantity', 'l_discount', 'l_extendedprice']) AS column_name)),
+n AS (SELECT count(l_quantity) AS q, count(l_discount) AS d, count(l_extendedprice) AS p FROM lineitem)
+SELECT feature, CAST(i AS INTEGER) AS feature_index,
+  CASE WHEN feature LIKE 'l_extended%' THEN 'l_extended.*' ELSE 'l_(quantity|discount)' END AS regex_match,
+  CAST(CASE WHEN feature LIKE 'l_extended%' THEN 1 ELSE 0 END AS INTEGER) AS regex_match_index,
+  CASE i WHEN 0 THEN q WHEN 1 THEN d ELSE p END AS present FROM c, n""",
+)
+def feat_match_info(spark, sf):
+    """Which pattern takes which feature, with the number of present values."""
+    d = table(spark, sf, "lineitem")
+    g = _two_groups()
+    counts = d.agg(*[F.count(f).alias(f) for f in g.features]).unpivot([], g.features, "feature", "present")
+    return g.match_info(spark).join(counts, "feature")

@@ -6,18 +6,21 @@ driver; transforms are Column expressions.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import warnings
+from itertools import groupby
 from typing import Callable, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickframe.functions.numbers import LN_EPSILON, clip, drop_nan, log_eps, neg_inf, pos_inf
 from tickframe.operators.quantiles import exact_quantiles
-from tickframe.operators.splits import null_safe
+from tickframe.operators.splits import null_safe, rank_in
+from tickframe.session import scratch_path
+from tickframe.sinks.tables import write_table
 
 
 class Step:
@@ -160,10 +163,12 @@ class Standardize(Step):
     def fit_more(self, df, cols):
         if not self.by:
             return
-        self.groups = df.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(self.by)]).agg(
+        found = df.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(self.by)]).agg(
             *[F.avg(drop_nan(c)).alias(f"__m_{c}") for c in cols],
             *[F.stddev_pop(drop_nan(c)).alias(f"__d_{c}") for c in cols],
         )
+        # Written: a fit must not change with its input, nor be done again by every transform.
+        self.groups = write_table(found, scratch_path(df.sparkSession, "group-moments"))
         low = self.groups.agg(
             F.min(F.least(*[F.col(f"__d_{c}") for c in cols], F.lit(math.inf)))
         ).first()[0]
@@ -272,7 +277,7 @@ class QuantileTransform(Step):
     """Map to quantile space with linear interpolation between fitted knots.
 
     Uniform output lies in [0, 1]; Gaussian output is its normal quantile, kept in [-8, 8].
-    ``subsample`` fits on about that many sampled rows instead of all.
+    ``subsample`` fits on exactly that many rows, chosen by a hash; the default is all rows.
     """
 
     needs_fit = True
@@ -296,25 +301,40 @@ class QuantileTransform(Step):
         probs = [i / (self.n - 1) for i in range(self.n)]
         rows = max(self.stats[c]["present"] for c in cols)
         if self.subsample is not None and rows > self.subsample:
-            some = df.select(*cols).sample(fraction=self.subsample / rows, seed=self.seed)
+            # exactly so many rows, chosen by their values: any layout gives the same ones
+            some = df.select(*cols).orderBy(F.xxhash64(F.lit(self.seed), *cols), *cols).limit(self.subsample)
             q = exact_quantiles(some, cols, probs)
         else:
             q = self._quantiles(df, cols, probs)
         for c in cols:
             self.stats[c] = {"knots": q[c]}
 
-    def expr(self, c):
+    def transform(self, df, cols):
+        """In projections of their own, so that each value is worked out once: the number of knots passed,
+        the position between them, and for Gaussian output its normal quantile."""
+        if not self.fitted:
+            raise RuntimeError("QuantileTransform must be fitted before transform")
+        knots = {c: Knots(self.stats[c]["knots"]) for c in cols}
+        passed = {c: f"__passed_{i}" for i, c in enumerate(cols)}
+        d = df.withColumns({passed[c]: knots[c].passed(F.col(c).cast("double")) for c in cols})
+        d = d.withColumns({c: self._present(c, knots[c].position(F.col(c).cast("double"), F.col(passed[c]))) for c in cols})
+        if self.method == "gaussian":
+            if self.clip:
+                d = d.withColumns({c: clip(c, self.EDGE, 1 - self.EDGE) for c in cols})
+            d = d.withColumns({c: self._normal(F.col(c)) for c in cols})
+        return d.select(*df.columns)
+
+    @staticmethod
+    def _present(c: str, value: Column) -> Column:
+        x = F.col(c).cast("double")
+        return F.when(x.isNotNull() & ~F.isnan(x), value).otherwise(x)
+
+    def _normal(self, u: Column) -> Column:
         from tickframe.functions.numbers import probit
 
-        x = F.col(c).cast("double")
-        # Arrow hands NaN back as NULL, so missing values bypass the function
-        there = x.isNotNull() & ~F.isnan(x)
-        u = F.when(there, position_between(self.stats[c]["knots"])(x)).otherwise(x)
-        if self.method == "uniform":
-            return u
         if self.clip:
-            u = clip(u, self.EDGE, 1 - self.EDGE)
-            return F.when(F.isnan(u), u).otherwise(clip(probit(u), -self.LIMIT, self.LIMIT))
+            z = clip(probit(u), -self.LIMIT, self.LIMIT)
+            return F.when(F.isnan(u), u).otherwise(z)
         return (
             F.when(F.isnan(u), u)
             .when(u <= 0, F.lit(float("-inf"))).when(u >= 1, F.lit(float("inf")))
@@ -322,21 +342,36 @@ class QuantileTransform(Step):
         )
 
 
-def position_between(knots: Sequence[float]):
-    """Vectorised position in [0, 1] between sorted knots; NaN stays NaN."""
-    q = np.asarray(knots, dtype="float64")
-    pos = np.linspace(0.0, 1.0, len(q))
+class Knots:
+    """Position of a value among sorted knots, from 0 at the first to 1 at the last.
+
+    Knots that are equal form one step: a value on it takes the position of the first of them, and
+    the line to the next step starts at the last. Outside the knots the position is 0 or 1.
+    """
+
+    def __init__(self, knots: Sequence[float]) -> None:
+        steps = [(value, [i for i, _ in run]) for value, run in groupby(enumerate(knots), key=lambda k: k[1])]
+        self.size = len(steps)
+        self.values = _numbers([value for value, _ in steps])
+        self.first, self.last = (_numbers([at[k] / (len(knots) - 1) for _, at in steps]) for k in (0, -1))
+
+    def passed(self, x: Column) -> Column:
+        """How many steps are at most x."""
+        return rank_in(self.values, x, self.size, strict=False)
+
+    def position(self, x: Column, passed: Column) -> Column:
+        low, high = F.get(self.values, passed - 1), F.get(self.values, passed)
+        begin, end = F.get(self.last, passed - 1), F.get(self.first, passed)
+        return (
+            F.when(passed == 0, F.lit(0.0))
+            .when(low == x, F.get(self.first, passed - 1))
+            .when(passed == self.size, F.lit(1.0))
+            .otherwise(begin + (x - low) / (high - low) * (end - begin))
+        )
 
-    @F.pandas_udf("double")
-    def place(x: pd.Series) -> pd.Series:
-        v = x.to_numpy(dtype="float64", na_value=np.nan)
-        i = np.clip(np.searchsorted(q, v, side="left"), 1, len(q) - 1)
-        gap = q[i] - q[i - 1]
-        gap = np.where(np.abs(gap) < 1e-10, 1.0, gap)
-        share = np.clip((v - q[i - 1]) / gap, 0.0, 1.0)
-        return pd.Series(pos[i - 1] + share * (pos[i] - pos[i - 1]))
 
-    return place
+def _numbers(values: Sequence[float]) -> Column:
+    return F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>")
 
 
 class RowStandardize(Step):
@@ -409,23 +444,20 @@ class FeatureGroups:
     completely. Output columns keep their names and their places."""
 
     def __init__(self, steps: dict[str, list[Step]], features: Sequence[str]) -> None:
-        self.features = list(features)
-        self.steps = steps
-        self.groups: dict[str, list[str]] = {}
-        left = list(self.features)
-        for pattern in steps:
-            hits = [f for f in self.features if re.fullmatch(pattern, f)]
-            mine = [f for f in hits if f in left]
-            again = sorted(set(hits) - set(mine))
-            if again:
-                warnings.warn(f"pattern {pattern!r} also matches features taken before: {again}")
-            at = [self.features.index(f) for f in mine]
-            if at and at != list(range(at[0], at[0] + len(at))):
-                warnings.warn(f"features of pattern {pattern!r} are not contiguous: {mine}")
-            self.groups[pattern] = mine
-            left = [f for f in left if f not in mine]
-        if left:
-            raise ValueError(f"features without a pattern: {left}")
+        self.features, self.steps = list(features), steps
+        matching = {f: [p for p in steps if re.fullmatch(p, f)] for f in self.features}
+        missed = [f for f, patterns in matching.items() if not patterns]
+        if missed:
+            raise ValueError(f"features without a pattern: {missed}")
+        self.owner = {f: patterns[0] for f, patterns in matching.items()}
+        self.groups = {p: [f for f in self.features if self.owner[f] == p] for p in steps}
+        shared = {f: patterns for f, patterns in matching.items() if len(patterns) > 1}
+        if shared:
+            warnings.warn(f"features that several patterns match, the first one counts: {shared}")
+        runs = [p for p, _ in groupby(self.features, key=self.owner.get)]
+        torn = sorted({p for p in runs if runs.count(p) > 1})
+        if torn:
+            warnings.warn(f"patterns whose features do not stand together: {torn}")
 
     def fit(self, df: DataFrame, refit: bool = False) -> DataFrame:
         """Fit every step on the output of the steps before it; returns the transformed table.
@@ -453,13 +485,9 @@ class FeatureGroups:
         return df
 
     def match_info(self, spark) -> DataFrame:
-        """Feature, its index, its pattern and the pattern's index."""
-        rows = [
-            (f, self.features.index(f), p, i)
-            for i, (p, fs) in enumerate(self.groups.items())
-            for f in fs
-        ]
+        """One row per feature: its place, its pattern and the place of that pattern."""
+        places = {p: k for k, p in enumerate(self.steps)}
         return spark.createDataFrame(
-            sorted(rows, key=lambda r: r[1]),
+            [(f, k, p, places[p]) for k, (f, p) in enumerate(self.owner.items())],
             "feature string, feature_index int, regex_match string, regex_match_index int",
         )
