@@ -48,7 +48,7 @@ def test_overwrite_replaces_only_its_partitions(spark, days):
 def test_compute_is_incremental_and_equals_one_pass(spark, days):
     path = scratch_path(spark, "bars")
     calls = []
-    t = bar_table(spark, days, days.select("symbol", "date"), path, dt.timedelta(minutes=10), id_bits=32)
+    t = bar_table(spark, days, days.select("symbol", "date"), path, dt.timedelta(minutes=10))
     inner = t._compute
     t._compute = lambda d: calls.append(list(d)) or inner(d)
     assert t.compute([D(2024, 1, 1), D(2024, 1, 2)]) == [D(2024, 1, 1), D(2024, 1, 2)]
@@ -159,13 +159,19 @@ def test_compaction_leaves_the_newest_file(spark, tmp_path):
     small("A_B", "25-01-15 10-30-00", 3, "2025-01-14 23:59:59")
     small("A_B", "25-01-15 10-30-30", 2, "2025-01-15 10:30:00")
     small("C", "25-01-15 10-30-00", 5, "2025-01-15 10:00:00")
-    merged = compact(spark, str(tmp_path / "live"), dst)
+    other = src.parent / "bbo"
+    other.mkdir()
+    pd.DataFrame({"time": pd.to_datetime(["2025-01-15 11:30:00"]).astype("datetime64[us]"), "bid": 2.0}).to_parquet(
+        other / "A_B_25-01-15 11-30-00.pq", index=False)  # newer, but of another kind
+    compact(spark, str(tmp_path / "live"), dst)
+    merged = compact(spark, str(tmp_path / "live"), dst)  # a repeated run changes nothing
+    dst = f"{dst}/trades"
     t = spark.read.parquet(dst)
     assert {(r["symbol"], str(r["date"])): r["count"] for r in t.groupBy("symbol", "date").count().collect()} == {
         ("A_B", "2025-01-14"): 1, ("A_B", "2025-01-15"): 2}
     assert drop_files(spark, merged) == 1 and len(list(src.glob("*.pq"))) == 2
     small("A_B", "25-01-15 10-31-00", 1, "2025-01-15 11:00:00")
-    compact(spark, str(tmp_path / "live"), dst)
+    compact(spark, str(tmp_path / "live"), str(tmp_path / "hive"))
     assert spark.read.parquet(dst).groupBy("date").count().orderBy("date").collect()[1]["count"] == 4
 
 
@@ -246,5 +252,6 @@ def test_small_table_helpers(spark, sf, frame):
     keys = frame([("a/BTC-trades-2019-09-08.zip",), ("a/BTC-trades-2019-09-08.zip.CHECKSUM",), ("a/BTC-trades-2019-99-08.zip",)], "key string")
     assert [tuple(r) for r in keys_to_universe(keys).collect()] == [("BTC", D(2019, 9, 8))]
     e = table(spark, sf, "events")
-    assert same(seeded_sample(e, 300, 5), seeded_sample(e, 300, 5)) and seeded_sample(e, 10**6, 5).count() == e.count()
+    assert same(seeded_sample(e, 300, 5, ["event_id"]), seeded_sample(e.repartition(7), 300, 5, ["event_id"]))
+    assert seeded_sample(e, 300, 5, ["event_id"]).count() == 300 and seeded_sample(e, 10**6, 5, ["event_id"]).count() == e.count()
     assert LAYOUTS["spot_trades"].path("/r", "grid", "USDT", "PT5S") == "/r/grids/spot/last_trade/PT5S/peg_symbol=USDT"

@@ -8,7 +8,6 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickframe.operators.bars import time_bars
-from tickframe.operators.tables import known_symbols
 from tickframe.sinks.files import exists, remove
 from tickframe.sinks.tables import write_partitioned
 
@@ -52,15 +51,12 @@ class DateTable:
         if dates is None:
             return self.read()
         wanted = [dates] if isinstance(dates, date) else list(dates)
-        bad = sorted(set(wanted) & set(self.invalid()))
+        bad = self.invalid(dates=wanted)
         unknown = sorted(set(wanted) - set(self.partitions()))
         if bad or unknown:
             raise ValueError(f"dates without valid data: {sorted(set(bad + unknown))}")
         return self.read().where(F.col("date").isin(wanted))
 
-    def in_universe(self, df: DataFrame) -> DataFrame:
-        return known_symbols(df, self.universe)
-
     # -- bookkeeping
     @property
     def _valid_path(self) -> str:
@@ -81,16 +77,30 @@ class DateTable:
                 "append"
             ).parquet(self._valid_path)
 
+    def unmark(self, dates: Sequence[date]) -> None:
+        """Take dates out of the cache; the rest stays."""
+        known = self.validated()
+        left = [d for d in known if d not in set(dates)]
+        if len(left) < len(known):
+            self.clear_validation()
+            self.mark_valid(left)
+
     def clear_validation(self) -> None:
         remove(self.spark, self._valid_path)
 
-    def check(self) -> DataFrame:
-        """(date, ok) for every date of the universe, absent partitions included."""
+    def check(self, dates: Sequence[date] | None = None) -> DataFrame:
+        """(date, ok) for the given dates, or every date of the universe; absent partitions are
+        included and not ok. Only the partitions of these dates are read."""
         days = self.universe.select("date").distinct()
+        if dates is not None:
+            days = days.where(F.col("date").isin(list(dates)))
         if not exists(self.spark, self.path):
             return days.withColumn("ok", F.lit(False))
         try:
-            seen = self._check(self.spark.read.parquet(self.path))
+            table = self.spark.read.parquet(self.path)
+            if dates is not None:
+                table = table.where(F.col("date").isin(list(dates)))
+            seen = self._check(table)
         except Exception as e:  # an empty folder has no schema
             if "UNABLE_TO_INFER_SCHEMA" in str(e):
                 return days.withColumn("ok", F.lit(False))
@@ -99,15 +109,16 @@ class DateTable:
             "date", F.coalesce("ok", F.lit(False)).alias("ok")
         )
 
-    def invalid(self, recompute: bool = False) -> list[date]:
-        """Dates of the universe without valid data; fresh results extend the cache."""
+    def invalid(self, recompute: bool = False, dates: Sequence[date] | None = None) -> list[date]:
+        """Dates (of the given ones, or all) of the universe without valid data. Only dates the
+        cache does not know are checked; fresh results extend it."""
         if recompute:
             self.clear_validation()
         known = set(self.validated())
-        left = [d for d in self.partitions() if d not in known]
+        left = [d for d in self.partitions() if d not in known and (dates is None or d in dates)]
         if not left:
             return []
-        ok = {r["date"] for r in self.check().where("ok").collect()}
+        ok = {r["date"] for r in self.check(left).where("ok").collect()}
         self.mark_valid([d for d in left if d in ok])
         return [d for d in left if d not in ok]
 
@@ -129,7 +140,8 @@ class DateTable:
     ) -> list[date]:
         """Compute missing dates in batches of days; returns the dates written.
 
-        Each batch is one Spark job that replaces exactly its own partitions. A failing batch
+        Each batch is one Spark job that replaces exactly its own partitions. Its dates leave the
+        cache of valid dates first; those that pass the check afterwards enter it. A failing batch
         does not stop the others; all failed dates are raised together at the end.
         """
         if self._compute is None:
@@ -141,9 +153,11 @@ class DateTable:
         done: list[date] = []
         failed: dict[date, str] = {}
         for batch in day_batches(todo, days_per_batch):
+            self.unmark(batch)
             try:
                 write_partitioned(self._compute(batch), self.path, ["date"], self._sort)
-                self.mark_valid(batch)
+                ok = {r["date"] for r in self.check(batch).where("ok").collect()}
+                self.mark_valid([d for d in batch if d in ok])
                 done += batch
             except Exception as e:  # noqa: BLE001  (collected and raised below)
                 failed.update({d: f"{type(e).__name__}: {str(e)[:200]}" for d in batch})

@@ -34,7 +34,8 @@ class Ingest:
 
     def update(self, universe: DataFrame) -> DataFrame:
         """Ingest the missing pairs. Returns one row per pair of the universe with a status:
-        skipped (was there), success, failed (no file, or an unreadable one)."""
+        skipped (was there), success, failed (no file, or one that cannot be read to its end;
+        none of its rows is kept). Success means read whole, also when it holds no rows."""
         # fixed before anything is written: both lists must not see this run's partitions
         before = write_table(self.on_disk(), scratch_path(self.spark, "had"))
         todo = write_table(
@@ -42,25 +43,21 @@ class Ingest:
         )
         known = self.spark.read.format("binaryFile").load(self.raw).select("path")
         found = with_symbol_date(known, F.col("path")).join(todo, ["symbol", "date"], "left_semi")
-        paths = [r["path"] for r in found.select("path").collect()]  # names only
-        status = None
-        if paths:
-            rows = with_symbol_date(read_zipped(self.spark, paths, self.kind), F.col("path"))
-            good = rows.where("error IS NULL").drop("error", "path").withColumn(
-                "peg_symbol", F.lit(self.peg_symbol)
-            )
+        # Everything goes to staging first: an archive may prove broken after its first rows.
+        staged = write_table(
+            with_symbol_date(read_zipped(found, self.kind), F.col("path")), scratch_path(self.spark, "staged")
+        )
+        ends = staged.where("error IS NOT NULL").select("path", "symbol", "date", "error")
+        whole = ends.groupBy("symbol", "date").agg((F.max("error") == "").alias("__ok")).where("__ok")
+        good = (
+            staged.where("error IS NULL").join(whole, ["symbol", "date"], "left_semi")
+            .drop("error", "path").withColumn("peg_symbol", F.lit(self.peg_symbol))
+        )
+        if not good.isEmpty():
             write_partitioned(good, self.hive, ["date", "symbol"], "time")
-            status = (
-                self.on_disk().join(todo, ["symbol", "date"], "left_semi")
-                .withColumn("__ok", F.lit(True))
-            )
         all_pairs = universe.select("symbol", "date").distinct()
         had = before.withColumn("__had", F.lit(True))
-        j = all_pairs.join(had, ["symbol", "date"], "left")
-        if status is not None:
-            j = j.join(status, ["symbol", "date"], "left")
-        else:
-            j = j.withColumn("__ok", F.lit(None).cast("boolean"))
+        j = all_pairs.join(had, ["symbol", "date"], "left").join(whole, ["symbol", "date"], "left")
         s = F.when(F.col("__had"), "skipped").when(F.col("__ok"), "success").otherwise("failed")
         return j.select("symbol", "date", s.alias("status"))
 

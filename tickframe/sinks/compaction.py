@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tickframe.functions.times import as_col
 from tickframe.session import scratch_path
 from tickframe.sinks.files import exists, remove
-from tickframe.sinks.tables import write_partitioned
+from tickframe.sinks.tables import write_partitioned, write_table
 
 # Fixed pattern: <kind>/<symbol>_<yy-MM-dd HH:mm:ss>.pq; "-" may stand for ":" in the time,
 # because not every file system allows colons.
@@ -31,44 +31,62 @@ def file_parts(path: str | Column) -> Column:
     )
 
 
+SOURCE = "source_file"
+
+
+def finished_files(spark: SparkSession, source: str) -> DataFrame:
+    """(path, kind, symbol, file_time) of the small files that have a newer one of their kind and
+    symbol. Only the listing is read."""
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.pq").option("recursiveFileLookup", True)
+        .load(source).select("path").withColumn("f", file_parts("path")).where("f.symbol IS NOT NULL")
+        .select("path", "f.*")
+    )
+    newest = files.groupBy("kind", "symbol").agg(F.max("file_time").alias("newest"))
+    return files.join(newest, ["kind", "symbol"]).where("file_time < newest").drop("newest")
+
+
 def compact(
-    spark: SparkSession, source: str, target: str, time: str = "time",
-    compression: str = "zstd",
+    spark: SparkSession, source: str, target: str, time: str = "time", compression: str = "zstd",
 ) -> DataFrame:
-    """Merge the finished small files under ``source`` into ``target``.
+    """Merge the finished small files ``source/<kind>/...`` into ``target/<kind>/date=/symbol=``.
 
-    A file is finished when a newer one exists for its symbol. The merged partitions are
-    written to a staging folder first and then replace the old ones, so nothing is read and
-    overwritten in one plan. Returns the list of merged files (path, symbol, file_time).
+    The rows keep the name of their file (column ``source_file``), and rows of a file that is
+    merged again replace the earlier ones: a run may be repeated, also one that stopped half way.
+    A kind's partitions are written to staging first, so nothing is read and overwritten in one
+    plan. Returns the list of merged files (path, kind, symbol, file_time).
     """
+    done = write_table(finished_files(spark, source), scratch_path(spark, "compact-files"))
+    for row in done.select("kind").distinct().collect():  # one per kind of feed
+        _compact_kind(spark, f"{source}/{row['kind']}", f"{target}/{row['kind']}", done, time, compression)
+    return done
+
+
+def _compact_kind(spark, source, target, done, time, compression) -> None:
     rows = (
-        spark.read.option("pathGlobFilter", "*.pq").option("recursiveFileLookup", True)
-        .parquet(source)
-        .withColumn("__path", F.col("_metadata.file_path"))
-        .withColumn("__f", file_parts("__path"))
-        .where("__f.symbol IS NOT NULL")
+        spark.read.option("pathGlobFilter", "*.pq").option("recursiveFileLookup", True).parquet(source)
+        .withColumn(SOURCE, file_name("_metadata.file_path"))
     )
-    files = rows.select("__path", "__f.symbol", "__f.file_time").distinct()
-    newest = files.groupBy("symbol").agg(F.max("file_time").alias("newest"))
-    done = files.join(newest, "symbol").where("file_time < newest").drop("newest")
-    listed = scratch_path(spark, "compact-files")
-    done.write.parquet(listed)
-    done = spark.read.parquet(listed)
-
-    keep = [c for c in rows.columns if c not in ("__path", "__f", "symbol", "date")]
-    picked = rows.join(done.select("__path"), "__path", "left_semi").select(
-        *keep, F.col("__f.symbol").alias("symbol"), F.to_date(time).alias("date")
+    names = done.select(file_name("path").alias(SOURCE), F.col("symbol").alias("__symbol")).distinct()
+    kept = [c for c in rows.columns if c not in ("symbol", "date")]
+    picked = rows.join(names, SOURCE).select(
+        *kept, F.col("__symbol").alias("symbol"), F.to_date(time).alias("date")
     )
-    staging = scratch_path(spark, "compact-rows")
     if exists(spark, target):
         old = spark.read.parquet(target)
         touched = picked.select("symbol", "date").distinct()
-        old = old.join(touched, ["symbol", "date"], "left_semi")
+        old = old.join(touched, ["symbol", "date"], "left_semi").join(names, SOURCE, "left_anti")
         picked = picked.unionByName(old.select(*picked.columns), allowMissingColumns=True)
-    picked.write.parquet(staging)
-    write_partitioned(spark.read.parquet(staging), target, ["date", "symbol"], time, compression)
+    staging = scratch_path(spark, "compact-rows")
+    staged = write_table(picked, staging)
+    write_partitioned(staged, target, ["date", "symbol"], time, compression)
     remove(spark, staging)
-    return done.select(F.col("__path").alias("path"), "symbol", "file_time")
+
+
+def file_name(path: str | Column) -> Column:
+    """The last part of a path, the same for escaped and plain forms."""
+    p = F.regexp_replace(F.regexp_replace(as_col(path), "%20", " "), "%3A", ":")
+    return F.regexp_extract(p, r"[^/]+$", 0)
 
 
 def drop_files(spark: SparkSession, merged: DataFrame) -> int:

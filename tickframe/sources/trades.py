@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from typing import Iterator, Sequence
 
@@ -51,12 +50,13 @@ def with_symbol_date(df: DataFrame, path: Column) -> DataFrame:
     ).withColumn("date", date_in(F.regexp_extract(path, r"[^/]+$", 0)))
 
 
-def read_zipped(spark: SparkSession, paths: str | list[str], kind: str) -> DataFrame:
-    """Rows of the first CSV member of each archive, with its path. An unreadable archive
-    yields one row that carries only the path and the error.
+def read_zipped(files: DataFrame, kind: str, path: str = "path") -> DataFrame:
+    """Rows of the first CSV member of each archive in ``files``, with its path, then one closing
+    row per archive without values: ``error`` tells what went wrong, empty text that all is well.
 
-    Archives are spread over tasks one by one; each is decompressed as a stream and handed on
-    in bounded chunks.
+    Tasks get paths, open their archives one after the other and hand them on in bounded chunks.
+    The checksum of a member is known only at its end, so rows may come before an error: use
+    those of a path only if its closing row has an empty error.
     """
     spec, header = (SPOT_TRADES, None) if kind == "spot" else (FUTURES_TRADES, 0)
     names = [f.split()[0] for f in spec.split(", ")]
@@ -64,28 +64,26 @@ def read_zipped(spark: SparkSession, paths: str | list[str], kind: str) -> DataF
     out = f"path string, error string, {spec}"
 
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs as pafs
+
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for name in batch["path"]:
+                error = ""
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    fs, place = pafs.FileSystem.from_uri(name)
+                    with fs.open_input_file(place) as raw, zipfile.ZipFile(raw) as z:
                         member = next(n for n in z.namelist() if n.endswith(".csv"))
                         with z.open(member) as f:
-                            for part in pd.read_csv(
-                                f, names=names, header=header, chunksize=ZIP_CHUNK_ROWS
-                            ):
+                            for part in pd.read_csv(f, names=names, header=header, chunksize=ZIP_CHUNK_ROWS):
                                 for c in flags:
                                     part[c] = part[c].astype(str).str.lower() == "true"
                                 part.insert(0, "error", None)
-                                part.insert(0, "path", path)
+                                part.insert(0, "path", name)
                                 yield part
                 except Exception as e:  # noqa: BLE001  (reported per file)
-                    yield pd.DataFrame(
-                        {"path": [path], "error": [f"{type(e).__name__}: {e}"],
-                         **{n: [None] for n in names}}
-                    )
+                    error = f"{type(e).__name__}: {e}"
+                yield pd.DataFrame({"path": [name], "error": [error], **{n: [None] for n in names}})
 
-    files = (
-        spark.read.format("binaryFile").load(paths).select("path", "content")
-    )
-    rows = files.mapInPandas(unzip, out)
+    tasks = max(1, files.sparkSession.sparkContext.defaultParallelism)
+    rows = files.select(F.col(path).alias("path")).repartition(tasks, "path").mapInPandas(unzip, out)
     return normalise_spot(rows) if kind == "spot" else normalise_futures(rows)
