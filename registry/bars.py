@@ -67,7 +67,7 @@ SELECT symbol, date, peg_symbol, time_bucket(INTERVAL '1 hour', time) AS time,
 FROM tk GROUP BY symbol, date, peg_symbol, time_bucket(INTERVAL '1 hour', tk.time)""",
 )
 def bars_quote(spark, sf):
-    return off_tie(quote_bars(ticks(spark, sf), timedelta(hours=1), id_bits=31))
+    return off_tie(quote_bars(ticks(spark, sf), timedelta(hours=1)))
 
 
 @query(

@@ -71,8 +71,9 @@ def ticks(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataF
 
 # The four identity columns as one ordered number.
 LOT_ID = (
-    "((CAST(l_orderkey AS DECIMAL(13)) * 10 + l_linenumber) * 10000000 + l_partkey) * 10000000 "
-    "+ l_suppkey"
+    "CASE WHEN l_partkey < 10000000 AND l_suppkey < 10000000 AND l_linenumber < 10 THEN "
+    "((CAST(l_orderkey AS DECIMAL(12)) * 10 + l_linenumber) * 10000000 + l_partkey) * 10000000 "
+    "+ l_suppkey ELSE raise_error('a lot key has too many digits') END"
 )
 
 
@@ -95,7 +96,7 @@ def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars10(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataFrame:
-    return time_bars(ticks(spark, sf_dir, symbol), M10, id_bits=32)
+    return time_bars(ticks(spark, sf_dir, symbol), M10)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

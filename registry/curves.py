@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.base import query, table
+from registry.base import LOT_ID, query, table
 from tickframe.operators.curves import category_bars, curve_ticks, dependence_curve
 
-TIE = "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey"
+TIE = "((CAST(l_orderkey AS HUGEINT) * 10 + l_linenumber) * 10000000 + l_partkey) * 10000000 + l_suppkey"
 CURVE_SQL = f"""c AS (
   SELECT l_extendedprice, l_quantity, l_discount, {TIE} AS tie,
     sum(l_quantity) OVER w / sum(l_quantity) OVER () AS weight_norm,
@@ -17,19 +17,19 @@ CURVE_SQL = f"""c AS (
 
 def _input(spark, sf):
     return table(spark, sf, "lineitem").select(
-        "l_extendedprice", "l_quantity", "l_discount", F.expr(TIE).alias("tie")
+        "l_extendedprice", "l_quantity", "l_discount", F.expr(LOT_ID).alias("tie")
     )
 
 
 @query(
     "curve_dependence",
-    f"""WITH {CURVE_SQL} SELECT l_extendedprice, l_quantity, l_discount, tie,
+    f"""WITH {CURVE_SQL} SELECT l_extendedprice, l_quantity, l_discount, CAST(tie AS VARCHAR) AS tie,
   round(weight_norm, 6) AS weight_norm, round(l_discount_cumsum, 6) AS l_discount_cumsum FROM c""",
 )
 def curve_dependence(spark, sf):
     return dependence_curve(
         _input(spark, sf), "l_extendedprice", ["l_discount"], "l_quantity", "tie"
-    )
+    ).withColumn("tie", F.col("tie").cast("string"))
 
 
 @query(

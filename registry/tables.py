@@ -348,10 +348,13 @@ def tail_rows(spark, sf):
     return tail(table(spark, sf, "events").select("event_id", "value"), 25, ["value", "event_id"])
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    "SELECT event_id, value FROM events ORDER BY md5(event_id || '|7'), event_id LIMIT 2000",
+)
 def sample_rows(spark, sf):
     e = table(spark, sf, "events").select("event_id", "value")
-    return seeded_sample(e, 2000, seed=7, order=["value", "event_id"])
+    return seeded_sample(e, 2000, seed=7, key=["event_id"], order=["value", "event_id"])
 
 
 @query(

@@ -29,7 +29,7 @@ def test_all_sell_bar_has_null_buy_price(frame):
     assert b["vwap_taker_sell"] == b["vwap_price"] == 6.0
 
 
-@pytest.mark.parametrize("opts", [{"id_bits": 20}, {}, {"tie": ("trade_id", "price")}])
+@pytest.mark.parametrize("opts", [{}, {"tie": ("trade_id", "price")}])
 def test_equal_times_follow_the_trade_id(frame, opts):
     rows = [trade("2024-01-01 00:01:00", float(i), i=i) for i in (3, 1, 2)]
     b = bars(frame, rows, **opts)[0]
@@ -50,5 +50,5 @@ def test_quote_bar_offset(frame):
 
 def test_bigint_order_keeps_hash_aggregation(frame):
     d = frame([trade("2024-01-01 00:01:00", 1.0)], SCHEMA)
-    plan = time_bars(d, timedelta(minutes=10), id_bits=32)._jdf.queryExecution().toString()
+    plan = time_bars(d, timedelta(minutes=10))._jdf.queryExecution().toString()
     assert "SortAggregate" not in plan

@@ -108,11 +108,21 @@ def test_last_per_interval(frame):
     }
 
 
-def test_last_per_interval_with_hot_keys(data):
-    one = data.dropDuplicates(["symbol", "time"]).select("symbol", "time", "trade_id", "price").cache()
-    args = (one, ["symbol"], "time", timedelta(hours=1), "grid")
-    cut = asof_splits(one, ["symbol"], "time", min_rows=25)
-    assert cut.active and same(last_per_interval(*args), last_per_interval(*args, splits=cut))
+def test_last_per_interval_does_not_depend_on_input_order(frame):
+    rows = [("a", "2024-01-01 23:10:00", v) for v in range(40)]
+    schema = "symbol string, time timestamp_ntz, v int"
+    for order in (rows, rows[::-1], rows[20:] + rows[:20]):
+        d = frame(order, schema).repartition(3)
+        assert [r["v"] for r in last_per_interval(d, ["symbol"], "time", timedelta(hours=1), "g").collect()] == [39]
+
+
+def test_rolling_with_a_null_key_split_equals_plain(spark):
+    rows = [(None if i % 2 else "a", i, float(i * i % 17)) for i in range(60)]
+    d = spark.createDataFrame(rows, "k string, s int, x double").selectExpr("k", "cast(timestamp_seconds(s * 3600) as timestamp_ntz) AS time", "x")
+    cut = asof_splits(d, ["k"], "time", min_rows=5)
+    ms = {DAY: {"sd": sample_std("x")}}
+    plain, split = (rolling(d, ["k"], "time", ms, s).withColumn("sd", F.round("sd", 9)) for s in (None, cut))
+    assert cut.active and same(plain, split)
 
 
 def test_rank_by_counts_equals_window(data):

@@ -11,23 +11,18 @@ from tickframe.functions.numbers import ratio
 from tickframe.functions.times import floor_us, from_micros, micros, to_us
 
 
-def _order_key(us: Column, start: Column, every: timedelta, tie: Sequence[str], id_bits):
+def _order_key(us: Column, start: Column, every: timedelta, tie: Sequence[str]):
     """One sortable value for (time, tie).
 
-    A single bigint keeps the whole aggregation a hash aggregation with map-side combine; a
-    struct forces sort aggregation on both sides of the shuffle (about 6 times slower on 20 M
-    rows). The bigint form needs the id to be below 2**id_bits and the offset within the bar
-    to fit beside it. Another whole-number id below 10**27 goes into a DECIMAL(38) beside the
-    offset, which still hashes.
+    One whole-number id below 5 * 10**26, which any bigint is, goes beside the offset into one
+    DECIMAL(38): the aggregation stays a hash aggregation with map-side combine. A struct, for
+    several columns or bars beyond a day, forces sort aggregation.
     """
     if not tie:
         return us
-    offset = us - start
-    if len(tie) == 1 and id_bits is not None and to_us(every).bit_length() + id_bits <= 63:
-        return F.shiftleft(offset, id_bits) + F.col(tie[0]).cast("long")
     if len(tie) == 1 and to_us(every) < 10**11:
         scale = F.lit("1" + "0" * 27).cast("decimal(28,0)")
-        wide = offset.cast("decimal(11,0)") * scale
+        wide = (us - start).cast("decimal(11,0)") * scale
         return wide.cast("decimal(38,0)") + F.col(tie[0]).cast("decimal(27,0)")
     return F.struct(us.alias("us"), *[F.col(c) for c in tie])
 
@@ -37,13 +32,13 @@ def _weighted(price: Column, weight: Column) -> Column:
     return ratio(F.sum(price * weight), F.sum(weight))
 
 
-def _grid(trades: DataFrame, every: timedelta, time: str, tie, id_bits, kept: list[str]):
+def _grid(trades: DataFrame, every: timedelta, time: str, tie, kept: list[str]):
     us = micros(time)
     start = floor_us(F.col("__us"), every)
     return (
         trades.select(*kept, *[c for c in tie if c not in kept], us.alias("__us"))
         .withColumn("__bar", start)
-        .withColumn("__ord", _order_key(F.col("__us"), F.col("__bar"), every, tie, id_bits))
+        .withColumn("__ord", _order_key(F.col("__us"), F.col("__bar"), every, tie))
     )
 
 
@@ -52,14 +47,13 @@ def time_bars(
     every: timedelta,
     time: str = "time",
     tie: Sequence[str] = ("trade_id",),
-    id_bits: int | None = None,
     label: str = "right",
 ) -> DataFrame:
     """Base-currency bars. ``time`` is the right edge (visible once complete) unless
     ``label="left"``. ``date`` stays the trade date, so the bar ending at midnight belongs to
     the day it covers. First and last follow (time, tie)."""
     kept = ["symbol", "date", "peg_symbol", "price", "quantity", "is_buyer_maker"]
-    g = _grid(trades, every, time, tie, id_bits, kept)
+    g = _grid(trades, every, time, tie, kept)
     edge = F.col("__bar") + (F.lit(to_us(every)) if label == "right" else F.lit(0))
     bars = g.groupBy("symbol", "date", "peg_symbol", "__bar").agg(*bar_measures())
     return bar_columns(bars.withColumn("time", from_micros(edge)))
@@ -101,13 +95,12 @@ def quote_bars(
     every: timedelta,
     time: str = "time",
     tie: Sequence[str] = ("trade_id",),
-    id_bits: int | None = None,
 ) -> DataFrame:
     """Quote-currency bars: left label, both volumes, quote-weighted taker prices, and the
     distance from the bar end back to its last trade in microseconds."""
     kept = ["symbol", "date", "peg_symbol", "price", "quantity", "quote_quantity",
             "is_buyer_maker"]
-    g = _grid(trades, every, time, tie, id_bits, kept)
+    g = _grid(trades, every, time, tie, kept)
     p, q, qq = F.col("price"), F.col("quantity"), F.col("quote_quantity")
     buy = F.when(F.col("is_buyer_maker"), F.lit(0.0)).otherwise(qq)
     sell = F.when(F.col("is_buyer_maker"), qq).otherwise(F.lit(0.0))

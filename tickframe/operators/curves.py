@@ -41,7 +41,7 @@ def dependence_curve(
     keep = list(dict.fromkeys([feature, weight, *accum, *([tie] if tie else [])]))
     d = df.select(*keep)
     pos = _numeric(d, feature)
-    tie_col = F.col(tie).cast("long") if tie else None
+    tie_col = F.col(tie) if tie else None
     total = d.agg(F.sum(F.col(weight).cast("double"))).first()[0]
     splits = measure_splits(d, [], pos, tie_col, min_rows=rows_per_part)
     sums = {"__w": F.col(weight).cast("double")}

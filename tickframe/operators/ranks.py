@@ -120,10 +120,16 @@ def nearest(
     return one.select(F.inline(items)).select("target_no", "target", "row.*")
 
 
-def seeded_sample(df: DataFrame, at_most: int, seed: int, order: Sequence[str] = ()) -> DataFrame:
-    """Bernoulli sample of expected size ``at_most``, optionally put back in order."""
-    n = df.count()
-    s = df if n <= at_most else df.sample(fraction=at_most / n, seed=seed)
+def seeded_sample(
+    df: DataFrame, at_most: int, seed: int, key: Sequence[str], order: Sequence[str] = (),
+) -> DataFrame:
+    """Exactly ``at_most`` rows (all, if there are fewer), optionally put back in order.
+
+    Rows are taken by the MD5 of their key and the seed, so the choice depends neither on the
+    layout of the files nor on the number of tasks; each task keeps ``at_most`` rows.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    s = df.orderBy(F.md5(F.concat(text, F.lit(f"|{seed}"))), *key).limit(at_most)
     return s.orderBy(*order) if order else s
 
 

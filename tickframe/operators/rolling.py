@@ -19,7 +19,7 @@ from tickframe.functions.numbers import ratio
 from tickframe.functions.times import from_micros, micros, to_us
 from tickframe.operators.asof import asof_join
 from tickframe.operators.scans import running_sums
-from tickframe.operators.splits import Splits
+from tickframe.operators.splits import Splits, null_safe
 
 
 @dataclass(frozen=True)
@@ -84,10 +84,11 @@ def rolling(
     centres = list(dict.fromkeys(m.centre for _, _, m in flat if m.centre))
     if centres:
         if splits is not None and splits.active:
-            means = d.groupBy(*keys).agg(
+            means = d.groupBy(*[F.col(k).alias(f"__m{i}") for i, k in enumerate(keys)]).agg(
                 *[F.avg(c).alias(f"__c{i}") for i, c in enumerate(centres)]
             )
-            d = d.join(means, list(keys), "left")
+            pairs = [(k, f"__m{i}") for i, k in enumerate(keys)]
+            d = d.join(means, null_safe(d, means, pairs), "left").drop(*[m for _, m in pairs])
         else:
             whole = Window.partitionBy(*keys)
             d = d.withColumns(
@@ -199,26 +200,19 @@ def rolling_frame(
 
 def last_per_interval(
     df: DataFrame, keys: Sequence[str], time: str, every: timedelta, out: str,
-    splits: Splits | None = None,
 ) -> DataFrame:
     """Last row of each (key, interval), labelled with the interval's end.
 
-    A row is the last one when the next row of the key falls into another interval, so the
-    partitioning and sort of a preceding rolling window are reused. With hot keys the same is
-    an aggregation per (key, interval), which has a map-side part and no per-key task.
+    Among rows of one time the largest one counts, column by column, so the result does not
+    depend on the order of the input. One aggregation with a map-side part: no task sees a key.
     """
     every_us = F.lit(to_us(every))
     d = df.withColumn("__us", micros(time))
     d = d.withColumn("__g", F.col("__us") - F.pmod(F.col("__us"), every_us))
-    if splits is not None and splits.active:
-        rest = [c for c in df.columns if c not in keys]
-        row = F.struct(*[F.col(c) for c in rest])
-        last = F.max_by(row, F.struct(F.col("__us"), row)).alias("__r")
-        d = d.groupBy(*keys, "__g").agg(last).select(
-            *[F.col(c) if c in keys else F.col(f"__r.`{c}`").alias(c) for c in df.columns], "__g"
-        )
-    else:
-        w = Window.partitionBy(*keys).orderBy("__us")
-        d = d.withColumn("__next", F.lead("__g").over(w))
-        d = d.where(F.col("__next").isNull() | (F.col("__next") != F.col("__g")))
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest])
+    last = F.max_by(row, F.struct(F.col("__us"), row)).alias("__r")
+    d = d.groupBy(*keys, "__g").agg(last).select(
+        *[F.col(c) if c in keys else F.col(f"__r.`{c}`").alias(c) for c in df.columns], "__g"
+    )
     return d.withColumn(out, from_micros(F.col("__g") + every_us)).select(*df.columns, out)

@@ -258,7 +258,9 @@ def staleness(
 
 
 def pivot_by(
-    df: DataFrame, row: str, column: str, value: str, columns: Sequence[str]
+    df: DataFrame, row: str, column: str, value: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Long to wide for known column values."""
-    return df.groupBy(row).pivot(column, list(columns)).agg(F.first(value, ignorenulls=True))
+    """Long to wide, for the given column values or for all there are (Spark refuses more than
+    ``spark.sql.pivotMaxValues``)."""
+    values = None if columns is None else list(columns)
+    return df.groupBy(row).pivot(column, values).agg(F.first(value, ignorenulls=True))

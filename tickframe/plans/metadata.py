@@ -22,8 +22,6 @@ Measures = dict[timedelta, dict[str, Measure]]
 DAY = timedelta(days=1)
 # Fixed pattern: columns that get a rank share.
 RANKED = r"^(daily_vol|liquidity)"
-# Rolling sums are exact to about 12 digits; ties are judged on fewer.
-RANK_DIGITS = 10
 
 
 def liquidity_measures() -> Measures:
@@ -68,7 +66,11 @@ class Metadata:
         ranked: str = RANKED,
         fair: str | Column = "vwap_price",
         splits: Splits | None = None,
+        rank_digits: int | None = None,
     ):
+        """``rank_digits`` ranks by that many significant digits, so that equal sums stay tied in
+        whatever order they were added up; without it values are ranked as they are."""
+        self.rank_digits = rank_digits
         self.bars, self.universe, self.event_time = bars, universe, event_time
         self.returns_interval, self.grid_interval = returns_interval, grid_interval
         self.by_bar = by_bar or liquidity_measures()
@@ -115,7 +117,7 @@ class Metadata:
         midnight that ends the last date, and no row falls into a partition not asked for.
         """
         s = last_per_interval(
-            rolled, ["symbol"], time, self.grid_interval, "grid_time", self.splits
+            rolled, ["symbol"], time, self.grid_interval, "grid_time"
         )
         if dates:
             g = F.col("grid_time").cast("timestamp")
@@ -135,7 +137,7 @@ class Metadata:
         )
         both = of_bars.join(of_returns, ["symbol", "grid_time"])
         both = rank_columns(
-            both, columns_matching(both, self.ranked), ["grid_time"], digits=RANK_DIGITS
+            both, columns_matching(both, self.ranked), ["grid_time"], digits=self.rank_digits
         )
         return both.withColumnRenamed("grid_time", "time")
 

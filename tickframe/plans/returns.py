@@ -176,7 +176,8 @@ class Returns:
             b: (min(o for c, o in points if c == b), max(o for c, o in points if c == b))
             for b in bases
         }
-        if dates == "query":
+        # A start column may lie anywhere, so its span is measured also when dates are given.
+        if dates == "query" or any(b != "__t" for b in bases):
             one = q.agg(
                 F.least(*[F.min(b) + F.lit(span[b][0]) for b in bases], F.lit(None).cast("long")).alias("lo"),
                 F.greatest(*[F.max(b) + F.lit(span[b][1]) for b in bases], F.lit(None).cast("long")).alias("hi"),
