@@ -32,6 +32,7 @@ PIVOTS = 4
 TILE_ROWS, TILE_COLUMNS = 256, 512
 DF_BUCKETS = 1 << 20  # fixed size of the table of value frequencies, 4 MB
 DF_BLOCK = 1 << 14
+ID_BUCKETS = 1 << 22  # fixed size of the table of wanted identifiers, 4 MB
 
 
 def shingle_sets(texts: list, width: int) -> list[np.ndarray]:
@@ -91,22 +92,9 @@ def value_frequencies(classes: DataFrame) -> np.ndarray:
         for b in batches:
             values = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64)
             total += np.bincount(values & np.uint64(DF_BUCKETS - 1), minlength=DF_BUCKETS).astype(np.uint32)
-        blocks = total.reshape(-1, DF_BLOCK)
-        used = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array([blocks[k].tobytes() for k in used], pa.binary())], names=["block", "counts"]
-        )
+        yield blocks_of(total)
 
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in table.column("counts").to_pylist())
-        total = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
-        return pa.table({"block": table.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    parts = classes.select("sketch").mapInArrow(count, "block int, counts binary")
-    table = np.zeros((DF_BUCKETS // DF_BLOCK, DF_BLOCK), np.uint32)
-    for row in parts.groupBy("block").applyInArrow(add, "block int, counts binary").collect():
-        table[row["block"]] = np.frombuffer(row["counts"], np.uint32)
-    return table.reshape(-1)
+    return summed_table(classes.select("sketch").mapInArrow(count, BLOCKS), DF_BUCKETS)
 
 
 def min_shared(percent: int) -> int:
@@ -144,6 +132,48 @@ def postings(classes: DataFrame, frequency: np.ndarray, percent: int) -> DataFra
     return classes.select("rep", "n", "sketch").mapInArrow(run, "value long, rep long, n long")
 
 
+def summed_table(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of the blocks (block, counts) that tasks sent, as one table of ``size`` numbers."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in table.column("counts").to_pylist())
+        total = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
+        return pa.table({"block": table.column("block").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((size // DF_BLOCK, DF_BLOCK), np.uint32)
+    for row in parts.groupBy("block").applyInArrow(add, BLOCKS).collect():
+        out[row["block"]] = np.frombuffer(row["counts"], np.uint32)
+    return out.reshape(-1)
+
+
+def blocks_of(total: np.ndarray) -> pa.RecordBatch:
+    blocks = total.astype(np.uint32).reshape(-1, DF_BLOCK)
+    used = np.flatnonzero(blocks.any(axis=1))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(used.astype(np.int32)), pa.array([blocks[k].tobytes() for k in used], pa.binary())], names=["block", "counts"]
+    )
+
+
+BLOCKS = "block int, counts binary"
+
+
+def bucket_of(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) & np.uint64(ID_BUCKETS - 1)).astype(np.int64)
+
+
+def id_filter(reps: DataFrame) -> np.ndarray:
+    """True in the buckets of the identifiers in ``reps`` (rep): a table of fixed size that lets all
+    of them through, and few others while they are far fewer than ID_BUCKETS."""
+
+    def count(batches):
+        total = np.zeros(ID_BUCKETS, bool)
+        for b in batches:
+            total[bucket_of(b.column(0).to_numpy())] = True
+        yield blocks_of(total)
+
+    return summed_table(reps.mapInArrow(count, BLOCKS), ID_BUCKETS) > 0
+
+
 def size_fits(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -174,21 +204,26 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, reps: DataFrame, classes: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(rep, items): full sets of the representatives in ``reps`` (rep)."""
-    wanted = id_and_text(docs, id_col, text_col).withColumn("rep", F.col("row_id").cast("long")).join(reps, "rep", "left_semi")
-
-    def start():
-        def compute(texts: list):
-            sets = shingle_sets(texts, width)
-            return [
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                pa.array([s.tobytes() for s in sets], pa.binary()),
-            ]
+    """(rep, items): full sets of the representatives in ``reps`` (rep).
 
-        return compute
+    Only texts whose identifier passes a filter of fixed size become sets; the sets, not the texts,
+    are then joined with the representatives.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(reps))
+    ids = id_and_text(docs, id_col, text_col).where("row_id IS NOT NULL")
+    ids = ids.select(F.col("row_id").cast("long").alias("rep"), "row_text")
 
-    fields = [T.StructField("key", T.BinaryType()), T.StructField("items", T.BinaryType())]
-    found = map_texts(wanted.select("rep", "row_text"), "rep", "row_text", fields, start)
+    def run(batches):
+        for b in batches:
+            b = b.filter(pa.array(wanted.value[bucket_of(b.column(0).to_numpy())]))
+            sets = shingle_sets(b.column(1).to_pylist(), width)
+            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["rep", "key", "items"],
+            )
+
+    found = ids.mapInArrow(run, "rep long, key binary, items binary").join(reps, "rep", "left_semi")
     # An identifier that repeats with another text must not stand for the representative.
     return found.join(classes.select("rep", "key"), ["rep", "key"], "left_semi").select("rep", "items")
 
