@@ -2,7 +2,7 @@
 
 from registry.base import ORACLE, QUERIES
 from registry import (  # noqa: F401  (importing registers the queries)
-    bars, curves, engines, feats, feeds, storage, tables,
+    bars, curves, engines, feats, feeds, scale, storage, tables,
 )
 
 __all__ = ["ORACLE", "QUERIES"]

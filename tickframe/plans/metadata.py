@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickframe.functions.times import as_col, day_points, micros
 from tickframe.operators.asof import asof_join
@@ -14,6 +14,7 @@ from tickframe.operators.rolling import (
     Measure, filled, last_per_interval, mean, rolling, root_total, sample_std, total, total_ratio,
 )
 from tickframe.operators.splits import Splits
+from tickframe.plans.dataset import DateTable
 from tickframe.operators.tables import columns_matching
 from tickframe.plans.returns import Returns
 
@@ -151,3 +152,12 @@ def append_metadata(
     return asof_join(
         df, metadata, time, "time", [symbol], ["symbol"], values=values, tie=(), splits=splits
     )
+
+
+def metadata_table(spark: SparkSession, metadata: Metadata, path: str) -> DateTable:
+    """Metadata as an incremental table: a batch of dates reads only the bars its lookbacks reach."""
+
+    def compute(dates: list[date]) -> DataFrame:
+        return metadata.compute((min(dates), max(dates))).where(F.col("date").isin(dates))
+
+    return DateTable(spark, path, metadata.universe, compute)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickframe.operators.splits import Splits
+from tickframe.plans.dataset import DateTable
 from tickframe.plans.metadata import append_metadata
 from tickframe.plans.returns import Mark, Returns
 
@@ -58,3 +59,20 @@ def research_table(
         row_key=["symbol", "date", "time"], dates=dates,
     )
     return append_metadata(with_returns, metadata, splits=splits)
+
+
+def research_dates(
+    spark: SparkSession, path: str, index_bars: DataFrame, backend_bars: DataFrame, metadata: DataFrame,
+    **options,
+) -> DateTable:
+    """The research table as an incremental table over the dates of the index bars.
+
+    A batch reads the backend bars and the metadata of its own dates, the span of the marks and
+    one tolerance; ``options`` go to ``research_table``.
+    """
+
+    def compute(dates: list[date]) -> DataFrame:
+        rows = research_table(index_bars, backend_bars, metadata, (min(dates), max(dates)), **options)
+        return rows.where(F.col("date").isin(dates))
+
+    return DateTable(spark, path, index_bars.select("symbol", "date"), compute)

@@ -116,22 +116,24 @@ def books_flat(df: DataFrame, text: str = "value") -> DataFrame:
 def flat_levels(df: DataFrame) -> DataFrame:
     """symbol, received_time, time, levels (bids, asks) to one row per level.
 
-    The cumulative size is an array expression inside the row: no shuffle.
+    The running sizes are built once per side, inside the row: no shuffle.
     """
-    zero = F.lit(0.0)
     sides = df.select(
         "symbol", "received_time", "time", F.posexplode("levels").alias("side_no", "side")
     )
     sizes = F.transform("side", lambda x: parse_number(x["sz"]))
-    s = sides.withColumn("sizes", sizes)
-    s = s.select("*", F.posexplode("side").alias("depth", "level"))
+    running = F.aggregate(
+        sizes, F.array(F.lit(0.0)), lambda sums, x: F.array_append(sums, F.element_at(sums, -1) + x)
+    )
+    s = sides.withColumn("levels", F.arrays_zip(F.col("side"), F.slice(running, 2, 1 << 30).alias("csize")))
+    s = s.select("*", F.posexplode("levels").alias("depth", "pair")).withColumns(
+        {"level": F.col("pair.side"), "csize": F.col("pair.csize")}
+    )
     return s.select(
         "symbol", "received_time", "time", (F.col("side_no") == 0).alias("is_bid"),
         F.col("depth").cast("smallint").alias("depth"),
         parse_number("level.px").alias("price"),
-        F.aggregate(
-            F.slice("sizes", F.lit(1), F.col("depth") + 1), zero, lambda a, x: a + x
-        ).alias("csize"),
+        "csize",
         F.col("level.n").cast("smallint").alias("num_orders"),
     )
 
