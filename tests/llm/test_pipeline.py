@@ -46,3 +46,21 @@ def test_run_returns_the_packed_pieces(spark, sf):
 def test_every_operator_has_one_query(n):
     assert len([q for q in queries() if q.startswith(f"op{n}_")]) == 1
     assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("rows", [
+    [],
+    [(None, None, None, None, None, None)] * 2 + [(1, "", "en", "s", 0, 1), (2, "a b c d e f", None, None, None, 2), (3, "a b c d e f", "en", "s", 11, 3)],
+])
+def test_stages_take_odd_rows(spark, sf, rows):
+    """No rows; null in every column; repeated rows; an extra column with a name used inside."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row_id long")
+    ids = {r[0] for r in rows}
+    for name, stage in corpus_pipeline.STAGES:
+        got = stored(stage(spark, docs, sf), name)
+        assert {r.doc_id for r in got.select("doc_id").collect()} <= ids
+        if name == "exact_dedup":
+            # the two equal texts leave the larger id; null and empty texts are one group
+            assert sorted(r.doc_id for r in got.collect()) == [i for i in (1, 3) if i in ids]
+        if name != "packing":
+            assert got.columns == docs.columns
