@@ -80,6 +80,47 @@ def test_failed_batches_are_collected_and_raised(spark, days):
     assert t.invalid(recompute=True) == [D(2024, 1, 3), D(2024, 1, 4)]
 
 
+def test_only_confirmed_dates_are_valid(spark, days):
+    """A date that computes to nothing is not valid, nor is one whose recomputation fails."""
+    state = {"fail": False, "checked": []}
+
+    def compute(dates):
+        if state["fail"]:
+            raise OSError("disk")
+        return days.where(F.col("date").isin(dates) & (F.col("date") != F.lit(D(2024, 1, 2))))
+
+    def check(table):
+        seen = table.groupBy("date").agg((F.count(F.lit(1)) > 0).alias("ok"))
+        state["checked"].append({r["date"] for r in seen.collect()})
+        return seen
+
+    t = DateTable(spark, scratch_path(spark, "v"), days.select("symbol", "date"), compute, check)
+    t.compute()
+    assert D(2024, 1, 2) not in t.validated() and t.num_validated() == 5
+    state["checked"].clear()
+    assert t.invalid() == [D(2024, 1, 2)] and state["checked"] == [set()]  # only the unknown date is read
+    state["fail"] = True
+    with pytest.raises(RuntimeError):
+        t.compute([D(2024, 1, 3)], recompute=True)
+    assert D(2024, 1, 3) not in t.validated() and t.num_validated() == 4
+
+
+def test_a_damaged_archive_leaves_no_rows(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    rows = "".join(f"{i},1.5,2.0,3.0,{1735603200000 + i},True,True\n" for i in range(450_000))
+    for name in ("AAA", "BBB"):
+        with zipfile.ZipFile(raw / f"{name}-trades-2024-12-31.zip", "w", zipfile.ZIP_STORED) as z:
+            z.writestr(f"{name}-trades-2024-12-31.csv", rows)
+    data = bytearray((raw / "BBB-trades-2024-12-31.zip").read_bytes())
+    data[-2000] ^= 1  # the last chunk; only the checksum can tell
+    (raw / "BBB-trades-2024-12-31.zip").write_bytes(bytes(data))
+    uni = spark.createDataFrame([(n, D(2024, 12, 31)) for n in ("AAA", "BBB")], "symbol string, date date")
+    job = Ingest(spark, str(raw), str(tmp_path / "hive"))
+    assert {r["symbol"]: r["status"] for r in job.update(uni).collect()} == {"AAA": "success", "BBB": "failed"}
+    assert {r["symbol"]: r["count"] for r in spark.read.parquet(job.hive).groupBy("symbol").count().collect()} == {"AAA": 450_000}
+
+
 def test_universe_needs_its_columns(spark, days):
     with pytest.raises(ValueError):
         DateTable(spark, "/tmp/x", days.select("symbol"))
