@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from registry.base import (
-    BAR_COLS_ROUNDED, BARS10_SQL, LOTS_SQL, M10, OFF_TIE, bars10, bars_sql, lots, off_tie, query,
+    BAR_COLS, BARS10_SQL, LOTS_SQL, M10, SCALE, bars10, bars_sql, exact, lots, query,
     tick_splits, ticks, tk_sql,
 )
 from tickframe.functions.numbers import spread, spread_bps, mid
@@ -18,19 +18,20 @@ from tickframe.operators.scans import pct_change, previous
 from tickframe.operators.tables import symbols_per_date
 
 
-@query("bars_10m", f"WITH {BARS10_SQL} SELECT {BAR_COLS_ROUNDED} FROM bars")
+@query("bars_10m", f"WITH {BARS10_SQL} SELECT {BAR_COLS} FROM bars", digits=None)
 def bars_10m(spark, sf):
-    return off_tie(bars10(spark, sf))
+    return bars10(spark, sf)
 
 
 @query(
     "bars_1d_trades",
     "WITH " + LOTS_SQL + ",\n"
     + bars_sql("bars", "lots", "1 day", "time, l_orderkey, l_linenumber, l_partkey, l_suppkey")
-    + f" SELECT {BAR_COLS_ROUNDED} FROM bars",
+    + f" SELECT {BAR_COLS} FROM bars",
+    digits=None,
 )
 def bars_1d_trades(spark, sf):
-    return off_tie(time_bars(lots(spark, sf), timedelta(days=1), tie=("lot_id",)))
+    return time_bars(lots(spark, sf), timedelta(days=1), tie=("lot_id",), scale=SCALE)
 
 
 @query(
@@ -47,27 +48,23 @@ def bars_left_label(spark, sf):
     "bars_quote",
     f"""WITH {tk_sql()}
 SELECT symbol, date, peg_symbol, time_bucket(INTERVAL '1 hour', time) AS time,
-  round(first(price ORDER BY time, trade_id) + {OFF_TIE}, 6) AS open, round(max(price) + {OFF_TIE}, 6) AS high,
-  round(min(price) + {OFF_TIE}, 6) AS low, round(last(price ORDER BY time, trade_id) + {OFF_TIE}, 6) AS close,
-  round(sum(quantity) + {OFF_TIE}, 6) AS volume_base, round(sum(quote_quantity) + {OFF_TIE}, 6) AS volume_quote,
-  count(*) AS trade_count,
-  round(sum(CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END) + {OFF_TIE}, 6)
-    AS taker_buy_volume_quote,
-  round(sum(CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END) + {OFF_TIE}, 6)
-    AS taker_sell_volume_quote,
-  round(sum(CASE WHEN is_buyer_maker THEN 0 ELSE price * quote_quantity END)
-    / nullif(sum(CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END), 0) + {OFF_TIE}, 6)
-    AS vwap_taker_buy,
-  round(sum(CASE WHEN is_buyer_maker THEN price * quote_quantity ELSE 0 END)
-    / nullif(sum(CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END), 0) + {OFF_TIE}, 6)
-    AS vwap_taker_sell,
-  round(sum(price * quantity) / nullif(sum(quantity), 0) + {OFF_TIE}, 6) AS vwap_total_by_base,
+  first(price ORDER BY time, trade_id) AS open, max(price) AS high, min(price) AS low,
+  last(price ORDER BY time, trade_id) AS close,
+  {exact('quantity')} AS volume_base, {exact('quote_quantity')} AS volume_quote, count(*) AS trade_count,
+  {exact('CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END')} AS taker_buy_volume_quote,
+  {exact('CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END')} AS taker_sell_volume_quote,
+  {exact('CASE WHEN is_buyer_maker THEN 0 ELSE price * quote_quantity END')}
+    / nullif({exact('CASE WHEN is_buyer_maker THEN 0 ELSE quote_quantity END')}, 0) AS vwap_taker_buy,
+  {exact('CASE WHEN is_buyer_maker THEN price * quote_quantity ELSE 0 END')}
+    / nullif({exact('CASE WHEN is_buyer_maker THEN quote_quantity ELSE 0 END')}, 0) AS vwap_taker_sell,
+  {exact('price * quantity')} / nullif({exact('quantity')}, 0) AS vwap_total_by_base,
   epoch_us(time_bucket(INTERVAL '1 hour', tk.time) + INTERVAL '1 hour') - epoch_us(max(tk.time))
     AS actual_time_offset_us
 FROM tk GROUP BY symbol, date, peg_symbol, time_bucket(INTERVAL '1 hour', tk.time)""",
+    digits=None,
 )
 def bars_quote(spark, sf):
-    return off_tie(quote_bars(ticks(spark, sf), timedelta(hours=1)))
+    return quote_bars(ticks(spark, sf), timedelta(hours=1), scale=SCALE)
 
 
 @query(

@@ -19,14 +19,16 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 M10 = timedelta(minutes=10)
+SCALE = 4  # digits of the amounts in the test tables
 
 
-def query(name: str, sql: str | None = None, digits: int = 6):
-    """Register a query; double columns of its result are rounded to ``digits``."""
+def query(name: str, sql: str | None = None, digits: int | None = 6):
+    """Register a query; double columns of its result are rounded to ``digits``, or left as they are."""
 
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return rounded(fn(prepare(spark), sf_dir), digits)
+            made = fn(prepare(spark), sf_dir)
+            return made if digits is None else rounded(made, digits)
 
         QUERIES[name] = run
         if sql is not None:
@@ -96,7 +98,7 @@ def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars10(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataFrame:
-    return time_bars(ticks(spark, sf_dir, symbol), M10)
+    return time_bars(ticks(spark, sf_dir, symbol), M10, scale=SCALE)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -131,6 +133,11 @@ LOTS_SQL = """lots AS (
   FROM lineitem)"""
 
 
+def exact(value: str) -> str:
+    """A sum of amounts as decimals, the same in whatever order they come."""
+    return f"CAST(sum(CAST({value} AS DECIMAL(28, {SCALE}))) AS DOUBLE)"
+
+
 def bars_sql(name: str, src: str, every: str, order: str) -> str:
     """Bar CTE over a trade CTE."""
     return f"""{name} AS (
@@ -138,41 +145,22 @@ def bars_sql(name: str, src: str, every: str, order: str) -> str:
          peg_symbol,
          first(price ORDER BY {order}) AS open, max(price) AS high, min(price) AS low,
          last(price ORDER BY {order}) AS close,
-         sum(quantity) AS volume, count(*) AS trade_count, max(time) AS last_event_time,
-         sum(CASE WHEN is_buyer_maker THEN 0 ELSE quantity END) AS taker_buy_volume,
-         sum(CASE WHEN is_buyer_maker THEN quantity ELSE 0 END) AS taker_sell_volume,
-         sum(CASE WHEN is_buyer_maker THEN 0 ELSE price * quantity END)
-           / nullif(sum(CASE WHEN is_buyer_maker THEN 0 ELSE quantity END), 0) AS vwap_taker_buy,
-         sum(CASE WHEN is_buyer_maker THEN price * quantity ELSE 0 END)
-           / nullif(sum(CASE WHEN is_buyer_maker THEN quantity ELSE 0 END), 0) AS vwap_taker_sell,
-         sum(price * quantity) / nullif(sum(quantity), 0) AS vwap_price
+         {exact('quantity')} AS volume, count(*) AS trade_count, max(time) AS last_event_time,
+         {exact('CASE WHEN is_buyer_maker THEN 0 ELSE quantity END')} AS taker_buy_volume,
+         {exact('CASE WHEN is_buyer_maker THEN quantity ELSE 0 END')} AS taker_sell_volume,
+         {exact('CASE WHEN is_buyer_maker THEN 0 ELSE price * quantity END')}
+           / nullif({exact('CASE WHEN is_buyer_maker THEN 0 ELSE quantity END')}, 0) AS vwap_taker_buy,
+         {exact('CASE WHEN is_buyer_maker THEN price * quantity ELSE 0 END')}
+           / nullif({exact('CASE WHEN is_buyer_maker THEN quantity ELSE 0 END')}, 0) AS vwap_taker_sell,
+         {exact('price * quantity')} / nullif({exact('quantity')}, 0) AS vwap_price
   FROM {src}
   GROUP BY symbol, date, time_bucket(INTERVAL '{every}', time), peg_symbol)"""
 
 
 BARS10_SQL = tk_sql() + ",\n" + bars_sql("bars", "tk", "10 minutes", "time, trade_id")
 
-# Shifts a value off the decimal ties that divisions by small quantities produce, so that the
-# last summation bit cannot decide the rounding. Applied on both sides of a comparison.
-OFF_TIE = 1.23e-8
-BAR_COLS_ROUNDED = f"""symbol, date, time, peg_symbol, round(open + {OFF_TIE}, 6) AS open,
-  round(high + {OFF_TIE}, 6) AS high, round(low + {OFF_TIE}, 6) AS low, round(close + {OFF_TIE}, 6) AS close,
-  round(volume + {OFF_TIE}, 6) AS volume, trade_count, last_event_time,
-  round(taker_buy_volume + {OFF_TIE}, 6) AS taker_buy_volume,
-  round(taker_sell_volume + {OFF_TIE}, 6) AS taker_sell_volume,
-  round(vwap_taker_buy + {OFF_TIE}, 6) AS vwap_taker_buy,
-  round(vwap_taker_sell + {OFF_TIE}, 6) AS vwap_taker_sell, round(vwap_price + {OFF_TIE}, 6) AS vwap_price"""
-
-
-def off_tie(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[
-            (F.col(f.name) + F.lit(OFF_TIE)).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+BAR_COLS = """symbol, date, time, peg_symbol, open, high, low, close, volume, trade_count, last_event_time,
+  taker_buy_volume, taker_sell_volume, vwap_taker_buy, vwap_taker_sell, vwap_price"""
 
 
 def rounds(digits: int, *names: str) -> str:

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from registry.base import (
-    BAR_COLS_ROUNDED, BARS10_SQL, M10, off_tie, query, table, ticks, tk_sql,
+    BAR_COLS, BARS10_SQL, M10, SCALE, query, table, ticks, tk_sql,
 )
 from tickframe.operators.tables import split_valid
 from tickframe.session import scratch_path
@@ -404,10 +404,19 @@ def last_turn(spark, sf):
 
 # ---- streams, drained to the end -------------------------------------------------------
 
-def _tick_stream(spark, sf) -> DataFrame:
-    e = table_stream(
-        spark, sf, table(spark, sf, "events").schema, files="events.parquet"
-    )
+def _tick_stream(spark, sf, closed: bool = False) -> DataFrame:
+    """Events as a stream of trades; ``closed`` adds a row two days later that ends every bar."""
+    schema = table(spark, sf, "events").schema
+    if closed:
+        folder = scratch_path(spark, "closed-events")
+        e = table(spark, sf, "events")
+        end = e.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")).select(
+            *[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        )
+        e.union(end).write.parquet(folder)
+        e = table_stream(spark, folder, schema)
+    else:
+        e = table_stream(spark, sf, schema, files="events.parquet")
     return e.select(
         F.col("event_type").alias("symbol"), F.col("ts").alias("time"),
         F.to_date("ts").alias("date"), F.lit("USD").alias("peg_symbol"),
@@ -418,15 +427,15 @@ def _tick_stream(spark, sf) -> DataFrame:
 
 @query(
     "stream_bars",
-    f"WITH {BARS10_SQL} SELECT {BAR_COLS_ROUNDED} FROM bars "
-    "WHERE time <= (SELECT max(time) FROM tk) - INTERVAL '1 hour'",
+    f"WITH {BARS10_SQL} SELECT {BAR_COLS} FROM bars",
+    digits=None,
 )
 def stream_bars(spark, sf):
-    """Bars the watermark has closed; one hour of lateness is still open."""
+    """All bars of a stream, closed by a row beyond the last watermark."""
     out = scratch_path(spark, "stream-bars")
-    b = streaming_bars(_tick_stream(spark, sf), M10, "1 hour")
+    b = streaming_bars(_tick_stream(spark, sf, closed=True), M10, "1 hour", scale=SCALE)
     drain(file_sink(b, out, f"{out}-checkpoint", every=None))
-    return off_tie(spark.read.parquet(out))
+    return spark.read.parquet(out)
 
 
 @query("stitched_stream", "SELECT event_id, event_type AS symbol, value FROM events")

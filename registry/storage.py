@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from registry.base import (
-    BAR_COLS_ROUNDED, BARS10_SQL, M10, off_tie, query, stored, table, ticks, tk_sql,
+    BAR_COLS, BARS10_SQL, M10, SCALE, query, stored, table, ticks, tk_sql,
 )
 from registry.curves import CURVE_SQL, _input
 from registry.feeds import BOOK_SQL, book_messages
@@ -75,26 +75,14 @@ def partition_validity(spark, sf):
     return DateTable(spark, path, t.select("symbol", "date")).check()
 
 
-@query("bars_incremental", f"WITH {BARS10_SQL} SELECT {BAR_COLS_ROUNDED} FROM bars")
+@query("bars_incremental", f"WITH {BARS10_SQL} SELECT {BAR_COLS} FROM bars", digits=None)
 def bars_incremental(spark, sf):
     t = ticks(spark, sf)
     path = scratch_path(spark, "bars")
-    b = bar_table(spark, t, t.select("symbol", "date"), path, M10)
+    b = bar_table(spark, t, t.select("symbol", "date"), path, M10, scale=SCALE)
     b.compute([d for d in b.partitions() if d.day <= 10], days_per_batch=6)
     b.compute(days_per_batch=30)
-    return off_tie(b[None]).select(*[c.split(" AS ")[-1].strip() for c in _names(BAR_COLS_ROUNDED)])
-
-
-def _names(sql: str) -> list[str]:
-    depth, out, cur = 0, [], ""
-    for ch in sql:
-        depth += (ch == "(") - (ch == ")")
-        if ch == "," and depth == 0:
-            out.append(cur)
-            cur = ""
-        else:
-            cur += ch
-    return [*out, cur]
+    return b[None].select(*[c.strip() for c in BAR_COLS.split(",")])
 
 
 @query(

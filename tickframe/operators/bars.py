@@ -11,7 +11,7 @@ from tickframe.functions.numbers import ratio
 from tickframe.functions.times import floor_us, from_micros, micros, to_us
 
 
-def _order_key(us: Column, start: Column, every: timedelta, tie: Sequence[str]):
+def order_key(us: Column, start: Column, every: timedelta, tie: Sequence[str]):
     """One sortable value for (time, tie).
 
     One whole-number id below 5 * 10**26, which any bigint is, goes beside the offset into one
@@ -27,9 +27,14 @@ def _order_key(us: Column, start: Column, every: timedelta, tie: Sequence[str]):
     return F.struct(us.alias("us"), *[F.col(c) for c in tie])
 
 
-def _weighted(price: Column, weight: Column) -> Column:
+def _sum(value: Column, scale: int | None) -> Column:
+    """A sum of doubles, or of decimals with ``scale`` digits, which does not depend on the order."""
+    return F.sum(value) if scale is None else F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
+
+
+def _weighted(price: Column, weight: Column, scale: int | None) -> Column:
     """sum(p*w) / sum(w); NULL when the weights add up to zero."""
-    return ratio(F.sum(price * weight), F.sum(weight))
+    return ratio(_sum(price * weight, scale), _sum(weight, scale))
 
 
 def _grid(trades: DataFrame, every: timedelta, time: str, tie, kept: list[str]):
@@ -38,7 +43,7 @@ def _grid(trades: DataFrame, every: timedelta, time: str, tie, kept: list[str]):
     return (
         trades.select(*kept, *[c for c in tie if c not in kept], us.alias("__us"))
         .withColumn("__bar", start)
-        .withColumn("__ord", _order_key(F.col("__us"), F.col("__bar"), every, tie))
+        .withColumn("__ord", order_key(F.col("__us"), F.col("__bar"), every, tie))
     )
 
 
@@ -48,18 +53,20 @@ def time_bars(
     time: str = "time",
     tie: Sequence[str] = ("trade_id",),
     label: str = "right",
+    scale: int | None = None,
 ) -> DataFrame:
     """Base-currency bars. ``time`` is the right edge (visible once complete) unless
     ``label="left"``. ``date`` stays the trade date, so the bar ending at midnight belongs to
-    the day it covers. First and last follow (time, tie)."""
+    the day it covers. First and last follow (time, tie). ``scale`` adds up amounts exactly, as
+    decimals of so many digits: bars then repeat to the last bit."""
     kept = ["symbol", "date", "peg_symbol", "price", "quantity", "is_buyer_maker"]
     g = _grid(trades, every, time, tie, kept)
     edge = F.col("__bar") + (F.lit(to_us(every)) if label == "right" else F.lit(0))
-    bars = g.groupBy("symbol", "date", "peg_symbol", "__bar").agg(*bar_measures())
+    bars = g.groupBy("symbol", "date", "peg_symbol", "__bar").agg(*bar_measures(scale))
     return bar_columns(bars.withColumn("time", from_micros(edge)))
 
 
-def bar_measures() -> list[Column]:
+def bar_measures(scale: int | None = None) -> list[Column]:
     """Aggregates of one bar over price, quantity, is_buyer_maker, __us and __ord."""
     p, q = F.col("price"), F.col("quantity")
     buy = F.when(F.col("is_buyer_maker"), F.lit(0.0)).otherwise(q)
@@ -69,14 +76,14 @@ def bar_measures() -> list[Column]:
         F.max(p).alias("high"),
         F.min(p).alias("low"),
         F.max_by(p, "__ord").alias("close"),
-        F.sum(q).alias("volume"),
+        _sum(q, scale).alias("volume"),
         F.count(F.lit(1)).alias("trade_count"),
         F.max("__us").alias("__last"),
-        F.sum(buy).alias("taker_buy_volume"),
-        F.sum(sell).alias("taker_sell_volume"),
-        _weighted(p, buy).alias("vwap_taker_buy"),
-        _weighted(p, sell).alias("vwap_taker_sell"),
-        _weighted(p, q).alias("vwap_price"),
+        _sum(buy, scale).alias("taker_buy_volume"),
+        _sum(sell, scale).alias("taker_sell_volume"),
+        _weighted(p, buy, scale).alias("vwap_taker_buy"),
+        _weighted(p, sell, scale).alias("vwap_taker_sell"),
+        _weighted(p, q, scale).alias("vwap_price"),
     ]
 
 
@@ -95,6 +102,7 @@ def quote_bars(
     every: timedelta,
     time: str = "time",
     tie: Sequence[str] = ("trade_id",),
+    scale: int | None = None,
 ) -> DataFrame:
     """Quote-currency bars: left label, both volumes, quote-weighted taker prices, and the
     distance from the bar end back to its last trade in microseconds."""
@@ -109,15 +117,15 @@ def quote_bars(
         F.max(p).alias("high"),
         F.min(p).alias("low"),
         F.max_by(p, "__ord").alias("close"),
-        F.sum(q).alias("volume_base"),
-        F.sum(qq).alias("volume_quote"),
+        _sum(q, scale).alias("volume_base"),
+        _sum(qq, scale).alias("volume_quote"),
         F.count(F.lit(1)).alias("trade_count"),
         F.max("__us").alias("__last"),
-        F.sum(buy).alias("taker_buy_volume_quote"),
-        F.sum(sell).alias("taker_sell_volume_quote"),
-        _weighted(p, buy).alias("vwap_taker_buy"),
-        _weighted(p, sell).alias("vwap_taker_sell"),
-        _weighted(p, q).alias("vwap_total_by_base"),
+        _sum(buy, scale).alias("taker_buy_volume_quote"),
+        _sum(sell, scale).alias("taker_sell_volume_quote"),
+        _weighted(p, buy, scale).alias("vwap_taker_buy"),
+        _weighted(p, sell, scale).alias("vwap_taker_sell"),
+        _weighted(p, q, scale).alias("vwap_total_by_base"),
     )
     end = F.col("__bar") + F.lit(to_us(every))
     return bars.withColumns(

@@ -8,8 +8,8 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickframe.functions.times import from_micros, micros
-from tickframe.operators.bars import bar_columns, bar_measures
+from tickframe.functions.times import floor_us, from_micros, micros
+from tickframe.operators.bars import bar_columns, bar_measures, order_key
 from tickframe.sinks.files import children, exists, remove
 from tickframe.streaming.messages import CONTROL, TRADES, envelope
 
@@ -52,7 +52,7 @@ def current_values(df: DataFrame, by: Sequence[str], time: str) -> DataFrame:
 
 def streaming_bars(
     trades: DataFrame, every: timedelta, lateness: str, time: str = "time",
-    tie: Sequence[str] = ("trade_id",),
+    tie: Sequence[str] = ("trade_id",), scale: int | None = None,
 ) -> DataFrame:
     """Batch bars on a stream: same columns, state bounded by the watermark.
 
@@ -62,9 +62,10 @@ def streaming_bars(
     seconds = f"{every.total_seconds()} seconds"
     d = trades.withColumn("__ts", F.col(time).cast("timestamp")).withWatermark("__ts", lateness)
     us = micros("__ts")
-    d = d.withColumn("__us", us).withColumn("__ord", F.struct(us.alias("us"), *tie))
+    start = floor_us(F.col("__us"), every)
+    d = d.withColumn("__us", us).withColumn("__ord", order_key(F.col("__us"), start, every, tie))
     g = d.groupBy("symbol", "date", "peg_symbol", F.window("__ts", seconds).alias("__w")).agg(
-        *bar_measures()
+        *bar_measures(scale)
     )
     end = from_micros(micros(F.col("__w.end")))
     return bar_columns(g.withColumn("time", end))
