@@ -28,7 +28,7 @@ from tickframe.llm.spans import text_batches, word_hashes
 from tickframe.session import scratch_path
 
 SHARD_CHARS = 16_000_000  # text per shard
-LEAST_SHARDS, MOST_SHARDS = 16, 1 << 14
+LEAST_SHARDS, MOST_SHARDS = 16, 1 << 20
 HOT_PARTS = 4  # a context with more than 1 / (HOT_PARTS * shards) of all tokens is split off
 RUN_ENTRIES = 1 << 20
 LEAST_COUNT = 2  # pairs below leave their mass to single words
