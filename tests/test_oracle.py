@@ -13,7 +13,7 @@ QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 # Compositions that another test covers piece by piece; the check tool runs them at sf0.01.
 SLOW = {
     "research_table", "metadata_append", "bars_incremental", "compacted", "ingest_summary",
-    "ingested_trades",
+    "ingested_trades", "metadata_incremental",
 }
 
 
