@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -24,6 +25,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Python workers of a session that was started elsewhere must find this package, too.
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     app = spark.sparkContext.applicationId
     if not spark.conf.get(SCRATCH, None) and spark.sparkContext.master.startswith("local["):
         # One machine, no cluster: the session gets a folder of its own, gone when it ends.
