@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tickframe.llm.rows import id_and_text, stored
+from tickframe.llm.rows import id_and_text, stored, without_rows
 
 FAN_BITS = 3
 FAN = 1 << FAN_BITS
@@ -156,9 +156,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one row of every different text. A row given twice, id and text, stays once."""
     verdict = stored(exact_duplicates(docs, id_col, text_col, keep), "verdict")
     dropped = verdict.where("NOT kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    named = docs.withColumn("_digest", F.sha2(text, 256))
-    left = named.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")), "left_anti")
+    digest = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
+    left = without_rows(
+        docs, dropped, id_col,
+        lambda rows: F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (digest == F.col("_sha")),
+    )
     if not verdict.where("kept").groupBy("text_sha256").count().where("count > 1").isEmpty():
-        left = left.dropDuplicates(["_digest"])
+        left = left.withColumn("_digest", digest).dropDuplicates(["_digest"])
     return left.select(docs.columns)

@@ -11,6 +11,7 @@ from tickframe.session import scratch_path
 from tickframe.sinks.tables import write_table
 
 ARROW_ROWS = 1000
+DROP_BUCKETS = 1 << 20
 
 
 def prepare_texts(spark: SparkSession) -> SparkSession:
@@ -42,6 +43,21 @@ def may_learn(id_col: str, parts: int, part: int) -> Column:
     return F.col(f"`{id_col}`").isNotNull() & ~held_out(id_col, parts, part)
 
 
+def without_rows(docs: DataFrame, dropped: DataFrame, id_col: str, same: Callable[[DataFrame], Column]) -> DataFrame:
+    """``docs`` without the rows that ``dropped`` (with a column ``_id``) names.
+
+    Identifiers fall into DROP_BUCKETS buckets. Rows of a bucket without dropped identifiers, as
+    most are, stay without moving; only the others are joined, on ``same(rows)``. The
+    broadcast list of buckets holds DROP_BUCKETS numbers at most, whatever is dropped.
+    """
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(DROP_BUCKETS))
+    hit = F.broadcast(dropped.select(bucket(F.col("_id")).alias("_hit")).distinct())
+    here = bucket(F.col(f"`{id_col}`"))
+    safe = docs.join(hit, here == F.col("_hit"), "left_anti")
+    rest = docs.join(hit, here == F.col("_hit"), "left_semi")
+    return safe.union(rest.join(dropped, same(rest), "left_anti"))
+
+
 def map_texts(
     docs: DataFrame, id_col: str, text_col: str, fields: list[T.StructField],
     start: Callable[[], Callable[[list], list]],

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickframe.llm.components import components
-from tickframe.llm.rows import id_and_text, map_texts, stored
+from tickframe.llm.rows import id_and_text, map_texts, stored, without_rows
 from tickframe.llm.spans import mix, text_batches, word_hashes
 
 K = 64
@@ -374,4 +374,5 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that are not the first of their component."""
     verdict = stored(near_duplicates(docs, width, percent, id_col, text_col), "near")
-    return docs.join(verdict.where("NOT kept").select(id_col), id_col, "left_anti").select(docs.columns)
+    dropped = verdict.where("NOT kept").select(F.col(id_col).alias("_id"))
+    return without_rows(docs, dropped, id_col, lambda rows: F.col(f"`{id_col}`") == F.col("_id"))
