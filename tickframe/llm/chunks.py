@@ -8,7 +8,7 @@ import numpy as np
 
 from tickframe.llm.spans import TextBatch
 
-GENERATION = 300_000
+GENERATION = 200_000
 
 
 class ChunkTable:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tickframe.session import scratch_path
 from tickframe.sinks.tables import write_table
 
-ARROW_ROWS = 1000
+ARROW_ROWS = 256
 DROP_BUCKETS = 1 << 20
 
 
