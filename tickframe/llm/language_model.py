@@ -4,8 +4,10 @@ Level one lists the words (as 64-bit hashes, in order, so a word's number is its
 counts. Level two is the children of each word: Elias-Fano pointers from a word to its range, the
 following words in that range made monotone by adding the last value of the range before, also
 Elias-Fano coded, and their smoothed probabilities as 16-bit steps. A word pair is found by a
-successor search relative to its context. Probabilities interpolate discounted pair frequencies
-with add-one word frequencies; pairs seen once give all their mass to the latter.
+successor search relative to its context; its place is its number. Level three is the same for the
+children of each pair. Probabilities interpolate discounted frequencies of triples with those of
+pairs, and these with add-one word frequencies. What is seen less than ``least_count`` times gives
+its mass to the level below; with 1 nothing is dropped.
 
 Levels are cut into shards by the mass of the contexts. A context with a large share of all tokens
 gets shards of its own, by ranges of the following word. Counting tasks send sorted runs, already
@@ -31,7 +33,7 @@ SHARD_CHARS = 16_000_000  # text per shard
 LEAST_SHARDS, MOST_SHARDS = 16, 1 << 20
 HOT_PARTS = 4  # a context with more than 1 / (HOT_PARTS * shards) of all tokens is split off
 RUN_ENTRIES = 1 << 20
-LEAST_COUNT = 2  # pairs below leave their mass to single words
+LEAST_COUNT = 2  # by default, pairs below leave their mass to single words
 DISCOUNT = 0.75
 STEP = 1 / 7000  # of the logarithm of a stored probability
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # stands for the end of a text among the word hashes
@@ -58,6 +60,15 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
+def planes(x: np.ndarray) -> bytes:
+    """All first bytes of 64-bit numbers, then all second ones: those of small numbers compress well."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).reshape(-1)
+
+
 class Run:
     """Counts of keys, kept sorted and summed, handed out as one piece per shard."""
 
@@ -83,8 +94,8 @@ class Run:
         used = np.flatnonzero(cut[1:] > cut[:-1])
         yield pa.RecordBatch.from_arrays([
             pa.array(used.astype(np.int32)),
-            pa.array([keys[cut[s] : cut[s + 1]].tobytes() for s in used], pa.binary()),
-            pa.array([counts[cut[s] : cut[s + 1]].astype(np.int64).tobytes() for s in used], pa.binary()),
+            pa.array([planes(np.diff(keys[cut[s] : cut[s + 1]], prepend=keys.dtype.type(0))) for s in used], pa.binary()),
+            pa.array([planes(counts[cut[s] : cut[s + 1]].astype(np.int64)) for s in used], pa.binary()),
         ], names=["shard", "keys", "counts"])
 
 
@@ -92,8 +103,8 @@ PIECE = "shard int, keys binary, counts binary"
 
 
 def merged_pieces(table: pa.Table, kind) -> tuple[int, np.ndarray, np.ndarray]:
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), kind)
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int64)
+    keys = np.concatenate([np.cumsum(from_planes(x, kind), dtype=kind) for x in table.column("keys").to_pylist()])
+    counts = np.concatenate([from_planes(x, np.int64) for x in table.column("counts").to_pylist()])
     return table.column("shard")[0].as_py(), *summed(keys, counts)
 
 
@@ -107,6 +118,11 @@ class Words:
     tokens: int = 0
     hot: list = field(default_factory=list)  # (word number, count) of the frequent contexts
 
+    @property
+    def width(self) -> int:
+        """Keys are context * width + word; the last word stands for all unknown ones."""
+        return int(self.bases[-1]) + 1
+
     def file(self, shard: int) -> dict:
         return read_arrays(f"{self.folder}/words-{shard}")
 
@@ -188,43 +204,54 @@ def fit_words(texts: DataFrame, folder: str, shards: int) -> Words:
 
 
 @dataclass
-class Pairs:
-    """Level two: shard s holds the keys (context << 32 | word) from ``starts[s]`` on."""
+class Level:
+    """Level two or three: shard s holds the keys (context * width + word) from ``starts[s]`` on;
+    numbers of its entries begin at bases[s]."""
 
     folder: str
+    name: str
+    width: int
     starts: np.ndarray
-    left: dict = field(default_factory=dict)  # mass that split contexts leave to single words
+    bases: np.ndarray  # one more than shards
+    left: dict = field(default_factory=dict)  # mass that split contexts leave to the level below
+    hot: list = field(default_factory=list)  # (number, count) of the frequent entries
 
-    def file(self, shard: int) -> dict | None:
-        return _pair_shard(f"{self.folder}/pairs-{shard}")
+    def file(self, shard: int) -> LevelShard:
+        return _level_shard(f"{self.folder}/{self.name}-{shard}")
 
-    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(discounted probability or 0, mass left by the context) of sorted distinct keys."""
-        found, left = np.zeros(len(keys)), np.ones(len(keys))
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(discounted probability or 0, mass left by the context, number or -1) of sorted distinct keys."""
+        found, left, numbers = np.zeros(len(keys)), np.ones(len(keys)), np.full(len(keys), -1, np.int64)
         cut = np.append(np.searchsorted(keys, self.starts), len(keys))
         for s in np.flatnonzero(cut[1:] > cut[:-1]):
             part = slice(cut[s], cut[s + 1])
-            found[part], left[part] = self.file(int(s)).look_up(keys[part])
-        if self.left:
-            context = keys >> 32
-            for c, mass in self.left.items():
-                a, b = np.searchsorted(context, [c, c + 1])
-                left[a:b] = mass
-        return found, left
+            found[part], left[part], place = self.file(int(s)).look_up(keys[part] // self.width, keys[part] % self.width)
+            numbers[part] = np.where(place >= 0, place + self.bases[s], -1)
+        for c, mass in self.left.items():
+            a, b = np.searchsorted(keys, [c * self.width, (c + 1) * self.width])
+            left[a:b] = mass
+        return found, left, numbers
+
+    def look_up_all(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for contexts and words in any order."""
+        distinct, index = np.unique(context * self.width + word, return_inverse=True)
+        index = index.reshape(-1)
+        return tuple(x[index] for x in self.look_up(distinct))
 
 
-class PairShard:
+class LevelShard:
     def __init__(self, arrays: dict):
         self.first, self.contexts = (int(x) for x in arrays["span"])
         self.codes, self.left = arrays["codes"], arrays["left"]
         self.pointers, self.words = EliasFano(arrays, "pointer_"), EliasFano(arrays, "word_")
 
-    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        context, word = (keys >> 32) - self.first, keys & 0xFFFFFFFF
-        found, left = np.zeros(len(keys)), np.ones(len(keys))
+    def look_up(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(discounted probability or 0, mass left by the context, place or -1)."""
+        context = context - self.first
+        found, left, at_place = np.zeros(len(word)), np.ones(len(word)), np.full(len(word), -1, np.int64)
         if not self.words.n:
-            return found, left
-        new = np.ones(len(keys), bool)
+            return found, left, at_place
+        new = np.ones(len(word), bool)
         new[1:] = context[1:] != context[:-1]
         at = np.flatnonzero(new)
         which = np.cumsum(new) - 1
@@ -243,21 +270,22 @@ class PairShard:
         rows, place, target = rows[inside], place[inside], target[inside]
         same = self.words.access(place) == target if len(place) else np.zeros(0, bool)
         found[rows[same]] = 10.0 ** (-STEP * self.codes[place[same]].astype(float))
-        return found, left
+        at_place[rows[same]] = place[same]
+        return found, left, at_place
 
 
-_opened: dict[str, PairShard] = {}
+_opened: dict[str, LevelShard] = {}
 
 
-def _pair_shard(uri: str) -> PairShard:
+def _level_shard(uri: str) -> LevelShard:
     if uri not in _opened:
-        _opened[uri] = PairShard(read_arrays(uri))
+        _opened[uri] = LevelShard(read_arrays(uri))
     return _opened[uri]
 
 
-def coded_pairs(keys: np.ndarray, probabilities: np.ndarray, first: int, contexts_: int, hot: bool) -> dict:
+def coded_level(keys: np.ndarray, width: int, probabilities: np.ndarray, first: int, contexts_: int, hot: bool) -> dict:
     """The arrays of one shard; ``keys`` sorted."""
-    context, word = (keys >> 32) - first, (keys & 0xFFFFFFFF) + 1
+    context, word = keys // width - first, keys % width + 1
     pointers = np.searchsorted(context, np.arange(contexts_ + 1))
     # Within a range a value is the word, from 1 on, plus the last value of the ranges before.
     used = np.flatnonzero(np.diff(pointers) > 0)
@@ -274,68 +302,104 @@ def coded_pairs(keys: np.ndarray, probabilities: np.ndarray, first: int, context
     }
 
 
-def pair_starts(words: Words) -> np.ndarray:
-    """Shard borders of level two: those of level one, and splits of the frequent contexts."""
-    total = int(words.bases[-1])
+def level_starts(words: Words, below: Words | Level) -> np.ndarray:
+    """Shard borders of a level: those of the level below, and splits of the frequent contexts."""
+    total, width = int(below.bases[-1]), words.width
     share = max(1, words.tokens // max(1, len(words.starts)))
-    starts = {int(b) << 32 for b in words.bases[:-1]}
-    for c, n in words.hot:
+    starts = {int(b) * width for b in below.bases[:-1]}
+    for c, n in below.hot:
         parts = -(-n // share)
-        starts |= {(c << 32) + k * total // parts for k in range(parts)} | {(c + 1) << 32}
-    return np.array(sorted(s for s in starts if s >> 32 < max(total, 1)), np.int64)
+        starts |= {c * width + k * width // parts for k in range(parts)} | {(c + 1) * width}
+    return np.array(sorted(s for s in starts if s < max(total, 1) * width), np.int64)
 
 
-def fit_pairs(texts: DataFrame, words: Words) -> Pairs:
-    starts = pair_starts(words)
-    hot = {c for c, _ in words.hot}
-    folder, total = words.folder, int(words.bases[-1])
-    borders = np.append(starts, np.int64(total) << 32)
+def fit_level(texts: DataFrame, words: Words, below: Words | Level, least: int) -> Level:
+    """Level two over the words, or level three over the pairs of level two."""
+    starts, width = level_starts(words, below), words.width
+    hot = dict(below.hot)
+    folder, total = words.folder, int(below.bases[-1])
+    name = "pairs" if below is words else "triples"
+    borders = np.append(starts, np.int64(total * width))
+    limit = words.tokens / (HOT_PARTS * len(words.starts))
+
+    def keys_of(part: list) -> np.ndarray:
+        numbers, counts, lengths = words.numbered(part)
+        before = contexts(numbers, lengths)
+        if below is not words:
+            pair = below.look_up_all(before, numbers)[2]
+            rows = with_pair(pair, lengths)
+            return pair[rows - 1] * width + numbers[rows]
+        often = counts >= least
+        keep = often.copy()
+        keep[1:] &= often[:-1]
+        keep[:1] &= often[-1:]
+        return before[keep] * width + numbers[keep]
 
     def count(batches):
         run = Run(starts)
         for b in batches:
             for _, part in text_batches(b.column(0).to_pylist(), BATCH_CHARS):
-                numbers, counts, lengths = words.numbered(part)
-                before = contexts(numbers, lengths)
-                often = counts >= LEAST_COUNT
-                keep = often.copy()
-                keep[1:] &= often[:-1]
-                keep[:1] &= often[-1:]
-                run.add(*np.unique((before[keep] << 32) | numbers[keep], return_counts=True))
+                run.add(*np.unique(keys_of(part), return_counts=True))
                 if run.full():
                     yield from run.pieces()
         yield from run.pieces()
 
     def build(table: pa.Table) -> pa.Table:
         shard, keys, counts = merged_pieces(table, np.int64)
-        keep = counts >= LEAST_COUNT
-        keys, counts = keys[keep], counts[keep]
-        first = int(starts[shard] >> 32)
-        over = int((borders[shard + 1] - 1) >> 32) + 1
-        context = keys >> 32
-        distinct, index = np.unique(context, return_inverse=True)
-        seen = words.count_of(distinct)[index.reshape(-1)]
-        p = (counts - DISCOUNT) / seen
+        distinct, index = np.unique(keys // width, return_inverse=True)
+        index = index.reshape(-1)
+        if below is words:
+            seen = words.count_of(distinct)
+        else:  # each pair but those that end a text is followed as often as it is seen
+            seen = np.bincount(index, counts, len(distinct))
+            seen = np.array([hot.get(c, n) for c, n in zip(distinct.tolist(), seen.tolist())])
+        p = (counts - DISCOUNT) / seen[index]
+        keep = counts >= least
+        keys, counts, p = keys[keep], counts[keep], p[keep]
+        first = int(starts[shard] // width)
+        over = int((borders[shard + 1] - 1) // width) + 1
         own = first in hot and over == first + 1
-        write_arrays(f"{folder}/pairs-{shard}", coded_pairs(keys, p, first, over - first, own))
-        return pa.table({"shard": pa.array([shard], pa.int32()), "context": pa.array([first if own else -1], pa.int64()), "mass": pa.array([float(p.sum())])})
+        write_arrays(f"{folder}/{name}-{shard}", coded_level(keys, width, p, first, over - first, own))
+        top = np.flatnonzero(counts > limit)
+        return pa.table({
+            "shard": pa.array([shard], pa.int32()), "size": pa.array([len(keys)], pa.int64()),
+            "context": pa.array([first if own else -1], pa.int64()), "mass": pa.array([float(p.sum())]),
+            "top": pa.array([top.tolist()], pa.list_(pa.int64())), "count": pa.array([counts[top].tolist()], pa.list_(pa.int64())),
+        })
 
-    built = texts.mapInArrow(count, PIECE).groupBy("shard").applyInArrow(build, "shard int, context long, mass double").collect()
+    built = texts.mapInArrow(count, PIECE).groupBy("shard").applyInArrow(
+        build, "shard int, size long, context long, mass double, top array<long>, count array<long>"
+    ).collect()  # one row per shard
     empty = set(range(len(starts))) - {r["shard"] for r in built}
     for shard in empty:
-        first, over = int(starts[shard] >> 32), int((borders[shard + 1] - 1) >> 32) + 1
-        write_arrays(f"{folder}/pairs-{shard}", coded_pairs(np.zeros(0, np.int64), np.zeros(0), first, max(over - first, 0), False))
+        first, over = int(starts[shard] // width), int((borders[shard + 1] - 1) // width) + 1
+        write_arrays(f"{folder}/{name}-{shard}", coded_level(np.zeros(0, np.int64), width, np.zeros(0), first, max(over - first, 0), False))
     left: dict[int, float] = {}
+    sizes = np.zeros(len(starts), np.int64)
     for r in built:
+        sizes[r["shard"]] = r["size"]
         if r["context"] >= 0:
             left[r["context"]] = left.get(r["context"], 1.0) - r["mass"]
-    return Pairs(folder, starts, {c: max(m, 1 / 65535) for c, m in left.items()})
+    bases = np.concatenate(([0], np.cumsum(sizes)))
+    return Level(
+        folder, name, width, starts, bases, {c: max(m, 1 / 65535) for c, m in left.items()},
+        sorted((int(bases[r["shard"]]) + k, n) for r in built for k, n in zip(r["top"], r["count"])),
+    )
+
+
+def with_pair(pair: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of the tokens, but for the first of each text, before which a numbered pair ends."""
+    follows = np.ones(len(pair), bool)
+    follows[np.cumsum(lengths) - lengths] = False
+    follows[1:] &= pair[:-1] >= 0
+    return np.flatnonzero(follows)
 
 
 @dataclass
 class LanguageModel:
     words: Words
-    pairs: Pairs
+    pairs: Level
+    triples: Level | None = None
 
     def score(self, texts: list) -> list[np.ndarray]:
         """Tokens, known tokens, base score and score of every text."""
@@ -343,24 +407,30 @@ class LanguageModel:
         before = contexts(numbers, lengths)
         size = self.words.tokens + int(self.words.bases[-1]) + 1
         single = (counts + 1) / size
-        found, left = np.zeros(len(numbers)), np.ones(len(numbers))
-        known = np.flatnonzero((numbers >= 0) & (before >= 0))
-        # A word the model does not know still takes what its context leaves to single words.
-        word = np.where(numbers >= 0, numbers, 0xFFFFFFFF)
+        p, pair = single.copy(), np.full(len(numbers), -1, np.int64)
+        # A word the model does not know still takes what its context leaves to the level below.
+        word = np.where(numbers >= 0, numbers, self.pairs.width - 1)
         rows = np.flatnonzero(before >= 0)
-        if len(known) or len(rows):
-            distinct, index = np.unique((before[rows] << 32) | word[rows], return_inverse=True)
-            p, m = self.pairs.look_up(distinct)
-            index = index.reshape(-1)
-            found[rows], left[rows] = p[index], m[index]
+        if len(rows):
+            found, left, pair[rows] = self.pairs.look_up_all(before[rows], word[rows])
+            p[rows] = found + left * single[rows]
+        rows = with_pair(pair, lengths)
+        if self.triples and len(rows):
+            found, left, _ = self.triples.look_up_all(pair[rows - 1], word[rows])
+            p[rows] = found + left * p[rows]
         of = np.repeat(np.arange(len(texts)), lengths)
         add = lambda x: np.bincount(of, x, len(texts))
-        return [lengths, add(counts > 0).astype(np.int64), add(np.log10(single)), add(np.log10(found + left * single))]
+        return [lengths, add(counts > 0).astype(np.int64), add(np.log10(single)), add(np.log10(p))]
 
 
-def fit_language_model(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> LanguageModel:
+def fit_language_model(
+    docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+    least_count: int = LEAST_COUNT, order: int = 2,
+) -> LanguageModel:
     """Train on the texts of all rows that ``learn`` admits (null text: empty).
 
+    Pairs and, at ``order`` 3, triples seen at least ``least_count`` times are kept.
+
     The model is a folder of files in the shared scratch folder. Without rows it has no words and
     gives every token the probability of an unknown one.
     """
@@ -371,7 +441,8 @@ def fit_language_model(docs: DataFrame, learn: Column | None = None, id_col: str
     while shards * SHARD_CHARS < chars and shards < MOST_SHARDS:
         shards *= 2
     words = fit_words(texts, scratch_path(docs.sparkSession, "ngrams"), shards)
-    return LanguageModel(words, fit_pairs(texts, words))
+    pairs = fit_level(texts, words, words, least_count)
+    return LanguageModel(words, pairs, fit_level(texts, words, pairs, least_count) if order > 2 else None)
 
 
 def model_scores(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -102,5 +102,5 @@ def op2_minhash_dedup(spark, sf_dir):
 @query("op7_lm_scoring")
 def op7_lm_scoring(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    model = fit_language_model(docs, may_learn("doc_id", 7, 2))
+    model = fit_language_model(docs, may_learn("doc_id", 7, 2), least_count=1, order=3)
     return model_scores(docs, model).withColumn("held_out", held_out("doc_id", 7, 2))
