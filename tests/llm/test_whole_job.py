@@ -6,8 +6,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tickframe.llm import language_model
+from tickframe.llm import language_model, private_data
 from tickframe.llm.language_model import fit_language_model, model_scores
+from tickframe.llm.private_data import fit_private, training_spans
 from tickframe.llm.rows import may_learn
 
 
@@ -59,3 +60,30 @@ def test_language_model_keeps_all_pairs_and_triples(spark, monkeypatch, shards):
     got = {r.doc_id: r for r in model_scores(docs, model).collect()}
     for (i, _), (score, n) in zip(rows, whole_scores(rows, [r for r in rows if r[0] in keep])):
         assert got[i].score == pytest.approx(score, abs=1e-3 + 2e-4 * n)
+
+
+# personal data --------------------------------------------------------------------------------
+
+def test_a_rare_kind_has_a_threshold(spark, monkeypatch):
+    monkeypatch.setattr(private_data, "SAMPLE_TEXTS", 200)
+    rng = random.Random(1)
+    number = lambda: "+1 (%d) 555-%d" % (rng.randrange(200, 999), rng.randrange(1000, 9999))
+    rows = [(i, f"call {number()} now, a{i}@b.co, version {i} 2024-01-15") for i in range(4000)]
+    rows += [(5000 + i, f"host 192.168.{100 + i}.7 is up") for i in range(15)]
+    assert fit_private(docs_of(spark, rows)).thresholds[1] <= 1
+
+
+def test_thresholds_come_from_all_texts(spark):
+    trees = private_data.BoostedTrees(3.0)  # every span gets the same score
+    rows = [(i, "a%d@b.co" % i) for i in range(6000)]
+    pairs = lambda r: docs_of(spark, r).toDF("row_id", "row_text")
+    assert private_data.calibrated(pairs(rows), trees)[0] <= 1
+    assert private_data.calibrated(pairs(rows), trees)[1:] == (2.0, 2.0, 2.0)
+    late = [(7000 + i, "192.168.100.%d" % i) for i in range(3)]  # one right to two wrong
+    assert private_data.calibrated(pairs(rows + late), trees)[1] == 2.0
+
+
+def test_proposals_of_unknown_truth_are_no_negatives():
+    assert training_spans("call 499 555 6503 now") == []
+    wrong = [(x[0], y) for x, y in training_spans("card 4111 1111 1111 1112, on 2024-01-15")]
+    assert (2, 0) in wrong and (3, 0) in wrong and all(y == 0 for _, y in wrong)

@@ -3,8 +3,8 @@
 Four kinds are found by pattern and check alone (the base spans). Generators with a higher recall
 propose more, overlapping spans: numbers with any separators, also parts of longer ones, and
 written-out addresses. Trees trained on the base spans, on variants of them and on the look-alikes
-of the corpus score format and context; what passes its kind's calibrated threshold and does
-not overlap a better span is added. Every step is linear in the text.
+of the corpus score format and context; what passes its kind's threshold, calibrated on all texts,
+and does not overlap a better span is added. Every step is linear in the text.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,13 @@ from tickframe.llm.trees import BoostedTrees, fit_trees
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_TEXTS = 4_000  # texts the trees are fitted on, at most
 SAMPLE_SPANS = 40_000  # and proposed spans in them
+SAMPLED = (
+    "@|[0-9]{3}", "@", r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "[0-9](?:[ -]?[0-9]){13}", r"\+[0-9][ ().0-9-]+[0-9]",
+)
 PRECISION = 0.995
 LEAST_THRESHOLD = 0.9
+BINS = 4096  # of the scores that thresholds are calibrated on
+SCORED_SPANS = 20_000  # at once
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -43,6 +49,7 @@ CUES = {
     "card": re.compile(r"(?i)(?:card|visa|credit|karte|tarjeta|carte)\W*$"),
     "phone": re.compile(r"(?i)(?:phone|tel|call|fax|mobil\w*|cell|handy)\W*$"),
 }
+DATE = re.compile(r"(?:1[89]|20)[0-9]{2}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2(?:1[89]|20)[0-9]{2}")
 ORDINAL = re.compile(r"(?i)(?:version|section|v|no|nr|page|vol|chapter|\$|€|#)\W*$")
 
 
@@ -134,11 +141,23 @@ def span_features(text: str, start: int, kind: int, end: int) -> list[float]:
     ]
 
 
+def surely_wrong(text: str, start: int, kind: int, end: int) -> bool:
+    """Whether a check, a date's form or the word before tells that a proposal is something else."""
+    s = text[start:end]
+    if kind == 1:
+        return any(len(p.lstrip("0")) > 3 or int(p or 0) > 255 for p in re.sub("[^0-9.]", "", s).split("."))
+    if kind == 2 and not luhn(digits_of(s)):
+        return True
+    return kind in (2, 3) and bool(DATE.fullmatch(s) or ORDINAL.search(text[max(0, start - 24) : start]))
+
+
 def training_spans(text: str) -> list[tuple[list[float], int]]:
-    """(features, 1 for personal data) of base spans, variants of them and look-alikes."""
+    """(features, 1 for personal data) of base spans, variants of them and look-alikes.
+
+    Proposals of the corpus whose truth is unknown are left out: they may be what is to be added.
+    """
     out = []
     base = base_spans(text)
-    inside = set(base)
     for a, kind, b in base:
         out.append((span_features(text, a, kind, b), 1))
         before, s, after = text[max(0, a - 24) : a], text[a:b], text[b : b + 1]
@@ -158,8 +177,8 @@ def training_spans(text: str) -> list[tuple[list[float], int]]:
         for v, good in variants:
             if len(digits_of(v)) >= 7 or kind == 0:
                 out.append((span_features(before + v + after, len(before), kind, len(before) + len(v)), good))
-    for a, kind, b in proposed(text):
-        if (a, kind, b) not in inside and not any(x < b and a < y for x, _, y in base):
+    for a, kind, b in _clear_of(proposed(text), base):
+        if surely_wrong(text, a, kind, b):
             out.append((span_features(text, a, kind, b), 0))
     return out
 
@@ -171,13 +190,13 @@ class SpanModel:
 
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Proposed spans that pass, best first, none overlapping another or a base span."""
-        new = proposed(text)
-        if base and new:
-            new = _clear_of(new, base)
-        if not new:
-            return []
-        p = self.trees.score(np.array([span_features(text, *s) for s in new], float))
-        ranked = sorted((-q, s) for q, s in zip(p.tolist(), new) if q >= self.thresholds[s[1]])
+        new = _clear_of(proposed(text), base)
+        ranked = []
+        for k in range(0, len(new), SCORED_SPANS):
+            part = new[k : k + SCORED_SPANS]
+            p = self.trees.score(np.array([span_features(text, *s) for s in part], float))
+            ranked += [(-q, s) for q, s in zip(p.tolist(), part) if q >= self.thresholds[s[1]]]
+        ranked.sort()
         chosen: list[tuple[int, int, int]] = []
         taken: dict[int, tuple] = {}
         for _, s in ranked:
@@ -191,6 +210,8 @@ class SpanModel:
 
 def _clear_of(new: list, base: list) -> list:
     """Spans of ``new`` that no span of ``base`` overlaps; one pass over both in order."""
+    if not base or not new:
+        return new
     starts = np.array([a for a, _, _ in base])
     reach = np.maximum.accumulate([b for _, _, b in base])
     k = np.searchsorted(starts, [b for _, _, b in new], side="left")
@@ -198,16 +219,18 @@ def _clear_of(new: list, base: list) -> list:
 
 
 def fit_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SpanModel:
-    """Fit on at most SAMPLE_TEXTS texts with digits or @, chosen by a hash of the identifier.
+    """Trees are fitted on at most SAMPLE_TEXTS texts, so many of each kind and of those with digits
+    or @, chosen by a hash of the identifier: a rare kind has its share.
 
-    Nine tenths train the trees; on the rest each kind gets the lowest threshold (LEAST_THRESHOLD
-    at least) at which PRECISION of the accepted spans are right. No such texts: nothing is added.
+    Each kind gets the lowest threshold (LEAST_THRESHOLD at least) at which PRECISION of the accepted
+    training spans of all texts are right. A kind without accepted spans in any text is not added.
     """
     pairs = id_and_text(docs, id_col, text_col).where("row_id IS NOT NULL")
-    chosen = (
-        pairs.where(F.col("row_text").rlike("@|[0-9]{3}")).select("row_id")
-        .orderBy(F.xxhash64("row_id"), "row_id").limit(SAMPLE_TEXTS)
-    )
+    chosen = reduce(DataFrame.union, [
+        pairs.where(F.col("row_text").rlike(p)).select("row_id")
+        .orderBy(F.xxhash64("row_id"), "row_id").limit(SAMPLE_TEXTS // len(SAMPLED))
+        for p in SAMPLED
+    ]).distinct()
     rows = pairs.join(F.broadcast(chosen), "row_id", "left_semi")
 
     def run(batches):
@@ -221,18 +244,44 @@ def fit_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spans = rows.mapInArrow(run, "x array<double>, y int").orderBy(F.xxhash64("x"), "x", "y").limit(SAMPLE_SPANS).toPandas()
     x = np.array([list(map(float, v)) for v in spans["x"]], float).reshape(len(spans), len(span_features("0", 0, 1, 1)))
     y = spans["y"].to_numpy(float)
-    check = np.arange(len(y)) % 10 == 0
-    trees = fit_trees(x[~check], y[~check])
-    score = trees.score(x[check])
+    trees = fit_trees(x, y)
+    return SpanModel(trees, calibrated(id_and_text(docs, id_col, text_col), trees))
+
+
+def calibrated(pairs: DataFrame, trees: BoostedTrees) -> tuple:
+    """The threshold of each kind, from counts of (kind, score bin, right) over all texts."""
+
+    def run(batches):
+        counts = np.zeros((len(KINDS), BINS, 2), np.int64)
+
+        def add(spans):
+            if spans:
+                x = np.array([v for v, _ in spans], float)
+                at = np.minimum((trees.score(x) * BINS).astype(np.int64), BINS - 1)
+                np.add.at(counts, (x[:, 0].astype(np.int64), at, np.array([y for _, y in spans])), 1)
+
+        for b in batches:
+            spans = []
+            for t in b.column(0).to_pylist():
+                spans += training_spans(t)
+                if len(spans) >= SCORED_SPANS:
+                    add(spans)
+                    spans = []
+            add(spans)
+        used = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*used, counts[used])], names=["kind", "bin", "right", "n"])
+
+    found = pairs.select("row_text").mapInArrow(run, "kind long, bin long, right long, n long")
+    counts = np.zeros((len(KINDS), BINS, 2), np.int64)
+    for r in found.groupBy("kind", "bin", "right").agg(F.sum("n").alias("n")).collect():  # at most two a kind and bin
+        counts[r["kind"], r["bin"], r["right"]] = r["n"]
+    least = int(np.ceil(LEAST_THRESHOLD * BINS))
     thresholds = []
-    for kind in range(len(KINDS)):
-        of = x[check][:, 0] == kind
-        p, right = score[of], y[check][of]
-        order = np.argsort(-p, kind="stable")
-        precise = np.cumsum(right[order]) >= PRECISION * np.arange(1, len(order) + 1)
-        last = np.flatnonzero(precise)
-        thresholds.append(max(LEAST_THRESHOLD, float(p[order][last[-1]])) if len(last) else 2.0)
-    return SpanModel(trees, tuple(thresholds))
+    for kind in counts:
+        right, of = (np.cumsum(v[::-1])[::-1] for v in (kind[:, 1], kind.sum(axis=1)))
+        good = least + np.flatnonzero((of > 0)[least:] & (right >= PRECISION * of)[least:])
+        thresholds.append(float(good[0] / BINS) if len(good) else 2.0)
+    return tuple(thresholds)
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
