@@ -174,6 +174,24 @@ def feat_rowwise(spark, sf):
     return RowStandardize().transform(e, ROW_PARTS)
 
 
+VECTOR_PARTS = [f"v{k}" for k in range(64)]
+
+
+@query(
+    "feat_rowwise_whole",
+    f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+m AS (SELECT *, list_avg(v) AS m, list_stddev_pop(v) AS s FROM e)
+SELECT vec_id, len(v) AS n, {', '.join(f'round((v[{k + 1}] - m) / s, 6) AS {c}' for k, c in enumerate(VECTOR_PARTS))} FROM m""",
+)
+def feat_rowwise_whole(spark, sf):
+    """The whole vector; ``n`` tells that it has no more components than columns."""
+    e = table(spark, sf, "embeddings").select(
+        "vec_id", F.size("embedding").cast("long").alias("n"),
+        *[F.get("embedding", F.lit(k)).cast("double").alias(c) for k, c in enumerate(VECTOR_PARTS)],
+    )
+    return RowStandardize().transform(e, VECTOR_PARTS)
+
+
 @query(
     "feat_grouped",
     f"""SELECT {ID}, round((l_quantity - avg(l_quantity) OVER w)
