@@ -8,7 +8,7 @@ import pytest
 
 from tickframe.llm import language_model, private_data
 from tickframe.llm.language_model import fit_language_model, model_scores
-from tickframe.llm.private_data import fit_private, training_spans
+from tickframe.llm.private_data import fit_private, proposed, training_spans
 from tickframe.llm.rows import may_learn
 
 
@@ -87,3 +87,12 @@ def test_proposals_of_unknown_truth_are_no_negatives():
     assert training_spans("call 499 555 6503 now") == []
     wrong = [(x[0], y) for x, y in training_spans("card 4111 1111 1111 1112, on 2024-01-15")]
     assert (2, 0) in wrong and (3, 0) in wrong and all(y == 0 for _, y in wrong)
+
+
+def test_every_window_of_groups_is_proposed():
+    found = lambda t: {t[a:b] for a, _, b in proposed(t)}
+    assert {"555 123 4567", "555 123 4567 2024", "123 4567"} <= found("555 123 4567 2024")
+    filler = "12 34 " * 100
+    assert {"(499) 555-6503", "4111/1111/1111/1111"} <= found(f"{filler}(499) 555-6503 {filler}4111/1111/1111/1111 {filler}")
+    t = "1 " * 100_000
+    assert len(proposed(t)) <= 2 * 19 * 100_000

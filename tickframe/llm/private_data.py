@@ -38,6 +38,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+DIGITS = re.compile(r"[0-9]+")
 ANY_DIGIT = re.compile(r"[0-9]")
 
 WRITTEN_AT = re.compile(r" ?[\[({](?:at|AT|@)[\])}] ?")
@@ -95,6 +96,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def windows(text: str, start: int, end: int):
+    """(start, end, digits) of all consecutive groups of a number that hold up to 19 digits, so at most 19 a group."""
+    groups = [m.span() for m in DIGITS.finditer(text, start, end)]
+    for i, (a, _) in enumerate(groups):
+        begin = start if not i else a - (text[a - 1] == "(")
+        n = 0
+        for x, b in groups[i : i + 19]:
+            n += b - x
+            if n > 19:
+                break
+            yield begin, b, n
+
+
 def proposed(text: str) -> list[tuple[int, int, int]]:
     """More spans that may be personal data, overlapping ones too."""
     out = set()
@@ -106,13 +120,8 @@ def proposed(text: str) -> list[tuple[int, int, int]]:
             out.add((begin, 0, domain.end()))
     if ANY_DIGIT.search(text):
         for m in NUMBER.finditer(text):
-            cuts = [m.span()]
-            if " " in m[0] and m.end() - m.start() <= 200:
-                cuts += [(m.start() + w.start(), m.start() + w.end()) for w in re.finditer(r"\S+", m[0])]
-            for a, b in cuts:
-                s = text[a:b]
-                n = len(digits_of(s))
-                if s.count(".") == 3 and 4 <= n <= 12:
+            for a, b, n in windows(text, *m.span()):
+                if 4 <= n <= 12 and text.count(".", a, b) == 3:
                     out.add((a, 1, b))
                 if 13 <= n <= 19:
                     out.add((a, 2, b))
@@ -196,7 +205,7 @@ class SpanModel:
             part = new[k : k + SCORED_SPANS]
             p = self.trees.score(np.array([span_features(text, *s) for s in part], float))
             ranked += [(-q, s) for q, s in zip(p.tolist(), part) if q >= self.thresholds[s[1]]]
-        ranked.sort()
+        ranked.sort(key=lambda r: (r[0], r[1][0] - r[1][2], r[1]))  # of equal ones the longest
         chosen: list[tuple[int, int, int]] = []
         taken: dict[int, tuple] = {}
         for _, s in ranked:
