@@ -8,6 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
 from tickframe import prepare
+from tickframe.llm.bpe_coding import bpe_digests
 from tickframe.llm.embedding_dedup import near_vectors
 from tickframe.llm.exact_dedup import exact_duplicates
 from tickframe.llm.language import fit_language, languages
@@ -104,3 +105,8 @@ def op7_lm_scoring(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = fit_language_model(docs, may_learn("doc_id", 7, 2), least_count=1, order=3)
     return model_scores(docs, model).withColumn("held_out", held_out("doc_id", 7, 2))
+
+
+@query("op12_bpe_coding")
+def op12_bpe_coding(spark, sf_dir):
+    return bpe_digests(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
