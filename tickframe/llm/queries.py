@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickframe import prepare
 from tickframe.llm.bpe_coding import bpe_digests
+from tickframe.llm.conversation_trie import prefix_trie, rebuilt, turn_lists
 from tickframe.llm.embedding_dedup import near_vectors
 from tickframe.llm.exact_dedup import exact_duplicates
 from tickframe.llm.language import fit_language, languages
@@ -110,3 +111,8 @@ def op7_lm_scoring(spark, sf_dir):
 @query("op12_bpe_coding")
 def op12_bpe_coding(spark, sf_dir):
     return bpe_digests(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op13_conversation_trie")
+def op13_conversation_trie(spark, sf_dir):
+    return prefix_trie(rebuilt(turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
