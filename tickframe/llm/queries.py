@@ -19,8 +19,10 @@ from tickframe.llm.piece_coding import coding_digests
 from tickframe.llm.private_data import fit_private, private_spans
 from tickframe.llm.quality import fit_quality, quality_scores
 from tickframe.llm.rows import held_out, may_learn, prepare_texts
+from tickframe.llm.spelling import spelling_variants
 from tickframe.llm.text_dedup import near_duplicates
 from tickframe.llm.token_counts import token_counts
+from tickframe.llm.word_counts import word_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -116,3 +118,9 @@ def op12_bpe_coding(spark, sf_dir):
 @query("op13_conversation_trie")
 def op13_conversation_trie(spark, sf_dir):
     return prefix_trie(rebuilt(turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark, sf_dir):
+    words = word_counts(documents(spark, sf_dir), least_length=7, every=31)
+    return spelling_variants(words.where("n >= 2"), times=10)
