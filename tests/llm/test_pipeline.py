@@ -42,7 +42,7 @@ def test_run_returns_the_packed_pieces(spark, sf):
     assert {"doc_id", "sequence_id", "offset"} <= set(got.columns) and got.count() > 0
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_every_operator_has_one_query(n):
     assert len([q for q in queries() if q.startswith(f"op{n}_")]) == 1
     assert set(oracle_sql()) <= set(queries())

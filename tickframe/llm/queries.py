@@ -8,6 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 
 from tickframe import prepare
+from tickframe.llm import oracles
 from tickframe.llm.bpe_coding import bpe_digests
 from tickframe.llm.conversation_trie import prefix_trie, rebuilt, turn_lists
 from tickframe.llm.embedding_dedup import near_vectors
@@ -115,12 +116,12 @@ def op12_bpe_coding(spark, sf_dir):
     return bpe_digests(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
-@query("op13_conversation_trie")
+@query("op13_conversation_trie", oracles.CONVERSATION_TRIE)
 def op13_conversation_trie(spark, sf_dir):
     return prefix_trie(rebuilt(turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
 
 
-@query("op11_spelling_variants")
+@query("op11_spelling_variants", oracles.SPELLING_VARIANTS)
 def op11_spelling_variants(spark, sf_dir):
     words = word_counts(documents(spark, sf_dir), least_length=7, every=31)
     return spelling_variants(words.where("n >= 2"), times=10)
