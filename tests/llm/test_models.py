@@ -127,7 +127,7 @@ def test_language_model_equals_brute_force(spark, monkeypatch, shards):
     docs = docs_of(spark, rows)
     learn = may_learn("doc_id", 7, 2)
     keep = {r[0] for r in docs.where(learn).select("doc_id").collect()}
-    got = {r.doc_id: r for r in model_scores(docs, fit_language_model(docs, learn)).collect()}
+    got = {r.doc_id: r for r in model_scores(docs, fit_language_model(docs, learn, least_count=2, order=2)).collect()}
     for (i, _), (n, known, total, base, score) in zip(rows, brute_scores(rows, [r for r in rows if r[0] in keep])):
         r = got[i]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-WORDS = 8  # 64-bit words per block of the directory
 _BITS = np.uint64(64)
 
 
@@ -38,68 +37,100 @@ def encode(values: np.ndarray, prefix: str) -> dict[str, np.ndarray]:
     width = max(0, (top // max(n, 1)).bit_length() - 1)
     ones = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
     length = (top >> width) + n + 1
-    blocks = length // (64 * WORDS) + 1
-    bits = np.zeros(blocks * WORDS * 64, np.uint8)
+    bits = np.zeros((length // 64 + 1) * 64, np.uint8)
     bits[ones] = 1
     words = np.packbits(bits, bitorder="little").view("<u8")
-    counts = np.bitwise_count(words).reshape(blocks, WORDS).sum(axis=1, dtype=np.int64)
+    counts = np.bitwise_count(words).astype(np.int64)
+    rank = np.concatenate(([0], np.cumsum(counts)))
     return {
         f"{prefix}low": _pack(values & np.uint64((1 << width) - 1), width),
-        f"{prefix}high": words, f"{prefix}rank": np.concatenate(([0], np.cumsum(counts))).astype(np.uint32),
+        f"{prefix}high": words, f"{prefix}ones": rank.astype(np.uint32),
+        f"{prefix}zeros": (np.arange(len(rank)) * 64 - rank).astype(np.uint32),
         f"{prefix}shape": np.array([n, width, length], np.int64),
     }
 
 
-_IN_BYTE = np.zeros((256, 8), np.uint8)  # position of the k-th one of a byte
+_IN_BYTE = np.zeros(256 * 8, np.uint8)  # position of the k-th one of a byte, at byte + 256 * k
 for _b in range(256):
-    _set = [i for i in range(8) if _b >> i & 1]
-    _IN_BYTE[_b, : len(_set)] = _set
+    for _k, _i in enumerate(i for i in range(8) if _b >> i & 1):
+        _IN_BYTE[_b + 256 * _k] = _i
+_ONES, _HIGHS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_PAIRS, _FOURS, _EIGHTS = np.uint64(0x5555555555555555), np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
+
+
+def select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Position of the k-th (from 0) one of each 64-bit word, which has that many."""
+    u = np.uint64
+    sums = words - (words >> u(1) & _PAIRS)
+    sums = (sums & _FOURS) + (sums >> u(2) & _FOURS)
+    sums = ((sums + (sums >> u(4))) & _EIGHTS) * _ONES  # byte i: the ones up to byte i
+    k = k.astype(u)
+    place = np.bitwise_count(((k * _ONES | _HIGHS) - sums) & _HIGHS).astype(u) << u(3)  # of bytes with no more than k
+    rest = k - (sums << u(8) >> place & u(255))
+    return (place + _IN_BYTE[((words >> place & u(255)) + (rest << u(8))).astype(np.int64)]).astype(np.int64)
 
 
 class EliasFano:
+    """``ones`` and ``zeros`` count the bits before each 64-bit word, so one search finds a bit's word.
+
+    All arrays stay where they are, mapped or not; nothing is derived from them in advance.
+    """
+
     def __init__(self, arrays: dict[str, np.ndarray], prefix: str):
-        self.low, self.high, self.rank = (arrays[prefix + k] for k in ("low", "high", "rank"))
+        self.low, self.high, self.ones, self.zeros = (arrays[prefix + k] for k in ("low", "high", "ones", "zeros"))
         self.n, self.width, self.length = (int(x) for x in arrays[prefix + "shape"])
-        self.words = self.high.reshape(-1, WORDS)
-        self.zeros = np.arange(len(self.rank), dtype=np.int64) * (64 * WORDS) - self.rank.astype(np.int64)
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Position of the k-th (from 0) one or zero bit."""
-        directory = self.rank if ones else self.zeros
-        block = np.searchsorted(directory, k, side="right") - 1
-        rest = k - directory[block].astype(np.int64)
-        words = self.words[block]
-        if not ones:
-            words = ~words
-        sums = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        at = (sums <= rest[:, None]).sum(axis=1)
-        rows = np.arange(len(k))
-        rest = rest - np.where(at > 0, sums[rows, at - 1], 0)
-        data = words[rows, at].astype("<u8").view(np.uint8).reshape(-1, 8)
-        sums = np.cumsum(np.bitwise_count(data), axis=1, dtype=np.int64)
-        byte = (sums <= rest[:, None]).sum(axis=1)
-        rest = rest - np.where(byte > 0, sums[rows, byte - 1], 0)
-        return block * (64 * WORDS) + at * 64 + byte * 8 + _IN_BYTE[data[rows, byte], rest]
+        directory = self.ones if ones else self.zeros
+        word = np.searchsorted(directory, k.astype(directory.dtype), side="right") - 1
+        data = self.high[word] if ones else ~self.high[word]
+        return word * 64 + select_in_word(data, k - directory[word].astype(np.int64))
+
+    def _select_both(self, k: np.ndarray, ones: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the k-th bit and of the next one of its kind, mostly in the same word."""
+        first = self._select(k, ones)
+        word = first >> 6
+        data = self.high[word] if ones else ~self.high[word]
+        data = data >> (first & 63).astype(np.uint64) >> np.uint64(1)
+        step = np.bitwise_count((data & (~data + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        second = first + 1 + step
+        far = np.flatnonzero(data == 0)
+        second[far] = self._select(k[far] + 1, ones)
+        return first, second
+
+    def access_both(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at positions whose next one is in range, and those at the next ones."""
+        return tuple(self._value(p, i) for p, i in zip(self._select_both(index, True), (index, index + 1)))
+
+    def _value(self, position: np.ndarray, index: np.ndarray) -> np.ndarray:
+        high = (position - index).astype(np.uint64)
+        return (high << np.uint64(self.width) | _unpack(self.low, self.width, index)).astype(np.int64)
 
     def access(self, index: np.ndarray) -> np.ndarray:
         """The values at positions in range."""
-        high = (self._select(index, True) - index).astype(np.uint64)
-        return (high << np.uint64(self.width) | _unpack(self.low, self.width, index)).astype(np.int64)
+        return self._value(self._select(index, True), index)
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Position of the first value that is at least x; n where there is none."""
+        return self.find(x)[0]
+
+    def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position of the first value that is at least x, n where there is none; whether it is x)."""
+        out, same = np.full(len(x), self.n, np.int64), np.zeros(len(x), bool)
         if not self.n:
-            return np.zeros(len(x), np.int64)
+            return out, same
         bucket = x >> self.width
-        out = np.full(len(x), self.n, np.int64)
         last = self.length - self.n - 1  # of the buckets
         rows = np.flatnonzero(bucket <= last)
         bucket = bucket[rows]
-        first = np.zeros(len(rows), np.int64)
+        first, end = np.zeros(len(rows), np.int64), np.empty(len(rows), np.int64)
         later = bucket > 0
-        first[later] = self._select(bucket[later] - 1, False) - (bucket[later] - 1)
-        end = self._select(bucket, False) - bucket
+        before, after = self._select_both(bucket[later] - 1, False)
+        first[later], end[later] = before - (bucket[later] - 1), after - bucket[later]
+        end[~later] = self._select(bucket[~later], False)
         wanted = x[rows] & ((1 << self.width) - 1)
+        over = end.copy()
         while True:  # binary search in every bucket at once
             open_ = np.flatnonzero(first < end)
             if not len(open_):
@@ -109,4 +140,6 @@ class EliasFano:
             first[open_[less]] = middle[less] + 1
             end[open_[~less]] = middle[~less]
         out[rows] = first
-        return out
+        inside = np.flatnonzero(first < over)
+        same[rows[inside]] = _unpack(self.low, self.width, first[inside]).astype(np.int64) == wanted[inside]
+        return out, same

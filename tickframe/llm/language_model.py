@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickframe.llm.elias_fano import EliasFano, encode
-from tickframe.llm.rows import id_and_text, map_texts
+from tickframe.llm.rows import gathered, id_and_text, map_texts
 from tickframe.llm.shared_files import read_arrays, write_arrays
 from tickframe.llm.spans import text_batches, word_hashes
 from tickframe.session import scratch_path
@@ -33,7 +33,8 @@ SHARD_CHARS = 16_000_000  # text per shard
 LEAST_SHARDS, MOST_SHARDS = 16, 1 << 20
 HOT_PARTS = 4  # a context with more than 1 / (HOT_PARTS * shards) of all tokens is split off
 RUN_ENTRIES = 1 << 20
-LEAST_COUNT = 2  # by default, pairs below leave their mass to single words
+LEAST_COUNT = 1  # pairs and triples seen less often leave their mass to the level below
+ORDER = 3
 DISCOUNT = 0.75
 STEP = 1 / 7000  # of the logarithm of a stored probability
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # stands for the end of a text among the word hashes
@@ -172,7 +173,7 @@ def fit_words(texts: DataFrame, folder: str, shards: int) -> Words:
 
     def count(batches):
         run = Run(starts)
-        for b in batches:
+        for b in gathered(batches, 0, BATCH_CHARS):
             for _, part in text_batches(b.column(0).to_pylist(), BATCH_CHARS):
                 run.add(*np.unique(token_hashes(part)[0], return_counts=True))
                 if run.full():
@@ -217,7 +218,7 @@ class Level:
     hot: list = field(default_factory=list)  # (number, count) of the frequent entries
 
     def file(self, shard: int) -> LevelShard:
-        return _level_shard(f"{self.folder}/{self.name}-{shard}")
+        return LevelShard(read_arrays(f"{self.folder}/{self.name}-{shard}"))
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(discounted probability or 0, mass left by the context, number or -1) of sorted distinct keys."""
@@ -258,31 +259,20 @@ class LevelShard:
         own = context[at]
         known = (own >= 0) & (own < self.contexts)
         own = np.where(known, own, 0)
-        begin, end = self.pointers.access(own), self.pointers.access(own + 1)
+        begin, end = self.pointers.access_both(own)
         end = np.where(known, end, begin)
         base = np.where(begin > 0, self.words.access(np.maximum(begin - 1, 0)), 0)
         left = np.where(known, self.left[own] / 65535.0, 1.0)[which]
         rows = np.flatnonzero((end > begin)[which])
         k = which[rows]
         target = base[k] + word[rows] + 1
-        place = self.words.successor(target)
-        inside = place < end[k]
-        rows, place, target = rows[inside], place[inside], target[inside]
-        same = self.words.access(place) == target if len(place) else np.zeros(0, bool)
+        place, same = self.words.find(target)
+        same &= place < end[k]
         found[rows[same]] = 10.0 ** (-STEP * self.codes[place[same]].astype(float))
         at_place[rows[same]] = place[same]
         return found, left, at_place
 
 
-_opened: dict[str, LevelShard] = {}
-
-
-def _level_shard(uri: str) -> LevelShard:
-    if uri not in _opened:
-        _opened[uri] = LevelShard(read_arrays(uri))
-    return _opened[uri]
-
-
 def coded_level(keys: np.ndarray, width: int, probabilities: np.ndarray, first: int, contexts_: int, hot: bool) -> dict:
     """The arrays of one shard; ``keys`` sorted."""
     context, word = keys // width - first, keys % width + 1
@@ -337,7 +327,7 @@ def fit_level(texts: DataFrame, words: Words, below: Words | Level, least: int)
 
     def count(batches):
         run = Run(starts)
-        for b in batches:
+        for b in gathered(batches, 0, BATCH_CHARS):
             for _, part in text_batches(b.column(0).to_pylist(), BATCH_CHARS):
                 run.add(*np.unique(keys_of(part), return_counts=True))
                 if run.full():
@@ -425,7 +415,7 @@ class LanguageModel:
 
 def fit_language_model(
     docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-    least_count: int = LEAST_COUNT, order: int = 2,
+    least_count: int = LEAST_COUNT, order: int = ORDER,
 ) -> LanguageModel:
     """Train on the texts of all rows that ``learn`` admits (null text: empty).
 
@@ -461,5 +451,5 @@ def model_scores(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
 
     fields = [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known")]
     fields += [T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]
-    scored = map_texts(docs, id_col, text_col, fields, start)
+    scored = map_texts(docs, id_col, text_col, fields, start, gather=BATCH_CHARS)
     return scored.withColumn("train_tokens", F.lit(model.words.tokens).cast("long"))

@@ -58,15 +58,28 @@ def without_rows(docs: DataFrame, dropped: DataFrame, id_col: str, same: Callabl
     return safe.union(rest.join(dropped, same(rest), "left_anti"))
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined until ``column`` holds ``size`` bytes: for work with a cost per batch."""
+    held, total = [], 0
+    for b in batches:
+        held.append(b)
+        total += b.column(column).nbytes
+        if total >= size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_texts(
     docs: DataFrame, id_col: str, text_col: str, fields: list[T.StructField],
-    start: Callable[[], Callable[[list], list]],
+    start: Callable[[], Callable[[list], list]], gather: int = 0,
 ) -> DataFrame:
     """One result row per document: its identifier and ``fields`` computed from its text.
 
     ``start`` runs once per task and gives a function from a list of texts to one list or array
     per field. Empty tables give empty results; nothing is kept between rows but what ``start``
-    holds.
+    holds. Batches are joined up to ``gather`` bytes of text first.
     """
     pairs = id_and_text(docs, id_col, text_col)
     id_type = pairs.schema["row_id"].dataType
@@ -74,7 +87,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
-        for b in batches:
+        for b in gathered(batches, 1, gather):
             found = compute(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[f if isinstance(f, pa.Array) else pa.array(f) for f in found]],

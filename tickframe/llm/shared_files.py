@@ -9,6 +9,8 @@ import uuid
 
 import numpy as np
 
+HELD_BYTES = 128 << 20
+
 
 def local_path(uri: str) -> str | None:
     """The path of a file: address or a plain path; None for other stores."""
@@ -44,18 +46,36 @@ def write_arrays(uri: str, arrays: dict[str, np.ndarray]) -> None:
     os.replace(own, path)
 
 
-@functools.lru_cache(maxsize=4096)
 def read_arrays(uri: str) -> dict[str, np.ndarray]:
-    """The arrays of a file, mapped where the folder is mounted, else read into memory."""
-    path = local_path(uri)
-    if path is None:
+    """The arrays of a file, mapped where the folder is mounted, else read into memory.
+
+    Of what was read, a worker keeps HELD_BYTES at most, the files used last.
+    """
+    if local_path(uri) is not None:
+        return _mapped(uri)
+    found = _held.pop(uri, None)
+    if found is None:
         from pyarrow import fs
 
         store, name = fs.FileSystem.from_uri(uri)
         with store.open_input_file(name) as f:
             data = np.frombuffer(f.read(), np.uint8)
-    else:
-        data = np.memmap(path, np.uint8, "r")
+        found = (_arrays(data), len(data))
+        while _held and sum(n for _, n in _held.values()) + len(data) > HELD_BYTES:
+            del _held[next(iter(_held))]
+    _held[uri] = found  # to the end, as the one used last
+    return found[0]
+
+
+_held: dict[str, tuple[dict[str, np.ndarray], int]] = {}
+
+
+@functools.lru_cache(maxsize=1024)
+def _mapped(uri: str) -> dict[str, np.ndarray]:
+    return _arrays(np.memmap(local_path(uri), np.uint8, "r"))
+
+
+def _arrays(data: np.ndarray) -> dict[str, np.ndarray]:
     size = int(data[:8].view("<u8")[0])
     header = json.loads(data[8 : 8 + size].tobytes())
     body = data[8 + size :]
