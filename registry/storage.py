@@ -85,6 +85,37 @@ def bars_incremental(spark, sf):
     return b[None].select(*[c.strip() for c in BAR_COLS.split(",")])
 
 
+@query(
+    "recompute_shrinks",
+    f"""WITH {tk_sql()}, kept AS (
+  SELECT symbol, date, round(sum(CASE WHEN day(date) BETWEEN 5 AND 12 THEN 2 * price ELSE price END), 4) AS value, count(*) AS n
+  FROM tk WHERE NOT (day(date) BETWEEN 5 AND 12 AND day(date) % 3 = 0) GROUP BY symbol, date),
+days AS (SELECT date, sum(n) > 1 AS ok FROM kept GROUP BY date)
+SELECT symbol, date, n, value, ok AS valid FROM kept JOIN days USING (date)""",
+    digits=4,
+)
+def recompute_shrinks(spark, sf):
+    """A table computed once, then again for some dates, of which every third now has no rows."""
+    t = ticks(spark, sf)
+    late = {"again": False}
+
+    def compute(dates):
+        rows = t.where(F.col("date").isin(dates))
+        if late["again"]:
+            rows = rows.where(F.day("date") % 3 != 0).withColumn("price", F.col("price") * 2)
+        value = F.sum(F.col("price").cast("decimal(28, 4)")).cast("double")
+        return rows.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("n"), value.alias("value"))
+
+    many = lambda table: table.groupBy("date").agg((F.sum("n") > 1).alias("ok"))
+    d = DateTable(spark, scratch_path(spark, "shrinks"), t.select("symbol", "date"), compute, check=many, sort="symbol")
+    d.compute(days_per_batch=10)
+    late["again"] = True
+    d.compute([x for x in d.partitions() if 5 <= x.day <= 12], recompute=True)
+    valid = spark.createDataFrame([(x,) for x in d.validated()], "date date").withColumn("valid", F.lit(True))
+    rows = d.read().join(valid, "date", "left")
+    return rows.select("symbol", "date", "n", "value", F.coalesce("valid", F.lit(False)).alias("valid"))
+
+
 @query(
     "csv_spot",
     "SELECT event_id AS trade_id, round(value, 6) AS price, "

@@ -1,12 +1,13 @@
 import datetime as dt
 import json
 import zipfile
+from dataclasses import replace
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from registry.base import bars10, table, ticks
+from registry.base import SCALE, bars10, table, ticks
 from tickframe.operators.curves import CurveStore
 from tickframe.operators.ranks import seeded_sample
 from tickframe.operators.tables import (
@@ -48,7 +49,7 @@ def test_overwrite_replaces_only_its_partitions(spark, days):
 def test_compute_is_incremental_and_equals_one_pass(spark, days):
     path = scratch_path(spark, "bars")
     calls = []
-    t = bar_table(spark, days, days.select("symbol", "date"), path, dt.timedelta(minutes=10))
+    t = bar_table(spark, days, days.select("symbol", "date"), path, dt.timedelta(minutes=10), scale=SCALE)
     inner = t._compute
     t._compute = lambda d: calls.append(list(d)) or inner(d)
     assert t.compute([D(2024, 1, 1), D(2024, 1, 2)]) == [D(2024, 1, 1), D(2024, 1, 2)]
@@ -105,6 +106,62 @@ def test_only_confirmed_dates_are_valid(spark, days):
     assert D(2024, 1, 3) not in t.validated() and t.num_validated() == 4
 
 
+def test_a_recomputed_date_that_is_empty_loses_its_rows(spark, days):
+    """Readers see whole batches; a date that computes to nothing is gone and not valid."""
+    state = {"gone": [], "price": 1.0, "fail": False}
+
+    def compute(dates):
+        rows = days.where(F.col("date").isin(dates) & ~F.col("date").isin(state["gone"]))
+        price = F.raise_error(F.lit("lost")).cast("double") if state["fail"] else F.lit(state["price"])
+        return rows.withColumn("price", price)
+
+    first = [D(2024, 1, i) for i in range(1, 4)]
+    few = lambda t: t.groupBy("date").agg((F.count(F.lit(1)) > 1).alias("ok"))
+    post = lambda t: t.withColumn("twice", F.col("price") * 2)
+    t = DateTable(spark, scratch_path(spark, "shrinks"), days.select("symbol", "date"), compute, few, post)
+    with pytest.raises(FileNotFoundError):
+        t.read()
+    t.compute(first)
+    before = t.read()
+    state.update(gone=first[:2], price=2.0)
+    assert t.compute(first, recompute=True) == [first[2]]
+    assert {(r["date"], r["price"], r["twice"]) for r in t.read().select("date", "price", "twice").distinct().collect()} == {(first[2], 2.0, 4.0)}
+    assert t.validated() == [first[2]] and t.invalid(dates=first) == first[:2]
+    assert before.agg(F.max("price")).first()[0] == 1.0  # who reads the table as it was still can
+    state.update(gone=first, price=3.0)
+    assert t.compute(first, recompute=True) == [] and t.read().isEmpty() and t.read().columns[-1] == "twice"
+    state.update(gone=[], fail=True)
+    with pytest.raises(RuntimeError, match="2024, 1, 1"):
+        t.compute(first, recompute=True)
+    assert t.read().isEmpty() and t.validated() == []
+    state.update(fail=False)
+    t.compute()
+    want = t.read().count()
+    assert t.commits.vacuum() > 0 and t.read().count() == want == days.count() and t.num_validated() == 6
+
+
+def test_commits_of_two_writers_both_count(spark, days):
+    path = scratch_path(spark, "writers")
+    write_partitioned(days.where("day(date) = 6"), path)  # left there by another writer
+    one, two = (DateTable(spark, path, days.select("symbol", "date"), lambda d: days.where(F.col("date").isin(d))) for _ in range(2))
+    assert one.read().count() == days.where("day(date) = 6").count() and one.invalid(dates=[D(2024, 1, 6)]) == []
+    calls = []
+
+    def late(m):  # another commit comes in between reading and publishing
+        if not calls:
+            calls.append(two.compute([D(2024, 1, 2)]))
+        return replace(m, valid=m.valid | {D(2024, 1, 5)})
+
+    one.commits.commit(late)
+    one.compute([D(2024, 1, 1)])
+    assert one.validated() == [D(2024, 1, i) for i in (1, 2, 5, 6)] == two.validated()
+    assert two.read().select("date").distinct().count() == 3
+    two.unmark([D(2024, 1, 5)])
+    two.compute()
+    assert one.read().select(days.columns).exceptAll(days).isEmpty() and one.read().count() == days.count()
+    assert one.compute([D(2024, 1, 6)], recompute=True) == [D(2024, 1, 6)] and one.read().count() == days.count()
+
+
 def test_a_damaged_archive_leaves_no_rows(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
 from datetime import date, timedelta
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickframe.operators.bars import time_bars
-from tickframe.sinks.files import exists, remove
+from tickframe.sinks.files import children
+from tickframe.sinks.manifest import NONE, PLAIN, Commits, Manifest
 from tickframe.sinks.tables import write_partitioned
 
 Compute = Callable[[list[date]], DataFrame]
@@ -23,6 +26,9 @@ def rows_present(table: DataFrame) -> DataFrame:
 class DateTable:
     """A parquet table partitioned by ``date``, its universe and its validated dates.
 
+    What ``compute`` makes is committed by manifests; partitions that other writers left in the
+    folder itself count until a commit names their dates.
+
     ``compute`` maps dates to rows; ``check`` maps the table to (date, ok); ``post`` is applied
     to everything that is read. The number of dates is a calendar, so date lists may live on
     the driver.
@@ -38,10 +44,33 @@ class DateTable:
             raise ValueError(f"the universe lacks {sorted(missing)}")
         self.spark, self.path, self.universe = spark, path.rstrip("/"), universe
         self._compute, self._check, self._post, self._sort = compute, check, post, sort
+        self.commits = Commits(spark, self.path)
 
     # -- reading
+    def _table(self, manifest: Manifest, dates: Sequence[date] | None = None) -> DataFrame | None:
+        """The rows that a manifest names, of all dates or the given ones. Without any: an empty table
+        of the last committed schema, or None before the first commit."""
+        plain = {date.fromisoformat(n[5:]): PLAIN for n in children(self.spark, self.path) if n.startswith("date=") and "__HIVE" not in n}
+        folders = plain | manifest.folders
+        if dates is not None:
+            folders = {d: b for d, b in folders.items() if d in set(dates)}
+        parts = []
+        own = [f"{self.path}/date={d}" for d, b in sorted(folders.items()) if b == PLAIN and d in plain]
+        if own:
+            parts.append(self.spark.read.option("basePath", self.path).parquet(*own))
+        made = [f"{self.commits.batch_path(b)}/date={d}" for d, b in sorted(folders.items()) if b not in (PLAIN, NONE)]
+        if made:
+            parts.append(self.spark.read.option("basePath", f"{self.path}/_batches").parquet(*made).drop("batch"))
+        if not parts:
+            schema = manifest.schema and T.StructType.fromJson(json.loads(manifest.schema))
+            return self.spark.createDataFrame([], schema) if schema else None
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
     def read(self, validate: bool = False) -> DataFrame:
-        t = self.spark.read.parquet(self.path)
+        """The committed rows."""
+        t = self._table(self.commits.read())
+        if t is None:
+            raise FileNotFoundError(f"no data under {self.path}")
         if validate:
             t.limit(1).collect()
         return self._post(t) if self._post else t
@@ -58,35 +87,21 @@ class DateTable:
         return self.read().where(F.col("date").isin(wanted))
 
     # -- bookkeeping
-    @property
-    def _valid_path(self) -> str:
-        return f"{self.path}/_validated"
-
     def partitions(self) -> list[date]:
         return [r[0] for r in self.universe.select("date").distinct().orderBy("date").collect()]
 
     def validated(self) -> list[date]:
-        if not exists(self.spark, self._valid_path):
-            return []
-        t = self.spark.read.schema("date date").parquet(self._valid_path)
-        return [r[0] for r in t.distinct().orderBy("date").collect()]
+        return sorted(self.commits.read().valid)
 
     def mark_valid(self, dates: Sequence[date]) -> None:
-        if dates:
-            self.spark.createDataFrame([(d,) for d in dates], "date date").coalesce(1).write.mode(
-                "append"
-            ).parquet(self._valid_path)
+        self.commits.commit(lambda m: replace(m, valid=m.valid | set(dates)))
 
     def unmark(self, dates: Sequence[date]) -> None:
-        """Take dates out of the cache; the rest stays."""
-        known = self.validated()
-        left = [d for d in known if d not in set(dates)]
-        if len(left) < len(known):
-            self.clear_validation()
-            self.mark_valid(left)
+        """Take dates out of the valid ones; the rest stays."""
+        self.commits.commit(lambda m: replace(m, valid=m.valid - set(dates)))
 
     def clear_validation(self) -> None:
-        remove(self.spark, self._valid_path)
+        self.commits.commit(lambda m: replace(m, valid=frozenset()))
 
     def check(self, dates: Sequence[date] | None = None) -> DataFrame:
         """(date, ok) for the given dates, or every date of the universe; absent partitions are
@@ -94,24 +109,16 @@ class DateTable:
         days = self.universe.select("date").distinct()
         if dates is not None:
             days = days.where(F.col("date").isin(list(dates)))
-        if not exists(self.spark, self.path):
+        table = self._table(self.commits.read(), dates)
+        if table is None:
             return days.withColumn("ok", F.lit(False))
-        try:
-            table = self.spark.read.parquet(self.path)
-            if dates is not None:
-                table = table.where(F.col("date").isin(list(dates)))
-            seen = self._check(table)
-        except Exception as e:  # an empty folder has no schema
-            if "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return days.withColumn("ok", F.lit(False))
-            raise
-        return days.join(seen, "date", "left").select(
+        return days.join(self._check(table), "date", "left").select(
             "date", F.coalesce("ok", F.lit(False)).alias("ok")
         )
 
     def invalid(self, recompute: bool = False, dates: Sequence[date] | None = None) -> list[date]:
-        """Dates (of the given ones, or all) of the universe without valid data. Only dates the
-        cache does not know are checked; fresh results extend it."""
+        """Dates (of the given ones, or all) of the universe without valid data. Only dates not
+        known as valid are checked; fresh results are kept."""
         if recompute:
             self.clear_validation()
         known = set(self.validated())
@@ -119,7 +126,8 @@ class DateTable:
         if not left:
             return []
         ok = {r["date"] for r in self.check(left).where("ok").collect()}
-        self.mark_valid([d for d in left if d in ok])
+        if ok:
+            self.mark_valid([d for d in left if d in ok])
         return [d for d in left if d not in ok]
 
     def validate(self, recompute: bool = False) -> None:
@@ -138,11 +146,13 @@ class DateTable:
         self, dates: Sequence[date] | None = None, recompute: bool = False,
         days_per_batch: int = 30,
     ) -> list[date]:
-        """Compute missing dates in batches of days; returns the dates written.
+        """Compute missing dates in batches of days.
 
-        Each batch is one Spark job that replaces exactly its own partitions. Its dates leave the
-        cache of valid dates first; those that pass the check afterwards enter it. A failing batch
-        does not stop the others; all failed dates are raised together at the end.
+        Each batch is written to a folder of its own, checked there, and committed by one manifest:
+        its dates then have just the new rows, none where nothing was computed, and those that
+        pass the check are valid. A failing batch keeps its old rows, which are no longer valid, and
+        does not stop the others; all failed dates are raised together at the end. Returns the
+        dates that passed the check.
         """
         if self._compute is None:
             raise TypeError("this table has no compute function")
@@ -152,20 +162,35 @@ class DateTable:
         todo = sorted(wanted if recompute else wanted - set(self.validated()))
         done: list[date] = []
         failed: dict[date, str] = {}
-        for batch in day_batches(todo, days_per_batch):
-            self.unmark(batch)
+        for days in day_batches(todo, days_per_batch):
             try:
-                write_partitioned(self._compute(batch), self.path, ["date"], self._sort)
-                ok = {r["date"] for r in self.check(batch).where("ok").collect()}
-                self.mark_valid([d for d in batch if d in ok])
-                done += batch
+                done += self._commit_batch(days)
             except Exception as e:  # noqa: BLE001  (collected and raised below)
-                failed.update({d: f"{type(e).__name__}: {str(e)[:200]}" for d in batch})
+                self.unmark(days)
+                failed.update({d: f"{type(e).__name__}: {str(e)[:200]}" for d in days})
         if failed:
             first = next(iter(failed.values()))
             raise RuntimeError(f"failed dates {sorted(failed)}; first error: {first}")
         return done
 
+    def _commit_batch(self, days: list[date]) -> list[date]:
+        batch = self.commits.new_batch()
+        path = self.commits.batch_path(batch)
+        rows = self._compute(days)
+        write_partitioned(rows, path, ["date"], self._sort, mode="append")
+        made = {date.fromisoformat(n[5:]) for n in children(self.spark, path) if n.startswith("date=")}
+        stray = made - set(days)
+        if stray:
+            raise ValueError(f"rows of dates that were not asked for: {sorted(stray)}")
+        columns = [f for f in rows.schema if f.name != "date"] + [f for f in rows.schema if f.name == "date"]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in columns]).json()
+        fresh = Manifest(folders={d: batch if d in made else NONE for d in days}, schema=schema)
+        ok = {r["date"] for r in self._check(self._table(fresh, days)).where("ok").collect()}
+        self.commits.commit(lambda m: replace(
+            m, folders=m.folders | fresh.folders, valid=(m.valid - set(days)) | (ok & set(days)), schema=schema,
+        ))
+        return [d for d in days if d in ok]
+
 
 def day_batches(dates: list[date], days: int) -> list[list[date]]:
     """Chunks of at most ``days`` dates, in order."""

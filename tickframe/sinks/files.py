@@ -5,30 +5,31 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as its own kind."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
 def remove(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return fs.delete(p, True)
 
 
 def rename(spark: SparkSession, source: str, target: str) -> bool:
-    fs, p = _fs(spark, source)
+    fs, p = file_system(spark, source)
     return fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target))
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; empty when there is no such folder."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     if not fs.exists(p):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
