@@ -12,6 +12,7 @@ from registry.base import (
 from tickframe.operators.tables import split_valid
 from tickframe.session import scratch_path
 from tickframe.streaming import messages as msg
+from tickframe.streaming.relay import relay, start_relay
 from tickframe.streaming.feeds import (
     LatestTable, current_values, drain, feed_health, file_sink, last_update, stitch,
     streaming_bars, table_stream,
@@ -453,6 +454,42 @@ def stitched_stream(spark, sf):
     return spark.read.parquet(out)
 
 
+@query(
+    "stitched_switch",
+    """WITH ends AS (SELECT event_type AS symbol, epoch_us(min(ts)) AS first, epoch_us(max(ts)) AS last FROM events GROUP BY event_type)
+SELECT event_id, event_type AS symbol, ts AS time, value,
+  CAST(CASE WHEN epoch_us(ts) >= first + 7 * ((last - first) // 10) THEN 3
+            WHEN epoch_us(ts) >= first + 4 * ((last - first) // 10) THEN 2 ELSE 1 END AS INTEGER) AS version
+FROM events JOIN ends ON event_type = symbol""",
+)
+def stitched_switch(spark, sf):
+    """Three versions of one feed, each with gaps outside its turn; per symbol, the control
+    stream hands over at 0.4 and 0.7 of the symbol's time. Both sources run on around a switch."""
+    e = table(spark, sf, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = e.groupBy(F.col("event_type").alias("symbol")).agg(F.min(us).alias("first"), F.max(us).alias("last"))
+    tenth = F.floor((F.col("last") - F.col("first")) / 10).cast("long")
+    at = lambda k: F.col("first") + k * tenth
+    switches = ends.select("symbol", F.explode(F.array(*[
+        F.struct(F.timestamp_micros(at(k)).alias("time"), F.lit(v).alias("version")) for k, v in ((0, 1), (4, 2), (7, 3))
+    ])).alias("s")).select("symbol", "s.*")
+    # Two days after the last row, one more switch of no symbol's: time goes on, and all rows come out.
+    end = e.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).cast("timestamp").alias("time"))
+    control = scratch_path(spark, "switches")
+    switches.unionByName(end.select(F.lit("").alias("symbol"), "time", F.lit(1).alias("version"))).write.parquet(control)
+    feeds = {}
+    for v, (a, b) in {1: (-1, 5), 2: (3, 8), 3: (6, 11)}.items():
+        path = scratch_path(spark, f"feed-{v}")
+        rows = e.select(EV, F.col("event_type").alias("symbol"), F.col("ts").alias("time"), "value").join(ends, "symbol")
+        rows = rows.where(F.unix_micros(F.col("time").cast("timestamp")).between(at(a), at(b)))
+        rows.select(EV, "symbol", "time", "value").write.parquet(path)
+        feeds[v] = table_stream(spark, path, spark.read.parquet(path).schema)
+    s = relay(feeds, table_stream(spark, control, spark.read.parquet(control).schema), [EV], "time", "1 day", parts=2)
+    out = scratch_path(spark, "switched")
+    drain(start_relay(spark, lambda: file_sink(s, out, f"{out}-checkpoint", every=None)))
+    return spark.read.parquet(out)
+
+
 @query(
     "stream_last_value",
     f"""WITH {tk_sql()} SELECT symbol, max(time) AS time, arg_max(price, time) AS price
