@@ -24,9 +24,11 @@ def _unpack(words: np.ndarray, width: int, index: np.ndarray) -> np.ndarray:
         return np.zeros(len(index), np.uint64)
     at = index * width
     word, bit = at >> 6, (at & 63).astype(np.uint64)
-    low = words[word] >> bit
-    high = np.where(bit > 0, words[word + 1] << ((_BITS - bit) & np.uint64(63)), np.uint64(0))
-    return (low | high) & np.uint64((1 << width) - 1)
+    out = words[word] >> bit
+    over = np.flatnonzero(bit > np.uint64(64 - width))
+    out[over] |= words[word[over] + 1] << (_BITS - bit[over])
+    out &= np.uint64((1 << width) - 1)
+    return out
 
 
 def encode(values: np.ndarray, prefix: str) -> dict[str, np.ndarray]:
@@ -130,15 +132,16 @@ class EliasFano:
         first[later], end[later] = before - (bucket[later] - 1), after - bucket[later]
         end[~later] = self._select(bucket[~later], False)
         wanted = x[rows] & ((1 << self.width) - 1)
-        over = end.copy()
-        while True:  # binary search in every bucket at once
-            open_ = np.flatnonzero(first < end)
-            if not len(open_):
-                break
-            middle = (first[open_] + end[open_]) >> 1
-            less = _unpack(self.low, self.width, middle).astype(np.int64) < wanted[open_]
-            first[open_[less]] = middle[less] + 1
-            end[open_[~less]] = middle[~less]
+        over = end
+        open_ = np.flatnonzero(first < end)
+        low, top, sought = first[open_], end[open_], wanted[open_]
+        while len(open_):  # binary search in every bucket at once
+            middle = (low + top) >> 1
+            less = _unpack(self.low, self.width, middle).astype(np.int64) < sought
+            low, top = np.where(less, middle + 1, low), np.where(less, top, middle)
+            more = low < top
+            first[open_] = low
+            open_, low, top, sought = open_[more], low[more], top[more], sought[more]
         out[rows] = first
         inside = np.flatnonzero(first < over)
         same[rows[inside]] = _unpack(self.low, self.width, first[inside]).astype(np.int64) == wanted[inside]

@@ -37,8 +37,9 @@ LEAST_COUNT = 1  # pairs and triples seen less often leave their mass to the lev
 ORDER = 3
 DISCOUNT = 0.75
 STEP = 1 / 7000  # of the logarithm of a stored probability
+PROBABILITIES = 10.0 ** (-STEP * np.arange(1 << 16))  # by code
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # stands for the end of a text among the word hashes
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 22
 
 
 def token_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -268,7 +269,7 @@ class LevelShard:
         target = base[k] + word[rows] + 1
         place, same = self.words.find(target)
         same &= place < end[k]
-        found[rows[same]] = 10.0 ** (-STEP * self.codes[place[same]].astype(float))
+        found[rows[same]] = PROBABILITIES[self.codes[place[same]]]
         at_place[rows[same]] = place[same]
         return found, left, at_place
 
