@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickframe.llm import embedding_dedup, exact_dedup, text_dedup
 from tickframe.llm.components import components
@@ -164,6 +165,35 @@ def test_near_texts_odd_rows(spark):
     assert sorted(r.doc_id for r in left.collect()) == [5, 7]
 
 
+CLASHING = "doc_id long, text string, _id long, _hit int, _sha string, _digest binary, place_file string, place_row long, `doc.id` int"
+
+
+@pytest.mark.parametrize("drop", [drop_near_duplicates, drop_exact_duplicates])
+def test_dropping_with_clashing_names_and_stored_rows(spark, tmp_path, drop):
+    texts = ["a b c d e f", "a b c d e f", "g h i j k l", None, None, "a b c d e f"]
+    df = spark.createDataFrame([(i, t, 1, 2, "s", b"d", "f", 3, 4) for i, t in enumerate(texts)], CLASHING)
+    df.repartition(3).write.parquet(str(tmp_path / "docs"))
+    for docs in (df, spark.read.parquet(str(tmp_path / "docs"))):
+        got = drop(docs)
+        assert got.columns == df.columns
+        kept = {r.doc_id for r in got.collect()}
+        assert kept == ({0, 2, 3, 4} if drop is drop_near_duplicates else {2, 4, 5})
+        assert drop(docs.where("doc_id < 0")).count() == 0
+    with pytest.raises(TypeError, match="whole number"):
+        drop(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+def test_rows_that_share_an_identifier_are_judged_one_by_one(spark):
+    x, y, z = "a b c d e f", "g h i j k l", "a b c d e f g"
+    rows = [(5, x), (6, x), (6, y), (6, y), (7, z), (5, None), (None, x)]
+    left = drop_near_duplicates(docs_of(spark, rows), width=5, percent=50).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left) == [(0, x), (5, ""), (5, x), (6, y), (6, y)]
+    got = near_duplicates(docs_of(spark, [(1, x), (1, y), (2, z), (3, y)]), 5, 50).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False)]
+    exact = drop_exact_duplicates(docs_of(spark, [(5, x), (6, x), (5, y), (5, y)])).collect()
+    assert sorted((r.doc_id, r.text) for r in exact) == [(5, y), (6, x)]
+
+
 # vectors --------------------------------------------------------------------------------------
 
 VECTORS = "vec_id long, embedding array<float>, label int, rep long, size int, key string"
@@ -207,6 +237,16 @@ def test_vectors_equal_brute_force(spark, monkeypatch, homes):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (n, component[i], component[i] == i)
 
 
+def test_vectors_that_share_an_identifier(spark):
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    near_a, near_b = [1.0, 0.01, 0.0, 0.0], [0.01, 1.0, 0.0, 0.0]
+    rows = [(1, a), (1, b), (2, near_a), (3, near_b), (4, [0.0, 0.0, 1.0, 0.0])]
+    got = near_vectors(spark.createDataFrame([(i, v, 1, 1, 2, "k") for i, v in rows], VECTORS), 0.98).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 0, 4)]
+    with pytest.raises(TypeError, match="whole number"):
+        near_vectors(spark.createDataFrame([("x", a, 1, 1, 2, "k")], VECTORS.replace("vec_id long", "vec_id string")))
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 

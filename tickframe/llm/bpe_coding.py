@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 
@@ -15,16 +14,17 @@ from tickframe.llm.chunks import ChunkTable
 from tickframe.llm.merge_automaton import arc_labels, automaton, label_bytes
 from tickframe.llm.rows import map_texts
 from tickframe.llm.spans import TextBatch, text_batches
+from tickframe.llm.workers import worker_cache
 
 
-@functools.lru_cache(maxsize=1)
+@worker_cache(1)
 def word_table(path: str) -> ChunkTable:
     """Pre-split word -> (its numbers, its arc labels)."""
     encode = automaton(path).encode
     return ChunkTable(lambda words: [encode(w.encode()) for w in words])
 
 
-@functools.lru_cache(maxsize=1)
+@worker_cache(1)
 def special_pieces(path: str) -> tuple[re.Pattern | None, dict[str, tuple[bytes, bytes]]]:
     """A pattern of the added tokens, and what each one becomes. Others than exact texts fail."""
     t, _ = tokenizer(path)

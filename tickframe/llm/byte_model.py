@@ -7,7 +7,6 @@ with the text of an added token, go to the tokenizer whole.
 
 from __future__ import annotations
 
-import functools
 import json
 from array import array
 import unicodedata
@@ -16,6 +15,7 @@ import numpy as np
 
 from tickframe.llm.chunks import ChunkTable
 from tickframe.llm.spans import TextBatch, text_batches
+from tickframe.llm.workers import worker_cache
 
 COVERED = 0x250  # Latin letters and below, whose classes no Unicode version has changed
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -34,7 +34,7 @@ def _class_table() -> np.ndarray:
 CLASSES = _class_table()
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache(1)
 def tokenizer(path: str):
     """The tokenizer and the texts of its added tokens; other layouts than plain byte-level fail."""
     from tokenizers import Tokenizer
@@ -123,7 +123,7 @@ def rank_encoder(path: str):
     return lambda c: coder.encode_single_piece(c.encode())
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache(1)
 def id_table(path: str) -> ChunkTable:
     """Pre-token -> its ids as little-endian unsigned 32-bit numbers."""
     merge = rank_encoder(path)

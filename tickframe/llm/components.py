@@ -76,3 +76,14 @@ def components(links: DataFrame) -> DataFrame:
     if labels is None:
         labels = rest.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels
+
+
+def smallest_names(joined: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rep, name): for every node of ``joined`` (node, component) the smallest ``first`` of its component.
+
+    ``classes`` has a row (rep, first) for each node. Nodes are numbers that name nothing else, so
+    classes whose first identifiers are equal stay apart.
+    """
+    nodes = stored(joined.join(classes.select(F.col("rep").alias("node"), "first"), "node"), "named")
+    names = nodes.groupBy("component").agg(F.min("first").alias("name"))
+    return nodes.join(names, "component").select(F.col("node").alias("rep"), "name")

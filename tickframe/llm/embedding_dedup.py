@@ -22,8 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickframe.llm.components import components, local_labels
-from tickframe.llm.rows import stored
+from tickframe.llm.components import components, local_labels, smallest_names
+from tickframe.llm.rows import check_ids, stored
 
 BLOCK = 8
 CELL_RADII = 3.0  # width of a grid cell, in radii
@@ -177,11 +177,13 @@ def near_vectors(
     zero or not finite link with nothing. Equal vectors link, rows that repeat an identifier too.
     Identifiers are whole numbers. Other columns are not read.
     """
+    check_ids(vectors, id_col)
     rows = stored(usable_vectors(vectors, id_col, vec_col, label_col), "vectors")
     classes = rows.where("key IS NOT NULL").groupBy("label", "key").agg(
-        F.min("row_id").cast("long").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("vec").alias("vec")
+        F.min("row_id").cast("long").alias("first"), F.count(F.lit(1)).alias("size"), F.first("vec").alias("vec")
     )
-    classes = stored(classes.where("rep IS NOT NULL"), "classes")
+    classes = classes.where("first IS NOT NULL").withColumn("rep", F.monotonically_increasing_id())
+    classes = stored(classes, "classes")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     depth = 0
     while largest > CELL_HOMES * CELL_RADII**depth and depth < BLOCK:
@@ -217,13 +219,12 @@ def near_vectors(
         dealt.groupBy("label", "block", "cell", "i", "j").applyInArrow(tile_links(cosine), "a long, b long, n long"), "found"
     )
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("links"))
-    joined = components(found.where("b IS NOT NULL"))
+    names = smallest_names(components(found.where("b IS NOT NULL")), classes)
     facts = (
-        classes.select("label", "key", "rep", "size").join(counts, "rep", "left")
-        .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("label", "key", "rep", "first", "size").join(counts, "rep", "left").join(names, "rep", "left")
         .select(
             "label", "key", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
-            F.coalesce("component", "rep").alias("component"),
+            F.coalesce("name", "first").alias("component"),
         )
     )
     own = F.col("row_id").cast("long")

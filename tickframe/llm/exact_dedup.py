@@ -16,9 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tickframe.llm.rows import id_and_text, stored, without_rows
+from tickframe.llm.rows import check_ids, id_and_text, place, placed, stored, without_rows
+from tickframe.llm.workers import tidy
 
 FAN_BITS = 3
 FAN = 1 << FAN_BITS
@@ -116,7 +117,7 @@ def digest_groups(digests: DataFrame, largest: bool, rows: int) -> DataFrame:
         if held:
             yield from flush()
 
-    runs = digests.mapInArrow(leaves, RUN)
+    runs = digests.mapInArrow(tidy(leaves), RUN)
     for level in range(2, rounds + 1):
         runs = runs.groupBy("node").applyInArrow(merge_round(level, largest), RUN)
 
@@ -137,30 +138,37 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     against a known one; a group of null identifiers has a null ``keep_id`` and keeps its rows.
     Identifiers are whole numbers. Other columns of ``docs`` are not read.
     """
-    hashed = stored(
-        id_and_text(docs, id_col, text_col).select("row_id", F.unhex(F.sha2("row_text", 256)).alias("digest")),
-        "digests",
+    check_ids(docs, id_col)
+    verdict = exact_verdicts(docs, id_col, text_col, keep, {})
+    return verdict.select(
+        F.col("row_id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
-    groups = digest_groups(hashed, keep == "largest", hashed.count())
-    shared = groups.where("size > 1")
-    return hashed.join(shared, "digest", "left").select(
-        F.col("row_id").alias(id_col),
+
+
+def exact_verdicts(docs: DataFrame, id_col: str, text_col: str, keep: str, also: dict[str, Column]) -> DataFrame:
+    """(row_id, digest, keep_id, group_size, kept) and the columns ``also`` of every row."""
+    texts = id_and_text(docs, id_col, text_col, also)
+    hashed = stored(texts.select("row_id", F.unhex(F.sha2("row_text", 256)).alias("digest"), *also), "digests")
+    groups = digest_groups(hashed.select("row_id", "digest"), keep == "largest", hashed.count())
+    return hashed.join(groups.where("size > 1"), "digest", "left").select(
+        "row_id", "digest", *also,
         F.when(F.col("size").isNull(), F.col("row_id")).otherwise(F.col("keep")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         F.when(F.col("size").isNull(), True).otherwise(F.col("keep").eqNullSafe(F.col("row_id"))).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """``docs`` with one row of every different text. A row given twice, id and text, stays once."""
-    verdict = stored(exact_duplicates(docs, id_col, text_col, keep), "verdict")
-    dropped = verdict.where("NOT kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    digest = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
-    left = without_rows(
-        docs, dropped, id_col,
-        lambda rows: F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (digest == F.col("_sha")),
+    """``docs`` with one row of every different text. A row given twice, id and text, stays once, at
+    its first place. No documents, no rows."""
+    check_ids(docs, id_col)
+    docs = placed(docs)
+    verdict = stored(exact_verdicts(docs, id_col, text_col, keep, place(docs)), "verdict")
+    dropped = verdict.where("NOT kept").select("place_file", "place_row")
+    again = verdict.where("kept AND group_size > 1").groupBy("digest").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.struct("place_file", "place_row")).alias("stays")
+    ).where("rows > 1")
+    repeated = verdict.where("kept AND group_size > 1").join(again, "digest").where(
+        F.struct("place_file", "place_row") != F.col("stays")
     )
-    if not verdict.where("kept").groupBy("text_sha256").count().where("count > 1").isEmpty():
-        left = left.withColumn("_digest", digest).dropDuplicates(["_digest"])
-    return left.select(docs.columns)
+    return without_rows(docs, dropped.union(repeated.select("place_file", "place_row")))

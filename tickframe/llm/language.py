@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickframe.llm.rows import id_and_text, map_texts
 from tickframe.llm.spans import text_batches
+from tickframe.llm.workers import tidy
 
 SAMPLE = 4_000  # documents the network is fitted on, at most
 WINDOW = 128
@@ -160,7 +161,7 @@ def fit_language(
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(langs, pa.string()), pa.array(cut, pa.binary())], names=["row_id", "l", "w"])
 
     schema = T.StructType([rows.schema["row_id"], T.StructField("l", T.StringType()), T.StructField("w", T.BinaryType())])
-    got = rows.mapInArrow(run, schema).toPandas().sort_values(["row_id", "l", "w"])
+    got = rows.mapInArrow(tidy(run), schema).toPandas().sort_values(["row_id", "l", "w"])
     names = sorted(got["l"].unique())
     if not names:
         return ByteNet([], [], np.zeros(0), np.zeros((0, 0)), np.zeros(0))

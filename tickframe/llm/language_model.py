@@ -27,6 +27,7 @@ from tickframe.llm.elias_fano import EliasFano, encode
 from tickframe.llm.rows import gathered, id_and_text, map_texts
 from tickframe.llm.shared_files import read_arrays, write_arrays
 from tickframe.llm.spans import text_batches, word_hashes
+from tickframe.llm.workers import tidy
 from tickframe.session import scratch_path
 
 SHARD_CHARS = 16_000_000  # text per shard
@@ -191,7 +192,7 @@ def fit_words(texts: DataFrame, folder: str, shards: int) -> Words:
             "top": pa.array([top.tolist()], pa.list_(pa.int64())), "count": pa.array([counts[top].tolist()], pa.list_(pa.int64())),
         })
 
-    built = texts.mapInArrow(count, PIECE).groupBy("shard").applyInArrow(
+    built = texts.mapInArrow(tidy(count), PIECE).groupBy("shard").applyInArrow(
         build, "shard int, size long, total long, top array<long>, count array<long>"
     ).collect()  # one row per shard
     sizes = np.zeros(shards, np.int64)
@@ -358,7 +359,7 @@ def fit_level(texts: DataFrame, words: Words, below: Words | Level, least: int)
             "top": pa.array([top.tolist()], pa.list_(pa.int64())), "count": pa.array([counts[top].tolist()], pa.list_(pa.int64())),
         })
 
-    built = texts.mapInArrow(count, PIECE).groupBy("shard").applyInArrow(
+    built = texts.mapInArrow(tidy(count), PIECE).groupBy("shard").applyInArrow(
         build, "shard int, size long, context long, mass double, top array<long>, count array<long>"
     ).collect()  # one row per shard
     empty = set(range(len(starts))) - {r["shard"] for r in built}

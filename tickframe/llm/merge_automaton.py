@@ -14,11 +14,11 @@ tables, and the answers are kept as a flat transition table of bounded size.
 
 from __future__ import annotations
 
-import functools
 import json
 from array import array
 
 from tickframe.llm.byte_model import byte_letters
+from tickframe.llm.workers import worker_cache
 
 TABLE_ENTRIES = 1 << 18
 START = -1
@@ -160,7 +160,7 @@ def label_bytes(token: str, letters: dict[str, int]) -> bytes:
     return bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
 
 
-@functools.lru_cache(maxsize=1)
+@worker_cache(1)
 def automaton(path: str) -> MergeAutomaton:
     """The automaton of a byte-level tokenizer file."""
     with open(path, encoding="utf-8") as f:
@@ -174,7 +174,7 @@ def automaton(path: str) -> MergeAutomaton:
     return MergeAutomaton(merges, {label_bytes(t, letters): i for t, i in model["vocab"].items()})
 
 
-@functools.lru_cache(maxsize=1)
+@worker_cache(1)
 def arc_labels(path: str) -> dict[int, bytes]:
     """Number -> bytes of every token of the file, added ones included."""
     with open(path, encoding="utf-8") as f:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickframe.llm.byte_model import encoded
 from tickframe.llm.rows import id_and_text, stored
+from tickframe.llm.workers import tidy
 
 LANE_PIECES = 16_384
 PIECE_FIELDS = [
@@ -69,7 +70,7 @@ def token_pieces(
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return pairs.mapInArrow(run, schema)
+    return pairs.mapInArrow(tidy(run), schema)
 
 
 def vector_best_fit(

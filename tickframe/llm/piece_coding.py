@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
@@ -13,9 +12,10 @@ from tickframe.llm.chunks import ChunkTable, marked_chunks
 from tickframe.llm.piece_model import MARK, check_model, marked_texts, processor
 from tickframe.llm.rows import map_texts
 from tickframe.llm.spans import TextBatch, text_batches
+from tickframe.llm.workers import worker_cache
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache(1)
 def coding_table(path: str) -> ChunkTable:
     """Chunk -> (its ids, the ids as decimals, their decoded text with every marker a blank)."""
     check_model(path)

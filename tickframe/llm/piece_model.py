@@ -7,19 +7,20 @@ never crosses from a character to a following marker, so a text may be cut there
 
 from __future__ import annotations
 
-import functools
+from tickframe.llm.workers import worker_cache
+
 
 MARK = "▁"
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache(1)
 def processor(path: str):
     import sentencepiece
 
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache(1)
 def piece_ranks(path: str) -> dict[str, int]:
     """Rank (0 merges first) of every piece that merging may produce."""
     sp = processor(path)

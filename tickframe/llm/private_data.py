@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickframe.llm.rows import id_and_text, map_texts
 from tickframe.llm.trees import BoostedTrees, fit_trees
+from tickframe.llm.workers import tidy
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_TEXTS = 4_000  # texts the trees are fitted on, at most
@@ -250,7 +251,7 @@ def fit_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 names=["x", "y"],
             )
 
-    spans = rows.mapInArrow(run, "x array<double>, y int").orderBy(F.xxhash64("x"), "x", "y").limit(SAMPLE_SPANS).toPandas()
+    spans = rows.mapInArrow(tidy(run), "x array<double>, y int").orderBy(F.xxhash64("x"), "x", "y").limit(SAMPLE_SPANS).toPandas()
     x = np.array([list(map(float, v)) for v in spans["x"]], float).reshape(len(spans), len(span_features("0", 0, 1, 1)))
     y = spans["y"].to_numpy(float)
     trees = fit_trees(x, y)
@@ -280,7 +281,7 @@ def calibrated(pairs: DataFrame, trees: BoostedTrees) -> tuple:
         used = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*used, counts[used])], names=["kind", "bin", "right", "n"])
 
-    found = pairs.select("row_text").mapInArrow(run, "kind long, bin long, right long, n long")
+    found = pairs.select("row_text").mapInArrow(tidy(run), "kind long, bin long, right long, n long")
     counts = np.zeros((len(KINDS), BINS, 2), np.int64)
     for r in found.groupBy("kind", "bin", "right").agg(F.sum("n").alias("n")).collect():  # at most two a kind and bin
         counts[r["kind"], r["bin"], r["right"]] = r["n"]
@@ -351,4 +352,4 @@ def redact(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFra
             columns[at] = pa.array(texts, b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickframe.llm.rows import id_and_text, map_texts
+from tickframe.llm.workers import tidy
 
 SAMPLE = 20_000  # labelled rows the model is fitted on, at most
 BINS = 32
@@ -216,7 +217,7 @@ def fit_quality(
             x = feature_rows(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["label", "features"])
 
-    got = rows.mapInArrow(run, schema).toPandas().sort_values(["label"], kind="stable")
+    got = rows.mapInArrow(tidy(run), schema).toPandas().sort_values(["label"], kind="stable")
     x = np.array(got["features"].tolist(), float).reshape(len(got), len(FEATURES))
     order = np.lexsort((*x.T, got["label"].to_numpy()))  # independent of the order of the tasks
     return fit_additive(x[order], got["label"].to_numpy(float)[order])
@@ -247,4 +248,4 @@ def keep_good(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3, tex
             good = model.score(feature_rows(b.column(at).to_pylist())) >= threshold
             yield b.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import uuid
 
 import numpy as np
 
+from tickframe.llm.workers import worker_cache
+
 HELD_BYTES = 128 << 20
 
 
@@ -70,7 +71,7 @@ def read_arrays(uri: str) -> dict[str, np.ndarray]:
 _held: dict[str, tuple[dict[str, np.ndarray], int]] = {}
 
 
-@functools.lru_cache(maxsize=1024)
+@worker_cache(1024)
 def _mapped(uri: str) -> dict[str, np.ndarray]:
     return _arrays(np.memmap(local_path(uri), np.uint8, "r").view(np.ndarray))  # plain arrays are read faster
 

@@ -19,17 +19,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tickframe.llm.components import components
-from tickframe.llm.rows import id_and_text, map_texts, stored, without_rows
+from tickframe.llm.components import components, smallest_names
+from tickframe.llm.rows import check_ids, id_and_text, map_texts, place, placed, stored, without_rows
 from tickframe.llm.spans import mix, text_batches, word_hashes
+from tickframe.llm.workers import tidy
 
 K = 64
 DEVIATIONS = 5  # what shared sketch values may stay below their mean, in standard deviations
 LIST_PAIRS = 64
 PIVOTS = 4
 TILE_ROWS, TILE_COLUMNS = 256, 512
+TILE_SHINGLES = 1 << 20  # of a tile's rows, and of its columns
 DF_BUCKETS = 1 << 20  # fixed size of the table of value frequencies, 4 MB
 DF_BLOCK = 1 << 14
 ID_BUCKETS = 1 << 22  # fixed size of the table of wanted identifiers, 4 MB
@@ -66,8 +68,8 @@ def similar(shared: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int):
     return 100 * shared >= percent * (x + y - shared)
 
 
-def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(row_id, n, key, sketch): set size, digest of the whole set, the K smallest hashes."""
+def sketches(docs: DataFrame, width: int, id_col: str, text_col: str, also: dict[str, Column]) -> DataFrame:
+    """(row_id, n, key, sketch): set size, digest of the whole set, the K smallest hashes; and ``also``."""
 
     def start():
         def compute(texts: list):
@@ -81,7 +83,7 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
         return compute
 
     fields = [T.StructField("n", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("sketch", T.BinaryType())]
-    return map_texts(docs, id_col, text_col, fields, start).withColumnRenamed(id_col, "row_id")
+    return map_texts(docs, id_col, text_col, fields, start, keep=also).toDF("row_id", *also, "n", "key", "sketch")
 
 
 def value_frequencies(classes: DataFrame) -> np.ndarray:
@@ -129,7 +131,7 @@ def postings(classes: DataFrame, frequency: np.ndarray, percent: int) -> DataFra
             flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (values, reps, sizes)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in flat], names=["value", "rep", "n"])
 
-    return classes.select("rep", "n", "sketch").mapInArrow(run, "value long, rep long, n long")
+    return classes.select("rep", "n", "sketch").mapInArrow(tidy(run), "value long, rep long, n long")
 
 
 def summed_table(parts: DataFrame, size: int) -> np.ndarray:
@@ -162,7 +164,7 @@ def bucket_of(ids: np.ndarray) -> np.ndarray:
 
 
 def id_filter(reps: DataFrame) -> np.ndarray:
-    """True in the buckets of the identifiers in ``reps`` (rep): a table of fixed size that lets all
+    """True in the buckets of the identifiers in ``reps``' only column: a table of fixed size that lets all
     of them through, and few others while they are far fewer than ID_BUCKETS."""
 
     def count(batches):
@@ -200,7 +202,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in (0, 1)], names=["a", "b"])
 
     joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "s_a", "s_b", "n_a", "n_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(tidy(run), "a long, b long")
 
 
 def sets_of(docs: DataFrame, reps: DataFrame, classes: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -209,9 +211,10 @@ def sets_of(docs: DataFrame, reps: DataFrame, classes: DataFrame, width: int, id
     Only texts whose identifier passes a filter of fixed size become sets; the sets, not the texts,
     are then joined with the representatives.
     """
-    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(reps))
+    chosen = stored(classes.select("rep", "first", "key").join(reps.select("rep").distinct(), "rep"), "chosen")
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(chosen.select("first")))
     ids = id_and_text(docs, id_col, text_col).where("row_id IS NOT NULL")
-    ids = ids.select(F.col("row_id").cast("long").alias("rep"), "row_text")
+    ids = ids.select(F.col("row_id").cast("long").alias("first"), "row_text")
 
     def run(batches):
         for b in batches:
@@ -220,12 +223,12 @@ def sets_of(docs: DataFrame, reps: DataFrame, classes: DataFrame, width: int, id
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["rep", "key", "items"],
+                names=["first", "key", "items"],
             )
 
-    found = ids.mapInArrow(run, "rep long, key binary, items binary").join(reps, "rep", "left_semi")
-    # An identifier that repeats with another text must not stand for the representative.
-    return found.join(classes.select("rep", "key"), ["rep", "key"], "left_semi").select("rep", "items")
+    # A text stands for its class by identifier and set; where a row is given twice, one of them does.
+    found = ids.mapInArrow(tidy(run), "first long, key binary, items binary")
+    return found.join(chosen, ["first", "key"]).select("rep", "items").dropDuplicates(["rep"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -243,7 +246,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in (0, 1)], names=["a", "b"])
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "s_a", "s_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def tile_work(percent: int):
@@ -293,16 +296,17 @@ def outsider_links(lists: DataFrame, links: DataFrame, docs: DataFrame, classes:
     star = lists.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     region = components(star).select(F.col("node").alias("rep"), F.col("component").alias("region"))
     comp = components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
-    members = stored(region.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "members")
-    parts = members.groupBy("region", "comp").count()
+    members = region.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    members = stored(members.join(classes.select("rep", "n"), "rep"), "members")
+    parts = members.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("n"))
     regions = parts.groupBy("region").agg(
         F.max_by("comp", F.struct("count", "comp")).alias("main"), F.sum("count").alias("all"),
-        F.max("count").alias("inside"),
+        F.max("count").alias("inside"), F.sum("n").alias("all_n"), F.max(F.struct("count", "n"))["n"].alias("inside_n"),
     ).where("all > inside")
     cut = members.join(regions, "region").select(
         "region", "rep", "comp", (F.col("comp") != F.col("main")).alias("out"),
-        F.ceil((F.col("all") - F.col("inside")) / TILE_ROWS).cast("int").alias("rows_cut"),
-        F.ceil(F.col("all") / TILE_COLUMNS).cast("int").alias("cols_cut"),
+        F.ceil(F.greatest((F.col("all") - F.col("inside")) / TILE_ROWS, (F.col("all_n") - F.col("inside_n")) / TILE_SHINGLES)).cast("int").alias("rows_cut"),
+        F.ceil(F.greatest(F.col("all") / TILE_COLUMNS, F.col("all_n") / TILE_SHINGLES)).cast("int").alias("cols_cut"),
     )
     cut = stored(cut, "cut")
     sets = sets_of(docs, cut.select("rep"), classes, width, id_col, text_col)
@@ -354,25 +358,40 @@ def near_duplicates(
     component is the smallest identifier that links reach. Identifiers are whole numbers; null
     ones belong to no component. Other columns are not read.
     """
-    known = stored(sketches(docs, width, id_col, text_col), "sketches")
+    check_ids(docs, id_col)
+    verdict = near_verdicts(docs, width, percent, id_col, text_col, {})
+    return verdict.select(F.col("row_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def near_verdicts(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, also: dict[str, Column]) -> DataFrame:
+    """(row_id, n, component_id, kept) and the columns ``also`` of every row.
+
+    Classes of equal sets are numbered: an identifier that repeats with other texts names several
+    of them, which stay apart.
+    """
+    known = stored(sketches(docs, width, id_col, text_col, also), "sketches")
     classes = known.where("n > 0 AND row_id IS NOT NULL").groupBy("key").agg(
-        F.min("row_id").cast("long").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min("row_id").cast("long").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
-    classes = stored(classes, "classes")
-    joined = components(near_duplicate_links(docs, classes, width, percent, id_col, text_col))
-    facts = classes.select("key", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    facts = facts.select("key", F.coalesce("component", "rep").alias("component"))
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    names = smallest_names(components(near_duplicate_links(docs, classes, width, percent, id_col, text_col)), classes)
+    facts = classes.select("key", "rep", "first").join(names, "rep", "left")
+    facts = facts.select("key", F.coalesce("name", "first").alias("component"))
     own = F.col("row_id").cast("long")
     component = F.when(F.col("n") > 0, F.coalesce("component", own)).otherwise(own)
-    return known.select("row_id", "n", "key").join(facts, "key", "left").select(
-        F.col("row_id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("row_id").isNotNull(), component).alias("component_id"),
+    return known.drop("sketch").join(facts, "key", "left").select(
+        "row_id", "n", *also, F.when(F.col("row_id").isNotNull(), component).alias("component_id"),
         F.when(F.col("row_id").isNotNull(), component == own).otherwise(True).alias("kept"),
     )
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that are not the first of their component."""
-    verdict = stored(near_duplicates(docs, width, percent, id_col, text_col), "near")
-    dropped = verdict.where("NOT kept").select(F.col(id_col).alias("_id"))
-    return without_rows(docs, dropped, id_col, lambda rows: F.col(f"`{id_col}`") == F.col("_id"))
+    """``docs`` without the documents that are not the first of their component.
+
+    Rows are judged one by one: where an identifier repeats with another text, only the copy goes.
+    Rows without an identifier or words stay, and so do rows given twice with what is kept.
+    """
+    check_ids(docs, id_col)
+    docs = placed(docs)
+    verdict = near_verdicts(docs, width, percent, id_col, text_col, place(docs))
+    return without_rows(docs, verdict.where("NOT kept").select("place_file", "place_row"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -12,6 +11,7 @@ from tickframe.llm.chunks import ChunkTable, marked_chunks
 from tickframe.llm.piece_model import MARK, check_model, marked_texts, piece_ranks
 from tickframe.llm.rows import map_texts
 from tickframe.llm.spans import TextBatch, text_batches
+from tickframe.llm.workers import worker_cache
 
 
 def merged_count(text: str, ranks: dict[str, int]) -> int:
@@ -48,7 +48,7 @@ def merged_count(text: str, ranks: dict[str, int]) -> int:
     return left
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache(1)
 def count_table(path: str) -> ChunkTable:
     check_model(path)
     ranks = piece_ranks(path)
