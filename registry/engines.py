@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from registry.base import (
-    BARS10_SQL, M10, bars10, query, stored, stored_bars10, tick_splits, ticks, tk_sql,
+    BARS10_SQL, ORACLE, M10, bars10, query, stored, stored_bars10, tick_splits, ticks, tk_sql,
 )
 from tickframe.functions.numbers import ratio
 from tickframe.operators.asof import asof_join
@@ -20,8 +20,9 @@ from tickframe.operators.asof import order_position
 from tickframe.functions.times import micros
 from tickframe.operators.tables import null_summary, pivot_by
 from tickframe.plans.metadata import Metadata, append_metadata
-from tickframe.plans.research import default_marks, mark, research_table
+from tickframe.plans.research import default_marks, mark, research_dates, research_table
 from tickframe.plans.returns import Returns
+from tickframe.session import scratch_path
 
 MIN30 = timedelta(minutes=30)
 # Sums that are equal on paper may differ in the last bits between engines; both sides rank so many digits.
@@ -380,6 +381,25 @@ def research(spark, sf):
     return research_table(index, fine, meta, tolerance=MIN30, splits=m.splits)
 
 
+@query("research_incremental", ORACLE["research_table"])
+def research_incremental(spark, sf):
+    """Dates up to the 12th from sources that end there, then all dates from the grown sources: the
+    last dates of the first run look ahead and are computed again."""
+    fine = stored(time_bars(ticks(spark, sf), timedelta(seconds=5)), "fine-bars")
+    m = _meta(spark, sf)
+    index = stored(m.bars.select("symbol", "date", "time", "close"), "index-bars")
+    meta = stored(m.compute().drop("last_event_time"), "metadata")
+    meta = meta.select(*[
+        F.round(f.name, 3).alias(f.name) if f.dataType.typeName() == "double" else f.name for f in meta.schema
+    ])
+    path = scratch_path(spark, "research")
+    for upto in (12, 31):
+        sources = [df.where(F.day("date") <= upto) for df in (index, fine, meta)]
+        t = research_dates(spark, path, *sources, tolerance=MIN30, splits=m.splits)
+        t.compute(days_per_batch=16)
+    return t[None]
+
+
 @query(
     "null_fraction",
     f"""WITH {BARS10_SQL}, {returns_sql('bars', {'x': mark('now_to_p10m')}, '30 minutes')}

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry.base import SCALE, bars10, table, ticks
+from tickframe.operators.bars import time_bars
 from tickframe.operators.curves import CurveStore
 from tickframe.operators.ranks import seeded_sample
 from tickframe.operators.tables import (
@@ -15,6 +16,7 @@ from tickframe.operators.tables import (
 )
 from tickframe.plans.dataset import DateTable, bar_table, day_batches
 from tickframe.plans.ingest import Ingest, ensure_ready, update_summary
+from tickframe.plans.research import from_day, research_dates, research_table, span_of
 from tickframe.session import scratch_path
 from tickframe.sinks.compaction import audit_files, compact, drop_files, file_parts
 from tickframe.sinks.files import children, exists
@@ -140,6 +142,49 @@ def test_a_recomputed_date_that_is_empty_loses_its_rows(spark, days):
     assert t.commits.vacuum() > 0 and t.read().count() == want == days.count() and t.num_validated() == 6
 
 
+def test_dates_that_look_ahead_are_computed_again(spark, days):
+    """A date is open until its sources have come as far as it looks."""
+    path, calls = scratch_path(spark, "ahead"), []
+
+    def table_at(upto):
+        seen = days.where(F.col("date") <= F.lit(upto))
+        later = seen.groupBy(F.date_sub("date", 1).alias("date")).agg(F.count(F.lit(1)).alias("next"))
+
+        def compute(dates):
+            calls.append(list(dates))
+            return seen.where(F.col("date").isin(dates)).join(later, "date", "left")
+
+        return DateTable(spark, path, seen.select("symbol", "date"), compute, ahead=1, last=lambda: upto)
+
+    D_ = lambda *k: [D(2024, 1, i) for i in k]
+    table_at(D(2024, 1, 3)).compute()
+    t = table_at(D(2024, 1, 3))
+    assert t.reopened() == [] and t.compute() == [] and t.validated() == D_(1, 2, 3)
+    t = table_at(D(2024, 1, 5))
+    assert t.reopened() == D_(3) and t.compute() == D_(3, 4, 5) and t.reopened() == []
+    assert calls == [D_(1, 2, 3), D_(3, 4, 5)]
+    assert {r["date"] for r in t.read().where("next IS NULL").select("date").distinct().collect()} == set(D_(5))
+
+
+def test_research_by_date_prunes_and_equals_one_pass(spark, days):
+    bars = time_bars(days, dt.timedelta(hours=1), scale=SCALE)
+    marks = {"back": (dt.timedelta(hours=-30), dt.timedelta(hours=30)), "ahead": (dt.timedelta(0), dt.timedelta(hours=30))}
+    assert span_of(marks) == (2, 2)
+    meta = bars.select("symbol", "date", F.col("time"), F.col("volume").alias("known")).where("day(date) <= 2")
+    index = bars.select("symbol", "date", "time", "close")
+    options = dict(marks=marks, tolerance=dt.timedelta(hours=3))
+    path = scratch_path(spark, "research")
+    for upto in (3, 6):
+        some = [df.where(F.day("date") <= upto) for df in (index, bars, meta)]
+        t = research_dates(spark, path, *some, **options)
+        t.compute(days_per_batch=2)
+    want = research_table(index, bars, meta.drop("date"), **options)
+    assert same(t[None].select(want.columns), want) and t.reopened() == []
+    last = from_day(bars, D(2024, 1, 3), "last_event_time")
+    assert last.where("day(date) < 3").groupBy("symbol").count().where("count > 1").isEmpty() and last.where("day(date) >= 3").count() == bars.where("day(date) >= 3").count()
+    assert from_day(bars, D(2024, 1, 3), "last_event_time", dt.timedelta(days=1)).where("day(date) = 1").isEmpty()
+
+
 def test_commits_of_two_writers_both_count(spark, days):
     path = scratch_path(spark, "writers")
     write_partitioned(days.where("day(date) = 6"), path)  # left there by another writer

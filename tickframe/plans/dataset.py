@@ -32,18 +32,23 @@ class DateTable:
     ``compute`` maps dates to rows; ``check`` maps the table to (date, ok); ``post`` is applied
     to everything that is read. The number of dates is a calendar, so date lists may live on
     the driver.
+
+    Rows of a table that looks ahead depend on up to ``ahead`` later dates of its sources, whose
+    last date ``last`` tells. A date computed before its sources had come so far is open: it
+    counts as valid and is read, and is computed again when the sources have grown.
     """
 
     def __init__(
         self, spark: SparkSession, path: str, universe: DataFrame, compute: Compute | None = None,
         check: Check = rows_present, post: Callable[[DataFrame], DataFrame] | None = None,
-        sort: str | None = "time",
+        sort: str | None = "time", ahead: int = 0, last: Callable[[], date | None] | None = None,
     ):
         missing = {"symbol", "date"} - set(universe.columns)
         if missing:
             raise ValueError(f"the universe lacks {sorted(missing)}")
         self.spark, self.path, self.universe = spark, path.rstrip("/"), universe
         self._compute, self._check, self._post, self._sort = compute, check, post, sort
+        self._ahead, self._last = timedelta(days=ahead), last
         self.commits = Commits(spark, self.path)
 
     # -- reading
@@ -141,6 +146,12 @@ class DateTable:
     def num_validated(self) -> int:
         return len(self.validated())
 
+    def reopened(self) -> list[date]:
+        """Valid dates that would see more of the sources now than when they were computed."""
+        m = self.commits.read()
+        last = self._last() if self._last and self._ahead and m.seen else None
+        return [] if last is None else sorted(d for d, x in m.seen.items() if d in m.valid and x < min(d + self._ahead, last))
+
     # -- computing
     def compute(
         self, dates: Sequence[date] | None = None, recompute: bool = False,
@@ -159,7 +170,7 @@ class DateTable:
         wanted = set(self.partitions())
         if dates is not None:
             wanted &= set(dates)
-        todo = sorted(wanted if recompute else wanted - set(self.validated()))
+        todo = sorted(wanted if recompute else wanted - (set(self.validated()) - set(self.reopened())))
         done: list[date] = []
         failed: dict[date, str] = {}
         for days in day_batches(todo, days_per_batch):
@@ -176,6 +187,7 @@ class DateTable:
     def _commit_batch(self, days: list[date]) -> list[date]:
         batch = self.commits.new_batch()
         path = self.commits.batch_path(batch)
+        last = self._last() if self._last and self._ahead else None  # before the rows are read
         rows = self._compute(days)
         write_partitioned(rows, path, ["date"], self._sort, mode="append")
         made = {date.fromisoformat(n[5:]) for n in children(self.spark, path) if n.startswith("date=")}
@@ -188,6 +200,7 @@ class DateTable:
         ok = {r["date"] for r in self._check(self._table(fresh, days)).where("ok").collect()}
         self.commits.commit(lambda m: replace(
             m, folders=m.folders | fresh.folders, valid=(m.valid - set(days)) | (ok & set(days)), schema=schema,
+            seen=m.seen if last is None else m.seen | dict.fromkeys(days, last),
         ))
         return [d for d in days if d in ok]
 

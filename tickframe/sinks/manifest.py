@@ -26,77 +26,62 @@ NONE = "-"  # no rows
 
 @dataclass(frozen=True)
 class Manifest:
-    """``folders``: date -> batch, PLAIN or NONE; dates that are not named are PLAIN."""
+    """``folders``: date -> batch, PLAIN or NONE; dates that are not named are PLAIN. ``seen``: the
+    last date of the sources when a date was computed, of tables that look ahead."""
 
     number: int = 0
     folders: dict[date, str] = field(default_factory=dict)
     valid: frozenset[date] = frozenset()
     schema: str | None = None
+    seen: dict[date, date] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps({
             "folders": {d.isoformat(): b for d, b in sorted(self.folders.items())},
             "valid": [d.isoformat() for d in sorted(self.valid)], "schema": self.schema,
+            "seen": {d.isoformat(): x.isoformat() for d, x in sorted(self.seen.items())},
         })
 
     @staticmethod
     def from_json(number: int, text: str) -> Manifest:
         found, day = json.loads(text), date.fromisoformat
         return Manifest(
-            number, {day(d): b for d, b in found["folders"].items()}, frozenset(map(day, found["valid"])), found["schema"]
+            number, {day(d): b for d, b in found["folders"].items()}, frozenset(map(day, found["valid"])), found["schema"],
+            {day(d): day(x) for d, x in found["seen"].items()},
         )
 
 
-class Commits:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+class NumberedFiles:
+    """A folder of small texts with ascending numbers, each published whole and once."""
 
-    @property
-    def _folder(self) -> str:
-        return f"{self.path}/_commits"
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
 
-    def batch_path(self, batch: str) -> str:
-        return f"{self.path}/_batches/batch={batch}"
-
-    def new_batch(self) -> str:
-        return f"b{uuid.uuid4().hex}"
+    def _path(self, number: int) -> str:
+        return f"{self.folder}/{number:012d}.json"
 
     def numbers(self) -> list[int]:
-        return sorted(int(n[:-5]) for n in children(self.spark, self._folder) if n.endswith(".json") and n[:-5].isdigit())
+        names = children(self.spark, self.folder)
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-    def read(self, number: int | None = None) -> Manifest:
-        """The newest manifest, or one by its number."""
-        if number is None:
-            number = max(self.numbers(), default=0)
-        if not number:
-            return Manifest()
-        fs, p = file_system(self.spark, f"{self._folder}/{number:012d}.json")
+    def read(self, number: int) -> str:
+        fs, p = file_system(self.spark, self._path(number))
         stream = fs.open(p)
         try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return Manifest.from_json(number, text)
 
-    def commit(self, change: Callable[[Manifest], Manifest]) -> Manifest:
-        """Apply ``change`` to the newest manifest; again if another writer was faster."""
-        while True:
-            before = self.read()
-            after = replace(change(before), number=before.number + 1)
-            if (after.folders, after.valid, after.schema) == (before.folders, before.valid, before.schema):
-                return before
-            if self._publish(after):
-                return after
-
-    def _publish(self, m: Manifest) -> bool:
+    def publish(self, number: int, text: str) -> bool:
+        """False if the number is taken."""
         jvm = self.spark.sparkContext._jvm
-        fs, temporary = file_system(self.spark, f"{self._folder}/.{uuid.uuid4().hex}")
+        fs, temporary = file_system(self.spark, f"{self.folder}/.{uuid.uuid4().hex}")
         out = fs.create(temporary, False)
         try:
-            out.write(bytearray(m.to_json().encode()))
+            out.write(bytearray(text.encode()))
         finally:
             out.close()
-        target = jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{m.number:012d}.json")
+        target = jvm.org.apache.hadoop.fs.Path(self._path(number))
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
         no_options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
@@ -108,13 +93,46 @@ class Commits:
             raise
         return True
 
+    def remove(self, number: int) -> bool:
+        return bool(remove(self.spark, self._path(number)))
+
+
+class Commits:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.files = NumberedFiles(spark, f"{path}/_commits")
+
+    def batch_path(self, batch: str) -> str:
+        return f"{self.path}/_batches/batch={batch}"
+
+    def new_batch(self) -> str:
+        return f"b{uuid.uuid4().hex}"
+
+    def read(self, number: int | None = None) -> Manifest:
+        """The newest manifest, or one by its number."""
+        if number is None:
+            number = max(self.files.numbers(), default=0)
+        return Manifest.from_json(number, self.files.read(number)) if number else Manifest()
+
+    def commit(self, change: Callable[[Manifest], Manifest]) -> Manifest:
+        """Apply ``change`` to the newest manifest; again if another writer was faster."""
+        while True:
+            before = self.read()
+            after = replace(change(before), number=before.number + 1)
+            if replace(after, number=before.number) == before:
+                return before
+            if self.files.publish(after.number, after.to_json()):
+                return after
+
     def vacuum(self, keep: int = 1) -> int:
         """Remove manifests but the newest ``keep``, and the batch folders that none of these names.
 
         Not while a batch is being computed: its folder is named only by its commit.
         """
-        numbers = self.numbers()
+        numbers = self.files.numbers()
         held = {b for n in numbers[-keep:] for b in self.read(n).folders.values()}
-        gone = [f"{self._folder}/{n:012d}.json" for n in numbers[:-keep]]
-        gone += [f"{self.path}/_batches/{b}" for b in children(self.spark, f"{self.path}/_batches") if b.removeprefix("batch=") not in held]
-        return sum(bool(remove(self.spark, p)) for p in gone)
+        done = sum(self.files.remove(n) for n in numbers[:-keep])
+        for b in children(self.spark, f"{self.path}/_batches"):
+            if b.removeprefix("batch=") not in held:
+                done += bool(remove(self.spark, f"{self.path}/_batches/{b}"))
+        return done
