@@ -496,11 +496,15 @@ def stitched_switch(spark, sf):
 FROM tk GROUP BY symbol""",
 )
 def stream_last_value(spark, sf):
+    """Over several micro-batches, of which each one rewrites the buckets of its symbols only."""
+    days = scratch_path(spark, "days")
+    t = ticks(spark, sf).select("symbol", "time", "price", (F.day("date") % 4).alias("part"))
+    t.repartition(4, "part").drop("part").write.parquet(days)
     out = scratch_path(spark, "latest")
-    s = current_values(_tick_stream(spark, sf).select("symbol", "time", "price"), ["symbol"], "time")
-    t = LatestTable(spark, out, ["symbol"], "time")
-    drain(t.start(s, f"{out}-checkpoint", every=None))
-    return t.read()
+    s = table_stream(spark, days, t.drop("part").schema, files_per_trigger=1)
+    latest = LatestTable(spark, out, ["symbol"], "time", buckets=16)
+    drain(latest.start(current_values(s, ["symbol"], "time"), f"{out}-checkpoint", every=None))
+    return latest.read()
 
 
 @query(

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 from datetime import timedelta
 
@@ -6,11 +7,13 @@ from pyspark.sql import functions as F
 
 from registry.base import bars10, table, ticks
 from tickframe.session import scratch_path
+from tickframe.sinks.files import children
 from tickframe.streaming import messages as msg
 from tickframe.streaming.feeds import (
     LatestTable, as_text, current_values, drain, feed_health, file_sink, message_stream, record_feeds,
     routed_sink, stitch, streaming_bars, symbol_filter, table_stream,
 )
+from tickframe.streaming.relay import PROVIDER, relay, start_relay
 
 M10 = timedelta(minutes=10)
 
@@ -50,6 +53,68 @@ def test_latest_table_over_batches(spark, sf, day_files):
     assert latest.read().exceptAll(want).isEmpty() and latest.read().count() == 5
 
 
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark):
+    schema = "k long, time long, v string"
+    rows = lambda ks, t, v: spark.createDataFrame([(k, t, v) for k in ks], schema)
+    path = scratch_path(spark, "buckets")
+    latest = LatestTable(spark, path, ["k"], "time", buckets=32)
+    with pytest.raises(FileNotFoundError):
+        latest.read()
+    first = latest.merge(rows(range(200), 5, "a"), 0)
+    before = latest.manifest()["folders"]
+    assert len(first) == 32 == len(before)
+    old = latest.read()
+    touched = latest.merge(rows([3, 7], 6, "b"), 1)
+    after = latest.manifest()["folders"]
+    assert 1 <= len(touched) <= 2 and {b for b in after if after[b] != before[b]} == set(map(str, touched))
+    assert old.where("v = 'b'").count() == 0  # who reads the version before still can
+    assert latest.merge(rows([3, 7], 9, "again"), 1) == []  # a batch that was committed is not taken twice
+    latest.merge(rows([3], 2, "late"), 2)
+    latest.merge(rows([7, 900, None], 6, "tie"), 3)
+    assert latest.merge(rows([], 0, ""), 4) == []
+    got = {r["k"]: r["v"] for r in latest.read().collect()}
+    assert got == {k: "a" for k in range(200)} | {3: "b", 7: "tie", 900: "tie", None: "tie"}
+    again = LatestTable(spark, path, ["k"], "time", buckets=8)  # the number of buckets stays that of the table
+    again.merge(rows(range(5), 10, "c"), 5)
+    assert {r["k"]: r["v"] for r in again.read().collect()} == got | dict.fromkeys(range(5), "c")
+    versions = [n for n in children(spark, path) if n.startswith("version=")]
+    assert len(versions) <= len(set(after.values())) + 4
+
+
+def relay_rows(symbol, minutes):
+    return [(symbol, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), f"{symbol}-{m}", float(m)) for m in minutes]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_relay_switches_in_mid_stream(spark, parts):
+    """Versions that overlap, a switch that arrives after rows it governs, copies and late rows."""
+    schema = "symbol string, time timestamp_ntz, id string, value double"
+    batches = [
+        {1: relay_rows("a", range(0, 40)) + relay_rows("b", range(0, 40)), 2: relay_rows("a", range(30, 55)), "c": [("a", 0, 1), ("b", 0, 1)]},
+        {1: relay_rows("a", range(40, 70)) + relay_rows("b", range(40, 70)) + relay_rows("a", [39, 41]), 2: relay_rows("a", range(55, 70)), "c": [("a", 50, 2)]},
+        {1: relay_rows("b", range(70, 100)) + relay_rows("a", [1, 2]), 2: relay_rows("a", range(70, 100)) + relay_rows("a", [69]), "c": [("a", 80, 1), ("a", 80, 2), ("x", 900, 1)]},
+    ]
+    root = scratch_path(spark, "relay")
+    for k, batch in enumerate(batches):
+        for v in (1, 2):
+            spark.createDataFrame(batch[v], schema).coalesce(1).write.parquet(f"{root}/v{v}/part{k}")
+        switches = [(s, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), v) for s, m, v in batch["c"]]
+        spark.createDataFrame(switches, "symbol string, time timestamp_ntz, version int").coalesce(1).write.parquet(f"{root}/c/part{k}")
+    feeds = {}
+    for name in ("v1", "v2", "c"):
+        kind = spark.read.parquet(f"{root}/{name}/part0").schema
+        feeds[name] = spark.readStream.schema(kind).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+    s = relay({1: feeds["v1"], 2: feeds["v2"]}, feeds["c"], ["id"], "time", "30 minutes", parts=parts)
+    out = scratch_path(spark, "relayed")
+    drain(start_relay(spark, lambda: file_sink(s, out, out + "-c", every=None)))
+    got = sorted((r["id"], r["version"]) for r in spark.read.parquet(out).collect())
+    want = [(f"a-{m}", 1 if m < 50 else 2) for m in range(100)] + [(f"b-{m}", 1) for m in range(100)]
+    assert got == sorted(want)
+    assert spark.conf.get(PROVIDER).endswith("HDFSBackedStateStoreProvider")
+    with pytest.raises(ValueError):
+        relay({1: feeds["v1"].withColumn("version", F.lit(1))}, feeds["c"], ["id"], "time", "1 hour")
+
+
 def test_stitch_takes_active_versions_once(spark, sf, day_files):
     path, t = day_files
     src = lambda: table_stream(spark, path, t.schema).select("symbol", "time", "trade_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import timedelta
 from typing import Callable, Sequence
 
@@ -10,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickframe.functions.times import floor_us, from_micros, micros
 from tickframe.operators.bars import bar_columns, bar_measures, order_key
-from tickframe.sinks.files import children, exists, remove
+from tickframe.sinks.files import children, remove
+from tickframe.sinks.manifest import NumberedFiles
 from tickframe.streaming.messages import CONTROL, TRADES, envelope
 
 
@@ -160,37 +163,67 @@ def record_feeds(
 class LatestTable:
     """A table that always holds the newest row per key of an update-mode stream.
 
-    Each micro-batch merges into a new version folder; readers take the highest finished one.
-    A repeated batch rewrites its own version, so replays are harmless.
+    Keys are dealt to ``buckets`` by hash, and each bucket has a folder of its newest version. A
+    micro-batch reads and rewrites the buckets that its rows fall into, and no others; then one
+    manifest names the new folder of each, so readers see all of a batch or nothing of it. A batch
+    that is repeated after its commit does nothing, before it leaves a folder nobody reads.
+    Folders that the last ``keep`` manifests do not name are removed.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: str | None):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: str | None, buckets: int = 64, keep: int = 2):
         self.spark, self.path, self.keys, self.order = spark, path, list(keys), order
+        self.buckets, self.keep = buckets, keep
+        self.files = NumberedFiles(spark, f"{path}/_commits")
 
-    def _versions(self) -> list[int]:
-        names = children(self.spark, self.path)
-        found = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
-        return sorted(v for v in found if exists(self.spark, f"{self.path}/v{v}/_SUCCESS"))
+    def manifest(self) -> dict:
+        """``batch``: the last one; ``buckets``: their number; ``folders``: bucket -> version."""
+        numbers = self.files.numbers()
+        if not numbers:
+            return {"number": 0, "batch": -1, "buckets": self.buckets, "folders": {}}
+        return json.loads(self.files.read(numbers[-1])) | {"number": numbers[-1]}
+
+    def _rows(self, folders: dict[str, str]) -> DataFrame:
+        paths = [f"{self.path}/version={v}/bucket={b}" for b, v in sorted(folders.items())]
+        return self.spark.read.option("basePath", self.path).parquet(*paths).drop("version", "bucket")
 
     def read(self) -> DataFrame:
-        done = self._versions()
-        if not done:
+        found = self.manifest()
+        if not found["folders"]:
             raise FileNotFoundError(f"no finished version under {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v{done[-1]}")
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
+        return self._rows(found["folders"])
+
+    def merge(self, batch: DataFrame, batch_id: int) -> list[int]:
+        """Take a batch in; the buckets it rewrote."""
+        found = self.manifest()
+        if batch_id <= found["batch"]:
+            return []
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(found["buckets"])).cast("int")
+        touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
         rows = batch.withColumn("__b", F.lit(batch_id))
-        before = [v for v in self._versions() if v < batch_id]
-        if before:
-            old = self.spark.read.parquet(f"{self.path}/v{before[-1]}")
-            rows = rows.unionByName(old.withColumn("__b", F.lit(-1)))
+        old = {b: v for b, v in found["folders"].items() if int(b) in touched}
+        if old:
+            rows = rows.unionByName(self._rows(old).withColumn("__b", F.lit(-1)))
         rank = [F.col(self.order)] if self.order else []
         rest = [c for c in batch.columns if c not in self.keys]
         best = F.max_by(F.struct(*rest), F.struct(*rank, F.col("__b")))
-        out = rows.groupBy(*self.keys).agg(best.alias("r")).select(*self.keys, "r.*")
-        out.write.mode("overwrite").parquet(f"{self.path}/v{batch_id}")
-        for v in before[:-1]:
-            remove(self.spark, f"{self.path}/v{v}")
+        out = rows.groupBy(*self.keys).agg(best.alias("r")).select(*self.keys, "r.*", bucket.alias("bucket"))
+        version = f"v{uuid.uuid4().hex}"
+        if touched:
+            out.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/version={version}")
+        made = {"batch": batch_id, "buckets": found["buckets"], "folders": found["folders"] | {str(b): version for b in touched}}
+        if not self.files.publish(found["number"] + 1, json.dumps(made)):
+            raise RuntimeError(f"two streams write {self.path}")
+        self._clean()
+        return sorted(touched)
+
+    def _clean(self) -> None:
+        numbers = self.files.numbers()
+        held = {v for n in numbers[-self.keep :] for v in json.loads(self.files.read(n))["folders"].values()}
+        for n in numbers[: -self.keep]:
+            self.files.remove(n)
+        for name in children(self.spark, self.path):
+            if name.startswith("version=") and name.removeprefix("version=") not in held:
+                remove(self.spark, f"{self.path}/{name}")
 
     def start(
         self, df: DataFrame, checkpoint: str, every: str | None = "30 seconds",
