@@ -40,7 +40,7 @@ DISCOUNT = 0.75
 STEP = 1 / 7000  # of the logarithm of a stored probability
 PROBABILITIES = 10.0 ** (-STEP * np.arange(1 << 16))  # by code
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # stands for the end of a text among the word hashes
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 3 << 20
 
 
 def token_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
