@@ -7,14 +7,16 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from registry.base import (
-    BAR_COLS, BARS10_SQL, M10, SCALE, query, table, ticks, tk_sql,
+    BAR_COLS, ORACLE, BARS10_SQL, M10, SCALE, query, table, ticks, tk_sql,
 )
 from tickframe.operators.tables import split_valid
 from tickframe.session import scratch_path
 from tickframe.streaming import messages as msg
+from tickframe.streaming.recorder import Recorder
 from tickframe.streaming.relay import relay, start_relay
+from tickframe.streaming.universe import universe_changes
 from tickframe.streaming.feeds import (
-    LatestTable, current_values, drain, feed_health, file_sink, last_update, stitch,
+    LatestTable, current_values, drain, feed_health, file_sink, last_update, message_stream, stitch,
     streaming_bars, table_stream,
 )
 
@@ -91,15 +93,7 @@ def parse_trades_rejected(spark, sf):
     return bad.select("symbol", "trade_id", "size")
 
 
-@query(
-    "parse_bbo",
-    f"""SELECT event_type AS symbol, ts AS received_time, {MS} AS time,
-  round(value, 6) AS bid_price, CAST(event_id % 5 AS DOUBLE) AS bid_size,
-  event_id % 3 + 1 AS bid_orders, round(value + 0.5, 6) AS ask_price,
-  CAST(event_id % 7 AS DOUBLE) AS ask_size, event_id % 4 + 1 AS ask_orders
-FROM events WHERE event_id % 13 <> 0""",
-)
-def parse_bbo(spark, sf):
+def quote_messages(spark, sf) -> DataFrame:
     def side(px: Column, k: int, n: int) -> Column:
         return F.struct(
             _text(px).alias("px"), _text(F.col(EV) % k).alias("sz"),
@@ -111,7 +105,19 @@ def parse_bbo(spark, sf):
         F.col("event_type").alias("coin"), _ms().alias("time"),
         F.array(side(F.col("value"), 5, 3), ask).alias("bbo"),
     )
-    q, _ = msg.complete(msg.best_quotes(_wrap(spark, sf, "bbo", data)), "bid_price", "ask_price")
+    return _wrap(spark, sf, "bbo", data)
+
+
+@query(
+    "parse_bbo",
+    f"""SELECT event_type AS symbol, ts AS received_time, {MS} AS time,
+  round(value, 6) AS bid_price, CAST(event_id % 5 AS DOUBLE) AS bid_size,
+  event_id % 3 + 1 AS bid_orders, round(value + 0.5, 6) AS ask_price,
+  CAST(event_id % 7 AS DOUBLE) AS ask_size, event_id % 4 + 1 AS ask_orders
+FROM events WHERE event_id % 13 <> 0""",
+)
+def parse_bbo(spark, sf):
+    q, _ = msg.complete(msg.best_quotes(quote_messages(spark, sf)), "bid_price", "ask_price")
     return _naive(q)
 
 
@@ -355,6 +361,19 @@ def spot_universe(spark, sf):
     return msg.spot_universe(m)
 
 
+def health_messages(spark, sf) -> DataFrame:
+    one = F.struct(F.col("event_type").alias("coin"), _text("value").alias("px"))
+    data = F.when(F.col(EV) % 3 == 0, F.array(one, one)).otherwise(F.array(one))
+    good = F.to_json(F.struct(F.lit("trades").alias("channel"), data.alias("data")))
+    text = (
+        F.when(F.col(EV) % 50 == 0, '{"channel":"pong"}')
+        .when(F.col(EV) % 51 == 0, "not json").otherwise(good)
+    )
+    return table(spark, sf, "events").select(
+        text.alias("value"), F.col("ts").cast("timestamp").alias("received_time")
+    )
+
+
 HEALTH_SQL = """h AS (
   SELECT CASE WHEN event_id % 50 = 0 THEN 'pong' WHEN event_id % 51 = 0 THEN 'unreadable'
            ELSE 'trades' END AS channel, event_id FROM events)"""
@@ -370,17 +389,68 @@ SELECT channel, n_messages, n_trades, channel = 'pong' AS is_control,
 FROM g""",
 )
 def health(spark, sf):
-    one = F.struct(F.col("event_type").alias("coin"), _text("value").alias("px"))
-    data = F.when(F.col(EV) % 3 == 0, F.array(one, one)).otherwise(F.array(one))
-    good = F.to_json(F.struct(F.lit("trades").alias("channel"), data.alias("data")))
-    text = (
-        F.when(F.col(EV) % 50 == 0, '{"channel":"pong"}')
-        .when(F.col(EV) % 51 == 0, "not json").otherwise(good)
-    )
+    return feed_health(health_messages(spark, sf))
+
+
+@query("stream_health", ORACLE["feed_health"])
+def stream_health(spark, sf):
+    """The same messages as a stream of files, counted batch by batch in one pass."""
+    folder, out = scratch_path(spark, "messages"), scratch_path(spark, "recorded")
+    health_messages(spark, sf).select("value").repartition(4).write.text(folder)
+    r = Recorder(spark, out, {"trades": ("trades", msg.trades)})
+    drain(r.start(message_stream(spark, path=folder, maxFilesPerTrigger=2), f"{out}-checkpoint", every=None))
+    return r.health()
+
+
+@query(
+    "stream_routed",
+    f"""WITH {TRADES_SQL}, q AS (SELECT event_type AS symbol, value AS price FROM events)
+SELECT 'trade' AS payload, symbol, count(*) AS n, round(sum(price), 4) AS price FROM t GROUP BY symbol
+UNION ALL SELECT 'quote', symbol, count(*), round(sum(price), 4) FROM q GROUP BY symbol""",
+    digits=4,
+)
+def stream_routed(spark, sf):
+    """Trades and quotes in one stream of messages, each read once and routed to its table."""
+    folder, out = scratch_path(spark, "messages"), scratch_path(spark, "routed")
+    both = trade_messages(spark, sf).unionByName(quote_messages(spark, sf))
+    both.select("value").repartition(4).write.text(folder)
+    r = Recorder(spark, out, {"trade": ("trades", msg.trades), "quote": ("bbo", msg.best_quotes)})
+    drain(r.start(message_stream(spark, path=folder, maxFilesPerTrigger=2), f"{out}-checkpoint", every=None))
+    exact = lambda c: F.sum(F.col(c).cast("decimal(28, 6)")).cast("double").alias("price")
+    parts = [
+        r.read(p).groupBy(F.lit(p).alias("payload"), "symbol").agg(F.count(F.lit(1)).alias("n"), exact(c))
+        for p, c in (("trade", "price"), ("quote", "bid_price"))
+    ]
+    return parts[0].union(parts[1])
+
+
+UNIVERSE_SQL = """seen AS (SELECT DISTINCT event_type AS source, date_trunc('day', ts) AS time, 'u' || (user_id % 97) AS symbol FROM events),
+times AS (SELECT source, time, row_number() OVER (PARTITION BY source ORDER BY time) AS k FROM (SELECT DISTINCT source, time FROM seen)),
+s AS (SELECT source, k, symbol FROM seen JOIN times USING (source, time))"""
+
+
+@query(
+    "stream_universe_changes",
+    f"""WITH {UNIVERSE_SQL},
+added AS (SELECT n.source, n.k, n.symbol, 'added' AS change FROM s n ANTI JOIN s o ON o.source = n.source AND o.k = n.k - 1 AND o.symbol = n.symbol),
+removed AS (SELECT o.source, o.k + 1 AS k, o.symbol, 'removed' AS change FROM s o ANTI JOIN s n ON o.source = n.source AND o.k = n.k - 1 AND o.symbol = n.symbol)
+SELECT source, time, symbol, change FROM (SELECT * FROM added UNION ALL SELECT * FROM removed) JOIN times USING (source, k)""",
+)
+def stream_universe_changes(spark, sf):
+    """A daily universe per event type: the users seen that day, in three micro-batches."""
     e = table(spark, sf, "events").select(
-        text.alias("value"), F.col("ts").cast("timestamp").alias("received_time")
+        F.col("event_type").alias("source"), F.date_trunc("day", "ts").cast("timestamp").alias("time"),
+        F.concat(F.lit("u"), F.col("user_id") % 97).alias("symbol"),
     )
-    return feed_health(e)
+    daily = e.groupBy("source", "time").agg(F.collect_set("symbol").alias("symbols"))
+    end = e.agg((F.max("time") + F.expr("INTERVAL 60 DAYS")).alias("time")).select(F.lit("end").alias("source"), "time", F.array().cast("array<string>").alias("symbols"))
+    folder, out = scratch_path(spark, "universes"), scratch_path(spark, "changes")
+    daily.withColumn("part", F.floor(F.day("time") / 11)).repartition(3, "part").drop("part").write.parquet(folder)
+    end.coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    s = universe_changes(table_stream(spark, folder, schema, files_per_trigger=2), "40 days")
+    drain(start_relay(spark, lambda: file_sink(s, out, f"{out}-checkpoint", every=None)))
+    return _naive(spark.read.parquet(out))
 
 
 @query(

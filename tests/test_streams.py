@@ -13,7 +13,9 @@ from tickframe.streaming.feeds import (
     LatestTable, as_text, current_values, drain, feed_health, file_sink, message_stream, record_feeds,
     routed_sink, stitch, streaming_bars, symbol_filter, table_stream,
 )
+from tickframe.streaming.recorder import Recorder, unrouted
 from tickframe.streaming.relay import PROVIDER, relay, start_relay
+from tickframe.streaming.universe import universe_changes
 
 M10 = timedelta(minutes=10)
 
@@ -173,3 +175,54 @@ def test_message_edges(spark):
     perp = msg.perp_universe(df({"universe": [
         {"name": "BTC", "szDecimals": 5, "maxLeverage": 50}, {"name": "OLD", "isDelisted": True}]}))
     assert [r["symbol"] for r in perp.collect()] == ["BTC_PERP"]
+
+
+def test_recorder_routes_once_and_takes_no_batch_twice(spark):
+    trade = lambda s, n: json.dumps({"channel": "trades", "data": [
+        {"coin": s, "side": "B", "px": "1", "sz": "1", "time": 1704067200000, "tid": k} for k in range(n)]})
+    quote = json.dumps({"channel": "bbo", "data": {"coin": "007", "time": 1, "bbo": [{"px": "1", "sz": "2", "n": 3}, None]}})
+    lines = [trade("A", 2), trade("007", 1), quote, json.dumps({"channel": "pong"}), "{broken", json.dumps({"channel": "new", "data": 1})]
+    batch = spark.createDataFrame([(x,) for x in lines], "value string")
+    parsers = {"trade": ("trades", msg.trades), "quote": ("bbo", msg.best_quotes)}
+    r = Recorder(spark, scratch_path(spark, "recorder"), parsers)
+    with pytest.raises(FileNotFoundError):
+        r.read("trade")
+    r.record(batch, 0)
+    r.record(batch, 0)  # repeated after its commit
+    assert sorted((x["symbol"], x["trade_id"]) for x in r.read("trade").collect()) == [("007", 0), ("A", 0), ("A", 1)]
+    assert [x["symbol"] for x in r.read("quote").collect()] == ["007"]
+
+    def broken(df):
+        raise OSError("disk")
+
+    with pytest.raises(OSError):  # dies in mid-batch: what it wrote is not read, and is written again
+        Recorder(spark, r.path, parsers | {"quote": ("bbo", broken)}).record(batch, 1)
+    assert r.read("trade").count() == 3
+    r.record(batch.limit(0), 1)
+    r.record(batch, 2)
+    assert r.read("trade").count() == 6 and r.read("trade", after=0).count() == 3
+    got = {x["channel"]: (x["n_messages"], x["n_trades"], x["is_control"]) for x in r.health().collect()}
+    assert got == {"trades": (4, 6, False), "bbo": (2, 0, False), "pong": (2, 0, True), "new": (2, 0, False), "unreadable": (2, 0, False)}
+    assert unrouted(batch, parsers).count() == 3
+
+
+def test_universe_changes_follow_the_time_of_snapshots(spark):
+    day = lambda k: dt.datetime(2024, 1, k)
+    root = scratch_path(spark, "snapshots")
+    batches = [
+        [("x", day(1), ["a", "b", None]), ("x", day(4), ["b", "d"]), ("y", day(2), [])],
+        [("x", day(3), ["b", "c"]), ("x", day(3), ["a"]), ("y", day(5), ["q"]), (None, day(3), ["n"]), ("x", None, ["n"])],
+        [("x", day(9), None), ("y", day(9), ["q"]), ("x", day(8), ["d", "b"])],
+        [("end", day(30), ["z"]), ("y", day(1), ["late"])],
+    ]
+    schema = "source string, time timestamp, symbols array<string>"
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/part{k}")
+    s = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(root)
+    out = scratch_path(spark, "changed")
+    drain(start_relay(spark, lambda: file_sink(universe_changes(s, "3 days", parts=3), out, out + "-c", every=None)))
+    got = sorted((r["source"], r["time"].day, r["symbol"], r["change"]) for r in spark.read.parquet(out).collect())
+    assert got == sorted([
+        ("x", 1, "a", "added"), ("x", 1, "b", "added"), ("x", 3, "c", "added"), ("x", 4, "a", "removed"), ("x", 4, "c", "removed"),
+        ("x", 4, "d", "added"), ("x", 9, "b", "removed"), ("x", 9, "d", "removed"), ("y", 5, "q", "added"),
+    ])

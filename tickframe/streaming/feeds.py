@@ -99,16 +99,24 @@ def stitch(
 
 def feed_health(df: DataFrame, text: str = "value") -> DataFrame:
     """Messages, trades and trades per message by channel; unreadable ones as 'unreadable'."""
+    return health_ratios(feed_counts(df, text))
+
+
+def feed_counts(df: DataFrame, text: str = "value") -> DataFrame:
+    """Messages and trades by channel: counts that add up over batches."""
     e = envelope(df, text)
     channel = F.coalesce("channel", F.lit("unreadable"))
     n = F.when(
         F.col("channel") == TRADES, F.size(F.from_json("data", "array<string>"))
     ).otherwise(0)
-    g = e.groupBy(channel.alias("channel")).agg(
+    return e.groupBy(channel.alias("channel")).agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.sum(F.greatest(n, F.lit(0))).cast("long").alias("n_trades"),
     )
-    return g.withColumns({
+
+
+def health_ratios(counts: DataFrame) -> DataFrame:
+    return counts.withColumns({
         "is_control": F.col("channel").isin(*CONTROL),
         "trades_per_message": F.try_divide(
             F.col("n_trades").cast("double"),
