@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +13,7 @@ import pytest
 
 from tickframe.llm.elias_fano import EliasFano, encode
 from tickframe.llm.language import fit_language, languages
-from tickframe.llm import language_model
+from tickframe.llm import language_model, private_data
 from tickframe.llm.language_model import fit_language_model, model_scores
 from tickframe.llm.private_data import (
     KINDS, all_spans, base_spans, fit_private, luhn, private_spans, redact, redacted, written,
@@ -171,6 +173,54 @@ def test_long_texts_take_linear_time():
         base_spans(t)
 
 
+def test_windows_of_long_runs_equal_single_spans():
+    """Proposals, features and checks of digit tables, worked out as arrays, span by span."""
+    rng = random.Random(1)
+    for k in range(40):
+        letters = ["0123456789 ", "0123456789 .-/()", "01. ", "12/-.9 ", "+1() 23"][k % 5]
+        t = rng.choice(["", "call tel ", "version ", "card: ", "ip #"]) + "".join(rng.choice(letters) for _ in range(rng.randrange(150, 700)))
+        t += rng.choice(["", " end", ".", "é"])
+        base = base_spans(t)
+        got = {tuple(s): (x, w) for part in private_data.proposals(t, base) for s, x, w in zip(*(v.tolist() for v in part))}
+        want = private_data._clear_of(private_data.proposed(t), base)
+        assert set(got) == set(want)
+        for s in want:
+            assert got[s] == ([float(v) for v in private_data.span_features(t, *s)], bool(private_data.surely_wrong(t, *s)))
+
+
+def test_added_spans_equal_brute_force(tables):
+    """Every proposal scored by itself, then taken greedily: by score, length and place."""
+    model = fit_private(tables[0])
+    texts = ["call (499) 555-6503 or 4111.1111.1111.1111 now", "1 2 3 " * 60 + "499 555 6503 " * 9, "x (at) y.com 12", "card 4111/1111/1111/1111, tel 499 555 65 03"]
+    for t in texts:
+        base = base_spans(t)
+        ranked = []
+        for s in private_data._clear_of(private_data.proposed(t), base):
+            q = model.trees.score(np.array([private_data.span_features(t, *s)], float))[0]
+            if not private_data.surely_wrong(t, *s) and q >= model.thresholds[s[1]]:
+                ranked.append((-q, s[0] - s[2], s))
+        chosen = []
+        for _, _, s in sorted(ranked):
+            if all(s[2] <= c[0] or c[2] <= s[0] for c in chosen):
+                chosen.append(s)
+        assert all_spans(t, model) == (base, sorted({*base, *chosen}))
+
+
+def test_digit_tables_take_bounded_time_and_memory(tables):
+    model = fit_private(tables[0])
+    t = "".join(random.Random(2).choice("0123456789") + " " for _ in range(500_000))  # 1 MB
+    began = time.process_time()
+    assert sum(len(x) for x, _ in private_data.training_blocks(t)) > 1_000_000
+    all_spans(t, model)
+    assert time.process_time() - began < 60  # 280 s when windows were worked out one by one
+    tracemalloc.start()
+    sum(len(x) for x, _ in private_data.training_blocks(t[:20_000]))
+    all_spans(t[:20_000], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
 def test_private_spans_keep_the_base_and_add(spark, tables):
     docs, _ = tables
     model = fit_private(docs)

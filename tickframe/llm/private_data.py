@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tickframe.llm.number_runs import NumberRun
 from tickframe.llm.rows import id_and_text, map_texts
 from tickframe.llm.trees import BoostedTrees, fit_trees
 from tickframe.llm.workers import tidy
@@ -32,6 +34,8 @@ PRECISION = 0.995
 LEAST_THRESHOLD = 0.9
 BINS = 4096  # of the scores that thresholds are calibrated on
 SCORED_SPANS = 20_000  # at once
+LONG_RUN = 200  # characters of a run of numbers whose windows are worked out as arrays
+CONTEXT = 24  # characters before a span that are looked at
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -110,8 +114,9 @@ def windows(text: str, start: int, end: int):
             yield begin, b, n
 
 
-def proposed(text: str) -> list[tuple[int, int, int]]:
-    """More spans that may be personal data, overlapping ones too."""
+def proposed(text: str, longest: int | None = None) -> list[tuple[int, int, int]]:
+    """More spans that may be personal data, overlapping ones too; with ``longest``, without those
+    of longer runs of numbers."""
     out = set()
     for m in WRITTEN_AT.finditer(text):
         left = text[max(0, m.start() - 64) : m.start()]
@@ -121,6 +126,8 @@ def proposed(text: str) -> list[tuple[int, int, int]]:
             out.add((begin, 0, domain.end()))
     if ANY_DIGIT.search(text):
         for m in NUMBER.finditer(text):
+            if longest is not None and m.end() - m.start() > longest:
+                continue
             for a, b, n in windows(text, *m.span()):
                 if 4 <= n <= 12 and text.count(".", a, b) == 3:
                     out.add((a, 1, b))
@@ -161,13 +168,9 @@ def surely_wrong(text: str, start: int, kind: int, end: int) -> bool:
     return kind in (2, 3) and bool(DATE.fullmatch(s) or ORDINAL.search(text[max(0, start - 24) : start]))
 
 
-def training_spans(text: str) -> list[tuple[list[float], int]]:
-    """(features, 1 for personal data) of base spans, variants of them and look-alikes.
-
-    Proposals of the corpus whose truth is unknown are left out: they may be what is to be added.
-    """
+def variants_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[list[float], int]]:
+    """(features, 1 for personal data) of base spans and of variants of them."""
     out = []
-    base = base_spans(text)
     for a, kind, b in base:
         out.append((span_features(text, a, kind, b), 1))
         before, s, after = text[max(0, a - 24) : a], text[a:b], text[b : b + 1]
@@ -187,25 +190,97 @@ def training_spans(text: str) -> list[tuple[list[float], int]]:
         for v, good in variants:
             if len(digits_of(v)) >= 7 or kind == 0:
                 out.append((span_features(before + v + after, len(before), kind, len(before) + len(v)), good))
-    for a, kind, b in _clear_of(proposed(text), base):
-        if surely_wrong(text, a, kind, b):
-            out.append((span_features(text, a, kind, b), 0))
     return out
 
 
+Spans = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def proposals(text: str, base: list[tuple[int, int, int]]) -> Iterator[Spans]:
+    """((start, kind, end), features, whether surely wrong) of all proposals that no base span
+    overlaps, in blocks: what is held at once does not grow with the text."""
+    short = _clear_of(proposed(text, LONG_RUN), base)
+    for k in range(0, len(short), SCORED_SPANS):
+        part = short[k : k + SCORED_SPANS]
+        yield (
+            np.array(part), np.array([span_features(text, *x) for x in part], float),
+            np.array([surely_wrong(text, *x) for x in part], bool),
+        )
+    starts = np.array([a for a, _, _ in base])
+    reach = np.maximum.accumulate([-1, *(b for _, _, b in base)])
+    for m in NUMBER.finditer(text) if len(text) > LONG_RUN else ():
+        if m.end() - m.start() > LONG_RUN:
+            for spans, f in NumberRun(text, *m.span()).windows():
+                keep = np.flatnonzero(reach[np.searchsorted(starts, spans[:, 2], side="left")] <= spans[:, 0])
+                if len(keep):
+                    yield _table_features(text, m.start(), spans[keep], {k: v[keep] for k, v in f.items()})
+
+
+def _table_features(text: str, start: int, spans: np.ndarray, f: dict[str, np.ndarray]) -> Spans:
+    """Of windows of a run of numbers that begins at ``start``: the same as for single spans."""
+    kind, zero = int(spans[0, 1]), np.zeros(len(spans))
+    cue, ordinal = np.zeros(len(spans), bool), np.zeros(len(spans), bool)
+    for k in np.flatnonzero(spans[:, 0] < start + CONTEXT):  # further on, only numbers stand before
+        before = text[max(0, spans[k, 0] - CONTEXT) : spans[k, 0]]
+        cue[k], ordinal[k] = bool(CUES[KINDS[kind]].search(before)), bool(ORDINAL.search(before))
+    around = [np.array([neighbour(text[at : at + 1] if at >= 0 else "") for at in places.tolist()])[back]
+              for places, back in (np.unique(x, return_inverse=True) for x in (spans[:, 0] - 1, spans[:, 2]))]
+    x = np.stack([
+        zero + kind, f["size"], f["digits"], zero, f[" "], f["-"], f["."], f["("], f["/"], f["groups"], f["first"], f["last"],
+        f["longest"], f["different"], f["plus"], f["opens"], f["luhn"], f["address"], f[")"] == f["("], *around, cue, ordinal, zero,
+    ], axis=1).astype(float)
+    wrong = ordinal & (kind in (2, 3))
+    if kind == 2:
+        wrong = wrong | ~f["luhn"]
+    ask = np.flatnonzero(~wrong & ((kind == 1) | (kind == 3) & (f["groups"] == 3) & (f["size"] <= 10)))
+    for k in ask:
+        wrong[k] = surely_wrong(text, *spans[k].tolist())
+    return spans, x, wrong
+
+
+def training_blocks(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, 1 for personal data) of base spans, variants of them and look-alikes, in blocks.
+
+    Proposals of the corpus whose truth is unknown are left out: they may be what is to be added.
+    """
+    base = base_spans(text)
+    for k in range(0, len(base), SCORED_SPANS):
+        found = variants_of(text, base[k : k + SCORED_SPANS])
+        yield np.array([v for v, _ in found], float), np.array([y for _, y in found])
+    for _, x, wrong in proposals(text, base):
+        if wrong.any():
+            yield x[wrong], np.zeros(int(wrong.sum()), np.int64)
+
+
+def training_spans(text: str) -> list[tuple[list[float], int]]:
+    """The same, one by one."""
+    return [(list(v), int(k)) for x, y in training_blocks(text) for v, k in zip(x.tolist(), y)]
+
+
+def distinct_scores(trees: BoostedTrees, x: np.ndarray) -> np.ndarray:
+    """Scores of rows, each different row scored once: a digit table has few."""
+    rows, back = np.unique(x @ SALT[: x.shape[1]], return_index=True, return_inverse=True)[1:]
+    return trees.score(x[rows])[back.reshape(-1)]
+
+
+SALT = np.random.default_rng(0).uniform(1, 2, 64)  # tells different rows apart
+
+
 @dataclass
 class SpanModel:
     trees: BoostedTrees
     thresholds: tuple
 
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Proposed spans that pass, best first, none overlapping another or a base span."""
-        new = _clear_of(proposed(text), base)
+        """Proposed spans that pass, best first, none overlapping another or a base span. What a check
+        rules out is not scored."""
         ranked = []
-        for k in range(0, len(new), SCORED_SPANS):
-            part = new[k : k + SCORED_SPANS]
-            p = self.trees.score(np.array([span_features(text, *s) for s in part], float))
-            ranked += [(-q, s) for q, s in zip(p.tolist(), part) if q >= self.thresholds[s[1]]]
+        for spans, x, wrong in proposals(text, base):
+            spans, x = spans[~wrong], x[~wrong]
+            if len(x):
+                p = distinct_scores(self.trees, x)
+                good = np.flatnonzero(p >= np.array(self.thresholds)[spans[:, 1]])
+                ranked += [(-q, tuple(s)) for q, s in zip(p[good].tolist(), spans[good].tolist())]
         ranked.sort(key=lambda r: (r[0], r[1][0] - r[1][2], r[1]))  # of equal ones the longest
         chosen: list[tuple[int, int, int]] = []
         taken: dict[int, tuple] = {}
@@ -245,11 +320,11 @@ def fit_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches):
         for b in batches:
-            found = [x for t in b.column(1).to_pylist() for x in training_spans(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.list_(pa.float64())), pa.array([y for _, y in found], pa.int32())],
-                names=["x", "y"],
-            )
+            for t in b.column(1).to_pylist():
+                for x, y in training_blocks(t):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(y.astype(np.int32))], names=["x", "y"]
+                    )
 
     spans = rows.mapInArrow(tidy(run), "x array<double>, y int").orderBy(F.xxhash64("x"), "x", "y").limit(SAMPLE_SPANS).toPandas()
     x = np.array([list(map(float, v)) for v in spans["x"]], float).reshape(len(spans), len(span_features("0", 0, 1, 1)))
@@ -264,20 +339,23 @@ def calibrated(pairs: DataFrame, trees: BoostedTrees) -> tuple:
     def run(batches):
         counts = np.zeros((len(KINDS), BINS, 2), np.int64)
 
-        def add(spans):
-            if spans:
-                x = np.array([v for v, _ in spans], float)
-                at = np.minimum((trees.score(x) * BINS).astype(np.int64), BINS - 1)
-                np.add.at(counts, (x[:, 0].astype(np.int64), at, np.array([y for _, y in spans])), 1)
+        def add(held):
+            if held:
+                x, y = (np.concatenate(v) for v in zip(*held))
+                at = np.minimum((distinct_scores(trees, x) * BINS).astype(np.int64), BINS - 1)
+                np.add.at(counts, (x[:, 0].astype(np.int64), at, y), 1)
 
+        held, size = [], 0
         for b in batches:
-            spans = []
             for t in b.column(0).to_pylist():
-                spans += training_spans(t)
-                if len(spans) >= SCORED_SPANS:
-                    add(spans)
-                    spans = []
-            add(spans)
+                for x, y in training_blocks(t):
+                    if len(x):
+                        held.append((x, y))
+                        size += len(x)
+                    if size >= SCORED_SPANS:
+                        add(held)
+                        held, size = [], 0
+        add(held)
         used = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*used, counts[used])], names=["kind", "bin", "right", "n"])
 
