@@ -9,6 +9,7 @@ from tickframe.operators.features import (
     Clip, ClipQuantiles, Elementwise, FeatureGroups, FillMissing, GroupShare, Identity, Log,
     QuantileTransform, RaiseNonFinite, RowStandardize, Standardize,
 )
+from tickframe.operators.vectors import VectorStandardize, row_standardized
 
 ID = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 IDS = ID.split(", ")
@@ -158,38 +159,45 @@ def feat_gaussian(spark, sf):
     return QuantileTransform("gaussian", KNOTS).fit_transform(d, ["o_totalprice"])
 
 
-ROW_PARTS = [f"v{k}" for k in range(8)]
+VECTOR_PARTS = [f"v{k}" for k in range(64)]
+ROWS_SQL = f"""e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+m AS (SELECT *, list_avg(v) AS m, list_stddev_pop(v) AS s FROM e)"""
+PARTS_SQL = ", ".join(f"round((v[{k + 1}] - m) / s, 6) AS {c}" for k, c in enumerate(VECTOR_PARTS))
 
 
-@query(
-    "feat_rowwise",
-    f"""WITH e AS (SELECT vec_id, CAST(embedding[1:8] AS DOUBLE[]) AS v FROM embeddings),
-m AS (SELECT *, list_avg(v) AS m, list_stddev_pop(v) AS s FROM e)
-SELECT vec_id, {', '.join(f'round((v[{k + 1}] - m) / s, 6) AS v{k}' for k in range(8))} FROM m""",
-)
-def feat_rowwise(spark, sf):
-    e = table(spark, sf, "embeddings").select(
-        "vec_id", *[F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate(ROW_PARTS)]
+def vector_parts(spark, sf):
+    """The whole vector, a column per component; ``n`` tells that it has no more of them."""
+    return table(spark, sf, "embeddings").select(
+        "vec_id", F.size("embedding").cast("long").alias("n"),
+        *[F.get("embedding", F.lit(k)).cast("double").alias(c) for k, c in enumerate(VECTOR_PARTS)],
     )
-    return RowStandardize().transform(e, ROW_PARTS)
 
 
-VECTOR_PARTS = [f"v{k}" for k in range(64)]
+@query("feat_rowwise", f"WITH {ROWS_SQL} SELECT vec_id, {PARTS_SQL} FROM m")
+def feat_rowwise(spark, sf):
+    return RowStandardize().transform(vector_parts(spark, sf).drop("n"), VECTOR_PARTS)
+
+
+@query("feat_rowwise_whole", f"WITH {ROWS_SQL} SELECT vec_id, len(v) AS n, {PARTS_SQL} FROM m")
+def feat_rowwise_whole(spark, sf):
+    return RowStandardize().transform(vector_parts(spark, sf), VECTOR_PARTS)
 
 
 @query(
-    "feat_rowwise_whole",
-    f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-m AS (SELECT *, list_avg(v) AS m, list_stddev_pop(v) AS s FROM e)
-SELECT vec_id, len(v) AS n, {', '.join(f'round((v[{k + 1}] - m) / s, 6) AS {c}' for k, c in enumerate(VECTOR_PARTS))} FROM m""",
+    "feat_vector",
+    """WITH e AS (SELECT vec_id, unnest(range(len(embedding))) AS position, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)
+SELECT vec_id, CAST(position AS INTEGER) AS position,
+  round((v - avg(v) OVER r) / stddev_pop(v) OVER r, 6) AS by_row, round((v - avg(v) OVER p) / stddev_pop(v) OVER p, 6) AS by_position
+FROM e WINDOW r AS (PARTITION BY vec_id), p AS (PARTITION BY position)""",
 )
-def feat_rowwise_whole(spark, sf):
-    """The whole vector; ``n`` tells that it has no more components than columns."""
-    e = table(spark, sf, "embeddings").select(
-        "vec_id", F.size("embedding").cast("long").alias("n"),
-        *[F.get("embedding", F.lit(k)).cast("double").alias(c) for k, c in enumerate(VECTOR_PARTS)],
-    )
-    return RowStandardize().transform(e, VECTOR_PARTS)
+def feat_vector(spark, sf):
+    """Standardised within each vector and by position, from the one array column."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    by_position = VectorStandardize().fit(e, "embedding")
+    both = e.select("vec_id", F.arrays_zip(
+        row_standardized("embedding").alias("by_row"), by_position.transform("embedding").alias("by_position")
+    ).alias("z"))
+    return both.select("vec_id", F.posexplode("z").alias("position", "z")).select("vec_id", "position", "z.by_row", "z.by_position")
 
 
 @query(

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickframe.functions.numbers import clip, erfinv, log_eps, parse_number, probit, valid_price, valid_size
+from tickframe.operators.vectors import VectorStandardize, row_standardized
 from tickframe.operators.features import (
     Clip, ClipQuantiles, Elementwise, FeatureGroups, FillMissing, GroupMap, GroupShare, Identity,
     Log, QuantileTransform, RaiseNonFinite, RowStandardize, Standardize,
@@ -163,3 +164,21 @@ def test_clip_and_log_functions_on_open_sides(xs):
     d = xs(-1.0, 2.0)
     assert col(d.withColumn("x", clip("x", None, 1.0))) == [-1.0, 1.0]
     assert col(d.withColumn("x", log_eps("x", 0.0)))[1] == pytest.approx(math.log(2))
+
+
+def test_vector_steps_skip_what_is_missing(spark):
+    nan = float("nan")
+    rows = [(1, [1.0, 2.0, 6.0]), (2, [3.0, None, nan]), (3, None), (4, []), (5, [5.0, 5.0]), (6, [7.0, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    got = {r["id"]: r["z"] for r in df.select("id", row_standardized("v").alias("z")).collect()}
+    std = (14 / 3) ** 0.5
+    assert got[1] == pytest.approx([-2 / std, -1 / std, 3 / std])
+    assert got[2] == [None] * 3 and got[3] is None and got[4] == [] and got[5] == [None, None]
+    step = VectorStandardize().fit(df, "v")
+    assert step.means == pytest.approx([4.0, 8 / 3, 3.0])
+    got = {r["id"]: r["z"] for r in df.select("id", step.transform("v").alias("z")).collect()}
+    assert got[2][0] == pytest.approx(-1 / 5**0.5) and got[2][1:] == [None, None] and got[3] is None and got[4] == []
+    longer = spark.createDataFrame([([4.0, 8 / 3, 3.0, 9.0],)], "v array<double>")
+    assert longer.select(step.transform("v")).first()[0][:3] == pytest.approx([0.0, 0.0, 0.0]) and longer.select(step.transform("v")).first()[0][3] is None
+    with pytest.raises(ValueError, match="positions"):
+        VectorStandardize().fit(df.where("id IN (4, 5)"), "v")
