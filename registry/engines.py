@@ -12,9 +12,10 @@ from registry.base import (
 from tickframe.functions.numbers import ratio
 from tickframe.operators.asof import asof_join
 from tickframe.operators.bars import time_bars
+from tickframe.operators.merging import count_of, greatest_of, least_of, rolling_merged
 from tickframe.operators.quantiles import IN_TASK_ROWS
 from tickframe.operators.ranks import rank_columns
-from tickframe.operators.rolling import last_per_interval, rolling, rolling_frame, total
+from tickframe.operators.rolling import last_per_interval, rolling, total
 from tickframe.operators.scans import forward_fill, running_sums
 from tickframe.operators.asof import order_position
 from tickframe.functions.times import micros
@@ -288,14 +289,10 @@ WINDOW w AS (PARTITION BY symbol ORDER BY last_event_time
 )
 def rolling_any_aggregate(spark, sf):
     b = bars10(spark, sf).select("symbol", "last_event_time", "high", "low")
-    day = timedelta(days=1)
-    return rolling_frame(
-        b, ["symbol"], "last_event_time",
-        {day: {"high_1d": lambda w: F.max("high").over(w),
-               "low_1d": lambda w: F.min("low").over(w),
-               "n_bars_1d": lambda w: F.count(F.lit(1)).over(w)}},
-        slice_by=day,
-    ).drop("high", "low")
+    r = rolling_merged(b, ["symbol"], "last_event_time", timedelta(days=1), {
+        "high_1d": greatest_of(F.col("high")), "low_1d": least_of(F.col("low")), "n_bars_1d": count_of(F.lit(1)),
+    })
+    return r.withColumn("n_bars_1d", F.coalesce("n_bars_1d", F.lit(0).cast("long"))).drop("high", "low")
 
 
 @query(

@@ -1,5 +1,7 @@
 """Running operations, rolling windows and quantiles: split plans equal plain plans."""
 
+import datetime as dt
+import random
 from datetime import timedelta
 
 import numpy as np
@@ -10,6 +12,7 @@ from registry.base import table, ticks
 from tickframe.functions.times import micros
 from tickframe.operators.asof import asof_splits
 from tickframe.operators.curves import dependence_curve
+from tickframe.operators.merging import count_of, greatest_of, least_of, rolling_merged, sum_of
 from tickframe.operators.quantiles import exact_quantiles
 from tickframe.operators.ranks import rank_columns
 from tickframe.operators.rolling import (
@@ -162,3 +165,28 @@ def test_curve_split_equals_plain_on_heavy_values(spark, sf):
     plain, cut = dependence_curve(*args), dependence_curve(*args, rows_per_part=200)
     assert same(plain, cut)
     assert plain.agg(F.max("weight_norm")).first()[0] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, 24])
+def test_merged_windows_equal_frames(spark, slices):
+    """Ties, gaps longer than a window, window ends on slice borders, missing values, keys and times."""
+    rng = random.Random(slices)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for key in ("hot", "b", None):
+        at = 0
+        for k in range(300 if key == "hot" else 60):
+            at += rng.choice([0, 0, 1, 30, 60, 600, 600, 3600, 90_000 if k % 50 == 0 else 5])
+            rows.append((key, start + dt.timedelta(seconds=at), None if rng.random() < 0.1 else rng.randrange(1000), k))
+    rows += [("b", None, 5, -1), ("hot", start, 7, -2)]
+    df = spark.createDataFrame(rows, "key string, time timestamp_ntz, x long, n long")
+    hour = dt.timedelta(hours=1)
+    got = rolling_merged(df, ["key"], "time", hour, {
+        "low": least_of(F.col("x")), "high": greatest_of(F.col("x")), "sum": sum_of(F.col("x")), "count": count_of(F.col("x")),
+    }, slices=slices)
+    want = rolling_frame(df.where("time IS NOT NULL"), ["key"], "time", {hour: {
+        "low": lambda w: F.min("x").over(w), "high": lambda w: F.max("x").over(w), "sum": lambda w: F.sum("x").over(w),
+        "count": lambda w: F.nullif(F.count("x").over(w), F.lit(0)),
+    }})
+    empty = df.where("time IS NULL").selectExpr("*", *[f"CAST(NULL AS LONG) AS {c}" for c in ("low", "high", "sum", "count")])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.union(empty).collect()))
