@@ -16,7 +16,7 @@ from tickframe.streaming.recorder import Recorder
 from tickframe.streaming.relay import relay, start_relay
 from tickframe.streaming.universe import universe_changes
 from tickframe.streaming.feeds import (
-    LatestTable, current_values, drain, feed_health, file_sink, last_update, message_stream, stitch,
+    LatestTable, as_text, current_values, drain, feed_health, file_sink, last_update, message_stream, stitch,
     streaming_bars, table_stream,
 )
 
@@ -429,6 +429,25 @@ times AS (SELECT source, time, row_number() OVER (PARTITION BY source ORDER BY t
 s AS (SELECT source, k, symbol FROM seen JOIN times USING (source, time))"""
 
 
+@query(
+    "stream_text",
+    f"""WITH {tk_sql()} SELECT symbol, count(*) AS n, round(sum(price), 4) AS price, min(trade_id) AS first, max(trade_id) AS last
+FROM tk GROUP BY symbol""",
+    digits=4,
+)
+def stream_text(spark, sf):
+    """A typed stream seen as JSON text, stored, and typed again."""
+    out = scratch_path(spark, "text")
+    s = as_text(_tick_stream(spark, sf).select("symbol", "time", "price", "trade_id"))
+    drain(file_sink(s, out, f"{out}-checkpoint", every=None))
+    schema = "symbol string, time timestamp_ntz, price double, trade_id long"
+    t = spark.read.parquet(out).select(F.from_json("value", schema).alias("r")).select("r.*")
+    price = F.sum(F.col("price").cast("decimal(28, 6)")).cast("double")
+    return t.groupBy("symbol").agg(
+        F.count("time").alias("n"), price.alias("price"), F.min("trade_id").alias("first"), F.max("trade_id").alias("last")
+    )
+
+
 @query(
     "stream_universe_changes",
     f"""WITH {UNIVERSE_SQL},

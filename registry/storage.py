@@ -21,7 +21,7 @@ from tickframe.sinks.compaction import audit_files, compact, file_parts
 from tickframe.sinks.files import children, rename
 from tickframe.sinks.tables import cached_result, write_partitioned, write_table
 from tickframe.sources.books import read_book_archive
-from tickframe.sources.listing import one_pair, pairs_on_disk
+from tickframe.sources.listing import one_pair, pairs_in_folders, pairs_on_disk
 from tickframe.sources.trades import read_futures_csv, read_spot_csv, read_table
 
 FROM, TO = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
@@ -64,6 +64,17 @@ def inventory(spark, sf):
     return pairs_on_disk(spark.read.parquet(path), cached)
 
 
+@query("inventory_folders", f"WITH {tk_sql()} SELECT DISTINCT symbol, date FROM tk")
+def inventory_folders(spark, sf):
+    """From folder names; the first ten days are complete and come from the inventory."""
+    path = scratch_path(spark, "inventory")
+    t = ticks(spark, sf)
+    write_partitioned(t, path, ["date", "symbol"])
+    cached = t.where("day(date) <= 10").select("symbol", "date").distinct()
+    complete = [r[0] for r in cached.select("date").distinct().collect()]
+    return pairs_in_folders(spark, path, cached, complete)
+
+
 @query(
     "partition_validity",
     f"WITH {tk_sql()} SELECT date, (day(date) % 4 <> 0) AS ok FROM tk GROUP BY date",

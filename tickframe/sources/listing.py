@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickframe.functions.text import date_in
+from tickframe.sinks.files import children
 
 # Fixed pattern: "<symbol>-trades-<date>.zip" at the end of a key.
 _SYMBOL = r"([^/]+)-trades-\d{4}-\d{2}-\d{2}\.zip$"
@@ -37,8 +39,8 @@ def universe_between(
 def pairs_on_disk(table: DataFrame, cached: DataFrame | None = None) -> DataFrame:
     """(symbol, date) pairs of a partitioned table, added to a cached inventory.
 
-    Only the two partition columns are read, and dates that the inventory already holds for a
-    symbol are dropped before the union.
+    Only the two columns are read, of all files; pairs that the inventory already holds are dropped
+    before the union. Where symbols have folders, ``pairs_in_folders`` reads nothing.
     """
     found = table.select("symbol", "date").distinct()
     if cached is None:
@@ -47,6 +49,31 @@ def pairs_on_disk(table: DataFrame, cached: DataFrame | None = None) -> DataFram
     return cached.select("symbol", "date").unionByName(new)
 
 
+def pairs_in_folders(
+    spark: SparkSession, path: str, cached: DataFrame | None = None, complete: Collection[date] = (),
+) -> DataFrame:
+    """(symbol, date) pairs of a table in folders ``date=.../symbol=...``, from the names of its files alone.
+
+    Folders of dates are listed first; those in ``complete`` are not looked into: their pairs come
+    from ``cached``. The others are listed by Spark, many of them in parallel, and no file is opened.
+    A pair without files is absent; a null symbol's folder gives a null.
+    """
+    found = {n: date.fromisoformat(n[5:]) for n in children(spark, path) if n.startswith("date=") and n[5:6].isdigit()}
+    todo = [f"{path}/{n}" for n, d in sorted(found.items()) if d not in set(complete)]
+    if todo:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(todo).select("path")
+        name = F.regexp_extract("path", r"/symbol=([^/]+)/[^/]+$", 1)
+        day = F.regexp_extract("path", r"/date=([^/]+)/symbol=", 1).cast("date")
+        # partition names escape some characters as %XX; a plus sign is itself
+        symbol = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+        pairs = files.select(F.when(name != "__HIVE_DEFAULT_PARTITION__", symbol).alias("symbol"), day.alias("date")).where("date IS NOT NULL").distinct()
+    else:
+        pairs = spark.createDataFrame([], "symbol string, date date")
+    if cached is None or not complete:
+        return pairs
+    return pairs.union(cached.select("symbol", "date").where(F.col("date").isin(list(complete))))
+
+
 def one_pair(table: DataFrame, universe: DataFrame, symbol: str, day: date) -> DataFrame:
     """Rows of one (symbol, date); an error when the pair is not in the universe."""
     pick = (F.col("symbol") == symbol) & (F.col("date") == F.lit(day))
