@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry.base import SCALE, bars10, table, ticks
 from tickframe.operators.bars import time_bars
-from tickframe.operators.curves import CurveStore
+from tickframe.operators.curves import CurveStore, curve_ticks, dependence_curve
 from tickframe.operators.ranks import seeded_sample
 from tickframe.operators.tables import (
     Ranges, as_columns, columns_matching, missing_pairs, strip_suffix, universe_changes, with_suffix,
@@ -19,11 +19,11 @@ from tickframe.plans.ingest import Ingest, ensure_ready, update_summary
 from tickframe.plans.research import from_day, research_dates, research_table, span_of
 from tickframe.session import scratch_path
 from tickframe.sinks.compaction import audit_files, compact, drop_files, file_parts
-from tickframe.sinks.files import children, exists
+from tickframe.sinks.files import children, exists, remove
 from tickframe.sinks.tables import cached_result, write_partitioned
 from tickframe.sources.books import read_book_archive
 from tickframe.sources.layout import LAYOUTS
-from tickframe.sources.listing import keys_to_universe, one_pair
+from tickframe.sources.listing import keys_to_universe, one_pair, pairs_in_folders
 from tickframe.sources.trades import normalise_futures, normalise_spot
 
 D = dt.date
@@ -185,6 +185,33 @@ def test_research_by_date_prunes_and_equals_one_pass(spark, days):
     assert from_day(bars, D(2024, 1, 3), "last_event_time", dt.timedelta(days=1)).where("day(date) = 1").isEmpty()
 
 
+def test_inventory_from_folders_opens_no_file_and_skips_complete_dates(spark, days):
+    path = scratch_path(spark, "folders")
+    names = F.when(F.col("symbol") == "view", F.lit("A/B+1 %")).when(F.col("symbol") != "click", F.col("symbol"))
+    t = days.withColumn("symbol", names)
+    write_partitioned(t, path, ["date", "symbol"])
+    want = {(r["symbol"], r["date"]) for r in t.select("symbol", "date").distinct().collect()}
+    pairs = lambda *a: {(r["symbol"], r["date"]) for r in pairs_in_folders(spark, path, *a).collect()}
+    assert pairs() == want and {None, "A/B+1 %"} <= {s for s, _ in want}
+    complete = [D(2024, 1, k) for k in (1, 2, 3)]
+    cached = t.select("symbol", "date").distinct().where("day(date) <= 3")
+    for d in complete:  # not looked into
+        remove(spark, f"{path}/date={d}")
+    files = [f for d in children(spark, path) if d.startswith("date=") for f in children(spark, f"{path}/{d}")]
+    assert pairs(cached, complete) == want and len(files) > 0
+    assert pairs(cached, []) == {p for p in want if p[1] not in complete}
+    for d in range(4, 7):
+        remove(spark, f"{path}/date=2024-01-0{d}")
+    assert pairs(cached, complete) == {p for p in want if p[1] in complete} and pairs() == set()
+
+
+def test_tick_labels_by_a_callback(spark):
+    df = spark.createDataFrame([(float(k), 1.0) for k in range(11)], "x double, w double")
+    curve = dependence_curve(df, "x", ["w"], "w")
+    got = curve_ticks(df, curve, "x", 3, format_fn=lambda c: F.format_string("<%.1f>", c)).orderBy("tick").collect()
+    assert [(r["prob"], r["label"]) for r in got] == [(0.0, "<0.0>"), (0.5, "<5.0>"), (1.0, "<10.0>")]
+
+
 def test_commits_of_two_writers_both_count(spark, days):
     path = scratch_path(spark, "writers")
     write_partitioned(days.where("day(date) = 6"), path)  # left there by another writer
