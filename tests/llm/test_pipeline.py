@@ -64,3 +64,13 @@ def test_stages_take_odd_rows(spark, sf, rows):
             assert sorted(r.doc_id for r in got.collect()) == [i for i in (1, 3) if i in ids]
         if name != "packing":
             assert got.columns == docs.columns
+
+
+def test_filtering_stages_take_any_column_names(spark, sf):
+    names = "doc_id long, text string, lang string, source string, `n.chars` long, _metadata int, c0 int, place_row int"
+    docs = spark.createDataFrame([(1, "mail a@b.co", "en", "s", 1, 2, 3, 4), (2, None, None, None, None, None, None, None)], names)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stored(stage(spark, docs, sf), name)
+        assert got.columns == docs.columns and {r.doc_id for r in got.collect()} <= {1, 2}
+        if name == "private_data":
+            assert {r.text for r in got.collect()} == {"mail <EMAIL>", None}

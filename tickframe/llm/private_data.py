@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickframe.llm.number_runs import NumberRun
-from tickframe.llm.rows import id_and_text, map_texts
+from tickframe.llm.rows import id_and_text, map_rows, map_texts
 from tickframe.llm.trees import BoostedTrees, fit_trees
 from tickframe.llm.workers import tidy
 
@@ -420,7 +420,7 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with every column, the text redacted; null texts stay null."""
+    """``docs`` with every column and row, the text redacted; null texts stay null, no rows give none."""
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -430,4 +430,4 @@ def redact(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFra
             columns[at] = pa.array(texts, b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    return map_rows(docs, run)

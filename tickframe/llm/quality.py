@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tickframe.llm.rows import id_and_text, map_texts
+from tickframe.llm.rows import id_and_text, map_rows, map_texts
 from tickframe.llm.workers import tidy
 
 SAMPLE = 20_000  # labelled rows the model is fitted on, at most
@@ -240,7 +240,10 @@ def quality_scores(
 
 
 def keep_good(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, without the rows that score below ``threshold``."""
+    """``docs``, all columns, without the rows that score below ``threshold``.
+
+    Repeated rows share their score; null and empty texts are scored too; no rows give none.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -248,4 +251,4 @@ def keep_good(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3, tex
             good = model.score(feature_rows(b.column(at).to_pylist())) >= threshold
             yield b.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    return map_rows(docs, run)

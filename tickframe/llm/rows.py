@@ -98,8 +98,6 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     chunks = dropped.select("place_file", "place_row", F.expr(f"place_row DIV {PLACE_ROWS}").alias("chunk"))
     chunks.groupBy("place_file", "chunk").applyInArrow(mark, "rows long").agg(F.sum("rows")).collect()
 
-    docs_names = docs.columns
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, bits = None, None
         for b in batches:
@@ -118,11 +116,22 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
                     row = rows[mine] % PLACE_ROWS
                     keep[mine] = bits[row >> 3] >> (row & 7).astype(np.uint8) & 1 == 0
             left = b if keep.all() else b.filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays(left.columns[:-2], names=docs_names)
+            yield pa.RecordBatch.from_arrays(left.columns[:-2], names=left.schema.names[:-2])
+
+    return map_rows(docs.select("*", *place(docs).values()), run, docs.schema)
+
+
+def map_rows(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | None = None) -> DataFrame:
+    """``docs``, batch by batch, as ``run`` leaves it: columns by position, whatever their names are."""
+    schema = schema or docs.schema
+    names = schema.names
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in run(batches):
+            yield pa.RecordBatch.from_arrays(b.columns, names=names)
 
-    with_place = docs.select("*", *place(docs).values())
-    plain = with_place.toDF(*[f"c{k}" for k in range(len(with_place.columns))])  # whatever the names are
-    return plain.mapInArrow(tidy(run), docs.schema)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(tidy(named, f"{run.__module__}.{run.__qualname__}"), schema)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
