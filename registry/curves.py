@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import LOT_ID, query, table
-from tickframe.operators.curves import category_bars, curve_ticks, dependence_curve
+from tickframe.operators.curves import CurveStore, category_bars, curve_ticks, dependence_curve
+from tickframe.session import scratch_path
 
 TIE = "((CAST(l_orderkey AS HUGEINT) * 10 + l_linenumber) * 10000000 + l_partkey) * 10000000 + l_suppkey"
 CURVE_SQL = f"""c AS (
@@ -57,3 +58,24 @@ def ticks_of_curve(spark, sf):
 )
 def curve_categorical(spark, sf):
     return category_bars(table(spark, sf, "lineitem"), "l_returnflag", ["l_discount"], "l_quantity")
+
+
+@query(
+    "curve_expressions",
+    """WITH b AS (SELECT floor(l_extendedprice / 1000) AS price_class, sum(l_quantity) AS w,
+  sum(round(l_discount * l_quantity, 4)) AS cost, sum(l_tax) AS l_tax FROM lineitem GROUP BY 1)
+SELECT price_class, round(sum(w) OVER o / sum(w) OVER (), 6) AS weight_norm,
+  round(sum(cost) OVER o, 4) AS cost_cumsum, round(sum(l_tax) OVER o, 4) AS l_tax_cumsum
+FROM b WINDOW o AS (ORDER BY price_class ROWS UNBOUNDED PRECEDING)""",
+    digits=None,
+)
+def curve_expressions(spark, sf):
+    """Features and sums given as expressions, names or a mix; the curve at the end of each class."""
+    store = CurveStore.create(
+        table(spark, sf, "lineitem"), scratch_path(spark, "expressions"),
+        [F.round(F.col("l_discount") * F.col("l_quantity"), 4).alias("cost"), "l_tax"],
+        F.floor(F.col("l_extendedprice") / 1000).cast("double").alias("price_class"), "l_quantity",
+    )
+    curve, _ = store.curves()["price_class"]
+    at_end = curve.groupBy("price_class").agg(*[F.max(c).alias(c) for c in ("weight_norm", "cost_cumsum", "l_tax_cumsum")])
+    return at_end.select("price_class", *[F.round(c, n).alias(c) for c, n in (("weight_norm", 6), ("cost_cumsum", 4), ("l_tax_cumsum", 4))])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import asdict, dataclass, field
 from typing import Callable, Sequence
@@ -14,6 +15,7 @@ from tickframe.operators.scans import running_sums
 from tickframe.operators.splits import measure_splits
 from tickframe.operators.tables import Ranges, as_columns
 from tickframe.sinks.files import exists, read_text, remove, write_text
+from tickframe.sinks.tables import write_table
 
 
 def _numeric(df: DataFrame, name: str) -> Column:
@@ -72,6 +74,7 @@ def curve_ticks(
     order = F.struct("weight_norm", F.col(tie)) if tie else F.col("weight_norm")
     hits = (
         curve.withColumn("__x", _numeric(curve, feature).cast("double"))
+        .where(F.col("__x").isin([v for v in values if v is not None]))  # reaches a stored curve's row groups
         .join(F.broadcast(want), F.col("__x") == F.col("value"))
         .groupBy("tick", "prob")
         .agg(F.min_by(first, order).alias("r"))
@@ -166,10 +169,23 @@ class CurveStore:
         return self.ranges.apply(self.data())
 
     def curves(self, tie: str | None = None) -> dict[str, tuple[DataFrame, DataFrame]]:
-        """Per feature: (curve, ticks) over the filtered selection."""
-        d, o = self.filtered(), self.options
-        out = {}
+        """Per feature: (curve, ticks) over the filtered selection.
+
+        A curve is written once, in the order of its feature, and is there for as long as the
+        ranges stay; the selection is scanned once per feature, and ticks read only the row groups
+        of the curve that hold their values.
+        """
+        o, out = self.options, {}
+        version = hashlib.sha256(json.dumps([sorted(o.ranges.items()), tie], default=str).encode()).hexdigest()[:16]
         for f in o.features:
-            c = dependence_curve(d, f, o.accum, o.weight, tie)
-            out[f] = (c, curve_ticks(d, c, f, o.n_ticks, tie))
+            path = f"{self.path}/curves/{version}/{hashlib.sha256(f.encode()).hexdigest()[:16]}"
+            if not exists(self.spark, f"{path}/_SUCCESS"):
+                made = dependence_curve(self.filtered(), f, o.accum, o.weight, tie)
+                write_table(made.sortWithinPartitions(f), path)
+            c = self.spark.read.parquet(path)
+            out[f] = (c, curve_ticks(c, c, f, o.n_ticks, tie))
         return out
+
+    def drop_curves(self) -> None:
+        """Remove the written curves; whoever reads them must be done."""
+        remove(self.spark, f"{self.path}/curves")
