@@ -1,7 +1,10 @@
 import datetime as dt
 import json
+import math
 from datetime import timedelta
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from tickframe.streaming.feeds import (
     routed_sink, stitch, streaming_bars, symbol_filter, table_stream,
 )
 from tickframe.streaming.recorder import Recorder, unrouted
-from tickframe.streaming.relay import PROVIDER, relay, start_relay
+from tickframe.streaming.relay import EMITTED, PROVIDER, Relay, deal, emitted, relay, start_relay
 from tickframe.streaming.universe import universe_changes
 
 M10 = timedelta(minutes=10)
@@ -117,6 +120,67 @@ def test_relay_switches_in_mid_stream(spark, parts):
         relay({1: feeds["v1"].withColumn("version", F.lit(1))}, feeds["c"], ["id"], "time", "1 hour")
 
 
+class Listed(list):
+    """The list state of one key."""
+
+    get, appendList = list.__iter__, list.extend
+
+    def put(self, values):
+        self[:] = values
+
+
+def test_relay_sets_its_rows_free_in_packs():
+    """All rows of a timer at once were one list of rows in the worker; now no frame holds more than a pack."""
+    n, day = 3 * EMITTED, 86_400_000_000
+    us = [(k * 7919) % n * 1000 for k in range(n)] + [day + 5]
+    rows = pa.table({
+        "id": pa.array(range(2**60, 2**60 + n + 1)), "__key": ["a"] * (n + 1), "__part": pa.array([0] * (n + 1), pa.int32()),
+        "__ts": pa.array(us, pa.timestamp("us", "UTC")), "__us": us, "__version": pa.array([1] * (n + 1), pa.int32()),
+    })
+    states, timers = {}, []
+    handle = SimpleNamespace(getListState=lambda name, _: states.setdefault(name, Listed()), registerTimer=timers.append)
+    at = lambda mark: SimpleNamespace(getCurrentWatermarkInMs=lambda: mark // 1000)
+    r = Relay(["id"])
+    r.init(handle)
+    frames = [b.to_pandas() for b in deal(iter(rows.to_batches(7000)), ["id"])]
+    assert frames and all(len(f) == 1 for f in frames)
+    control = frames[0].assign(us=0, rows=None)
+    assert list(r.handleInputRows(("a", 0), iter([*frames, *frames, control]), at(0))) == [] and timers == [1]
+    got = list(r.handleExpiredTimer(("a", 0), at(day), None))
+    assert [len(f) for f in got] == [1] * 3
+    out = pa.Table.from_batches(emitted(pa.RecordBatch.from_pandas(f) for f in got))
+    assert max(b.num_rows for b in out.to_batches()) <= EMITTED
+    first = dict(zip(us, range(2**60, 2**60 + n + 1)))
+    assert out["id"].to_pylist() == [first[k * 1000] for k in range(n)] and out["version"].type == pa.int32()
+    assert {p[0] for p in states["packs"]} == {day + 5} and timers[-1] == day // 1000 + 1  # the later row waits on
+    assert list(r.handleExpiredTimer(("a", 0), at(day), None)) == []
+    late = frames[0].assign(us=7)
+    assert list(r.handleInputRows(("a", 0), iter([late]), at(2 * day))) == []
+    assert [len(f) for f in r.handleExpiredTimer(("a", 0), at(2 * day), None)] == [1] and not states["packs"]
+
+
+def test_relay_keeps_values_as_they_are(spark):
+    """Nulls, NaN, long numbers, early times and nested values; a switch to no version."""
+    schema = "symbol string, time timestamp_ntz, id long, value double, seen timestamp_ntz, part array<int>, us struct<a:string,b:long>"
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    rows = [
+        ("a", at(0), 2**62 + 1, 1.5, dt.datetime(1600, 1, 1, 0, 0, 0, 1), [1, None], ("x", 2**61 + 1)), ("a", at(1), None, None, None, None, None),
+        ("a", at(2), 7, float("nan"), at(2), [], (None, None)), ("a", at(3), 8, 2.0, at(3), [3], None), (None, at(1), 9, 1.0, at(1), [], None),
+    ]
+    root = scratch_path(spark, "kept")
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/v")
+    switches = [("a", at(0), 1), ("a", at(3), None), ("a", at(4), 1), ("x", at(900), 1)]
+    spark.createDataFrame(switches, "symbol string, time timestamp_ntz, version int").coalesce(1).write.parquet(f"{root}/c")
+    feeds = [table_stream(spark, f"{root}/{n}", spark.read.parquet(f"{root}/{n}").schema) for n in "vc"]
+    out = scratch_path(spark, "relayed")
+    s = relay({1: feeds[0]}, feeds[1], ["id"], "time", "30 minutes")
+    assert s.schema == spark.createDataFrame([], f"{schema}, version int").schema
+    drain(start_relay(spark, lambda: file_sink(s, out, out + "-c", every=None)))
+    got = sorted((tuple(r) for r in spark.read.parquet(out).collect()), key=lambda r: r[1])
+    assert [r[:3] for r in got] == [r[:3] for r in rows[:3]] and [r[4:] for r in got] == [(*r[4:], 1) for r in rows[:3]]
+    assert got[0][3] == 1.5 and got[1][3] is None and math.isnan(got[2][3])
+
+
 def test_stitch_takes_active_versions_once(spark, sf, day_files):
     path, t = day_files
     src = lambda: table_stream(spark, path, t.schema).select("symbol", "time", "trade_id")
