@@ -379,8 +379,8 @@ SELECT symbol, received_time, time, is_bid, CAST(d AS SMALLINT) AS depth,
 FROM b WHERE epoch_us(received_time) % 20 <> 0""",
 )
 def book_archive(spark, sf):
-    """Archive lines in gzip text files per symbol; about one line in twenty has a
-    wrong version."""
+    """Archive lines in gzip text files per hour and symbol, as the archive has them, several hours
+    to a file; about one line in twenty has a wrong version."""
     parts, folder = scratch_path(spark, "book-parts"), scratch_path(spark, "books")
     raw = F.from_json("value", "channel string, data struct<coin:string,time:bigint,"
                       "levels:array<array<struct<px:string,sz:string,n:bigint>>>>")
@@ -390,7 +390,8 @@ def book_archive(spark, sf):
         F.date_format("received_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
         F.when(wrong, 2).otherwise(1).alias("ver_num"), "raw",
     ))
-    m.select(line.alias("value"), F.col("raw.data.coin").alias("s")).repartition("s").write.partitionBy(
+    hour = F.date_trunc("hour", "received_time").alias("hour")
+    m.select(line.alias("value"), F.col("raw.data.coin").alias("s"), hour).repartition("s", "hour").drop("hour").write.partitionBy(
         "s"
     ).option("compression", "gzip").text(parts)
     _mkdir(spark, folder)

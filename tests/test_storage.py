@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from registry import QUERIES
 from registry.base import SCALE, bars10, table, ticks
 from tickframe.operators.bars import time_bars
 from tickframe.operators.curves import CurveStore, curve_ticks, dependence_curve
@@ -382,6 +383,25 @@ def test_book_archive(spark, tmp_path):
     assert bad.count() == 5 and {r["symbol"] for r in bad.collect()} == {"BTC"}
 
 
+def test_book_archive_parses_each_line_once(spark, tmp_path):
+    """Not once per condition, and the running sizes not a second time for the filter before their explosion."""
+    (tmp_path / "BTC.txt").write_text("{}")
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in read_book_archive(spark, str(tmp_path))]
+    assert [p.count("from_json(") for p in plans] == [1, 1] and plans[0].count("aggregate(transform(") == 1
+
+
+def test_book_archive_splits_symbols(spark, sf):
+    """A symbol's lines are not one task's and one file's."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        files = QUERIES["book_archive"](spark, sf).inputFiles()
+    finally:
+        spark.conf.unset(name)
+    symbols = [f.rsplit("/", 1)[1].split(".")[0] for f in files]
+    assert len(set(symbols)) == 5 and min(symbols.count(x) for x in symbols) > 1
+
+
 def test_curve_store(spark, sf):
     d = table(spark, sf, "orders").select("o_totalprice", "o_custkey", "o_orderkey", "o_orderdate")
     path = scratch_path(spark, "store")

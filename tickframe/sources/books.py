@@ -18,7 +18,8 @@ def read_book_archive(spark: SparkSession, path: str | list[str]) -> tuple[DataF
         F.trim("value").alias("line"),
         F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1).alias("symbol"),
     ).where("line <> ''")
-    r = lines.withColumn("r", F.from_json("line", BOOK_ARCHIVE_JSON))
+    # As a generator's output: each line is parsed once, not once per condition and use.
+    r = lines.select("*", F.explode(F.array(F.from_json("line", BOOK_ARCHIVE_JSON))).alias("r"))
     ok = F.coalesce(
         (F.col("r.ver_num") == 1) & (F.col("r.raw.channel") == "l2Book")
         & (F.col("r.raw.data.coin") == F.col("symbol"))

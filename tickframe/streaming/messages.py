@@ -125,10 +125,9 @@ def flat_levels(df: DataFrame) -> DataFrame:
     running = F.aggregate(
         sizes, F.array(F.lit(0.0)), lambda sums, x: F.array_append(sums, F.element_at(sums, -1) + x)
     )
-    s = sides.withColumn("levels", F.arrays_zip(F.col("side"), F.slice(running, 2, 1 << 30).alias("csize")))
-    s = s.select("*", F.posexplode("levels").alias("depth", "pair")).withColumns(
-        {"level": F.col("pair.side"), "csize": F.col("pair.csize")}
-    )
+    # Exploding the side itself: Spark also evaluates what it explodes in a filter before.
+    s = sides.withColumn("running", running).select("*", F.posexplode("side").alias("depth", "level"))
+    s = s.withColumn("csize", F.col("running")[F.col("depth") + 1])
     return s.select(
         "symbol", "received_time", "time", (F.col("side_no") == 0).alias("is_bid"),
         F.col("depth").cast("smallint").alias("depth"),
