@@ -20,6 +20,7 @@ from tickframe.llm.private_data import (
 )
 from tickframe.llm.quality import fit_additive, fit_quality, keep_good, quality_scores
 from tickframe.llm.rows import held_out, may_learn, prepare_texts
+from tickframe.llm.spans import text_batches
 
 DOCS = "doc_id long, text string, lang string, label int, row_id long, score string"
 
@@ -142,6 +143,35 @@ def test_language_model_without_training_rows(spark):
     assert got == [(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)]
 
 
+def test_shards_are_asked_once_for_many_texts(spark, monkeypatch):
+    """Every look-up in a shard has a fixed cost, and their number grows with (texts times shards)."""
+    asked = Counter()
+    of = language_model.Level.file
+    monkeypatch.setattr(language_model.Level, "file", lambda self, k: asked.update([(self.name, k)]) or of(self, k))
+    texts = ["the of the rare%d of a " % k * 200 for k in range(1500)]  # 6 million characters
+    model = fit_language_model(docs_of(spark, list(enumerate(texts[:300]))))
+    rows = [model.score(part) for _, part in text_batches(texts, language_model.BATCH_CHARS)]
+    assert {name for name, _ in asked} == {"pairs", "triples"} and set(asked.values()) == {1}
+    got = [np.concatenate(x) for x in zip(*rows)]
+    alone = [np.concatenate(x) for x in zip(*(model.score([t]) for t in texts[::100]))]
+    assert all(x[::100].tolist() == pytest.approx(y.tolist()) for x, y in zip(got, alone))
+
+
+def test_the_text_gives_the_number_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "LEAST_SHARDS", 2)
+    monkeypatch.setattr(language_model, "SHARD_CHARS", 100)
+    rows = [(k, "word%d and so on " % k) for k in range(10)]  # of 16 characters
+    assert len(fit_language_model(docs_of(spark, rows * 3)).words.starts) == 5  # not the next power of two
+
+
+def test_tokens_do_not_depend_on_what_is_hashed_together(monkeypatch):
+    texts = ["", "The end", "a" * 50, " ", "the\tEnd a", "x"]
+    whole = language_model.token_hashes(texts)
+    monkeypatch.setattr(language_model, "HASHED_CHARS", 8, raising=False)
+    assert [x.tolist() for x in language_model.token_hashes(texts)] == [x.tolist() for x in whole]
+    assert [len(x) for x in language_model.token_hashes([])] == [0, 0]
+
+
 # personal data --------------------------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")

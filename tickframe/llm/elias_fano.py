@@ -124,25 +124,22 @@ class EliasFano:
             return out, same
         bucket = x >> self.width
         last = self.length - self.n - 1  # of the buckets
-        rows = np.flatnonzero(bucket <= last)
+        rows = np.flatnonzero(bucket <= last) if len(x) and bucket.max() > last else slice(None)
         bucket = bucket[rows]
-        first, end = np.zeros(len(rows), np.int64), np.empty(len(rows), np.int64)
-        later = bucket > 0
-        before, after = self._select_both(bucket[later] - 1, False)
-        first[later], end[later] = before - (bucket[later] - 1), after - bucket[later]
-        end[~later] = self._select(bucket[~later], False)
-        wanted = x[rows] & ((1 << self.width) - 1)
-        over = end
+        before, after = self._select_both(np.maximum(bucket - 1, 0), False)
+        first = np.where(bucket > 0, before - bucket + 1, 0)
+        end = np.where(bucket > 0, after - bucket, before)
+        hit = np.zeros(len(first), bool)
         open_ = np.flatnonzero(first < end)
-        low, top, sought = first[open_], end[open_], wanted[open_]
+        low, top, sought = first[open_], end[open_], (x[rows] & ((1 << self.width) - 1))[open_]
         while len(open_):  # binary search in every bucket at once
             middle = (low + top) >> 1
-            less = _unpack(self.low, self.width, middle).astype(np.int64) < sought
+            value = _unpack(self.low, self.width, middle).astype(np.int64)
+            hit[open_[value == sought]] = True  # the place found is looked at before the search ends there
+            less = value < sought
             low, top = np.where(less, middle + 1, low), np.where(less, top, middle)
-            more = low < top
             first[open_] = low
+            more = np.flatnonzero(low < top)
             open_, low, top, sought = open_[more], low[more], top[more], sought[more]
-        out[rows] = first
-        inside = np.flatnonzero(first < over)
-        same[rows[inside]] = _unpack(self.low, self.width, first[inside]).astype(np.int64) == wanted[inside]
+        out[rows], same[rows] = first, hit
         return out, same

@@ -30,7 +30,7 @@ from tickframe.llm.spans import text_batches, word_hashes
 from tickframe.llm.workers import tidy
 from tickframe.session import scratch_path
 
-SHARD_CHARS = 16_000_000  # text per shard
+SHARD_CHARS = 32_000_000  # text per shard
 LEAST_SHARDS, MOST_SHARDS = 16, 1 << 20
 HOT_PARTS = 4  # a context with more than 1 / (HOT_PARTS * shards) of all tokens is split off
 RUN_ENTRIES = 1 << 20
@@ -40,12 +40,14 @@ DISCOUNT = 0.75
 STEP = 1 / 7000  # of the logarithm of a stored probability
 PROBABILITIES = 10.0 ** (-STEP * np.arange(1 << 16))  # by code
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # stands for the end of a text among the word hashes
-BATCH_CHARS = 3 << 20
+BATCH_CHARS = 16 << 20  # of text that are looked up together: every shard is asked once for them
+HASHED_CHARS = 1 << 18  # at once: their arrays fit a processor's cache
 
 
 def token_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens (the words, then one end) of all texts, and tokens per text."""
-    words, counts = word_hashes(texts)
+    parts = [word_hashes(part) for _, part in text_batches(texts, HASHED_CHARS)] or [word_hashes([])]
+    words, counts = (np.concatenate(x) for x in zip(*parts))
     tokens = np.full(len(words) + len(texts), END, np.uint64)
     ends = np.cumsum(counts + 1) - 1
     is_word = np.ones(len(tokens), bool)
@@ -55,6 +57,7 @@ def token_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.ones(len(keys), bool)
@@ -82,8 +85,12 @@ class Run:
         self.parts.append((keys, counts))
         self.size += len(keys)
         if self.size > 2 * RUN_ENTRIES:
+            self._merge()
+
+    def _merge(self):
+        if len(self.parts) > 1:  # a single one is sorted and summed
             self.parts = [summed(*(np.concatenate(x) for x in zip(*self.parts)))]
-            self.size = len(self.parts[0][0])
+        self.size = len(self.parts[0][0])
 
     def full(self) -> bool:
         return len(self.parts) == 1 and self.size > RUN_ENTRIES
@@ -91,8 +98,8 @@ class Run:
     def pieces(self):
         if not self.parts:
             return
-        keys, counts = summed(*(np.concatenate(x) for x in zip(*self.parts)))
-        self.parts, self.size = [], 0
+        self._merge()
+        [(keys, counts)], self.parts, self.size = self.parts, [], 0
         cut = np.append(np.searchsorted(keys, self.starts), len(keys))
         used = np.flatnonzero(cut[1:] > cut[:-1])
         yield pa.RecordBatch.from_arrays([
@@ -228,7 +235,8 @@ class Level:
         cut = np.append(np.searchsorted(keys, self.starts), len(keys))
         for s in np.flatnonzero(cut[1:] > cut[:-1]):
             part = slice(cut[s], cut[s + 1])
-            found[part], left[part], place = self.file(int(s)).look_up(keys[part] // self.width, keys[part] % self.width)
+            context = keys[part] // self.width
+            found[part], left[part], place = self.file(int(s)).look_up(context, keys[part] - context * self.width)
             numbers[part] = np.where(place >= 0, place + self.bases[s], -1)
         for c, mass in self.left.items():
             a, b = np.searchsorted(keys, [c * self.width, (c + 1) * self.width])
@@ -396,9 +404,13 @@ class LanguageModel:
     def score(self, texts: list) -> list[np.ndarray]:
         """Tokens, known tokens, base score and score of every text."""
         numbers, counts, lengths = self.words.numbered(texts)
-        before = contexts(numbers, lengths)
+        of = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+        add = lambda x: np.bincount(of, x, len(texts))
         size = self.words.tokens + int(self.words.bases[-1]) + 1
         single = (counts + 1) / size
+        out = [lengths, add(counts > 0).astype(np.int64), add(np.log10(single))]
+        del counts  # arrays of all tokens are large
+        before = contexts(numbers, lengths)
         p, pair = single.copy(), np.full(len(numbers), -1, np.int64)
         # A word the model does not know still takes what its context leaves to the level below.
         word = np.where(numbers >= 0, numbers, self.pairs.width - 1)
@@ -406,13 +418,12 @@ class LanguageModel:
         if len(rows):
             found, left, pair[rows] = self.pairs.look_up_all(before[rows], word[rows])
             p[rows] = found + left * single[rows]
+        del before, single
         rows = with_pair(pair, lengths)
         if self.triples and len(rows):
             found, left, _ = self.triples.look_up_all(pair[rows - 1], word[rows])
             p[rows] = found + left * p[rows]
-        of = np.repeat(np.arange(len(texts)), lengths)
-        add = lambda x: np.bincount(of, x, len(texts))
-        return [lengths, add(counts > 0).astype(np.int64), add(np.log10(single)), add(np.log10(p))]
+        return [*out, add(np.log10(p))]
 
 
 def fit_language_model(
@@ -429,9 +440,7 @@ def fit_language_model(
     usable = docs if learn is None else docs.where(learn)
     texts = id_and_text(usable, id_col, text_col).select("row_text")
     chars = texts.agg(F.sum(F.length("row_text"))).first()[0] or 0
-    shards = LEAST_SHARDS
-    while shards * SHARD_CHARS < chars and shards < MOST_SHARDS:
-        shards *= 2
+    shards = min(max(LEAST_SHARDS, -(-chars // SHARD_CHARS)), MOST_SHARDS)
     words = fit_words(texts, scratch_path(docs.sparkSession, "ngrams"), shards)
     pairs = fit_level(texts, words, words, least_count)
     return LanguageModel(words, pairs, fit_level(texts, words, pairs, least_count) if order > 2 else None)
