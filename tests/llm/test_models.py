@@ -267,6 +267,59 @@ def test_private_spans_keep_the_base_and_add(spark, tables):
     assert private_spans(docs_of(spark, []), model).count() == 0
 
 
+def test_patterns_search_only_numeric_parts():
+    rng = random.Random(8)
+    patterns = [private_data.IP, private_data.CARD, private_data.PHONE, private_data.NUMBER]
+    for k in range(20_000):
+        letters = ["0123456789 .-/()+", "01a. +(", "+1() 23-x@", "12/-.9 é("][k % 4]
+        t = "".join(rng.choice(letters) for _ in range(rng.randrange(40)))
+        parts = private_data.numeric_parts(t)
+        for p in patterns:
+            assert [m.span() for m in private_data.matches(p, t, parts)] == [m.span() for m in p.finditer(t)]
+
+
+def test_texts_left_out_hold_nothing():
+    rng = random.Random(9)
+    for k in range(20_000):
+        letters = ["ab(at)[AT]. ", "a@.b ", "12 .", "ab {at} .c"][k % 4]
+        t = "".join(rng.choice(letters) for _ in range(rng.randrange(30)))
+        if not re.search(private_data.MAY_HOLD, t):
+            assert not base_spans(t) and not private_data.proposed(t)
+    assert private_data.proposed("joe [at] example [dot] com") and re.search(private_data.MAY_HOLD, "joe [at] example [dot] com")
+
+
+def test_the_texts_are_read_once(spark, tables):
+    """Sampling, training, thresholds and spans; before, each pattern and step read all texts again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = tables[0].select("doc_id", "text").mapInArrow(counted, "doc_id long, text string")
+    rows = tables[0].count()
+    fit_private(docs)
+    assert read.value == rows
+    private_data.fitted_spans(docs).collect()
+    assert read.value == 2 * rows
+
+
+def test_spans_of_one_reading_equal_those_of_the_model(spark, tables):
+    rng = random.Random(4)
+    odd = [*ODD, (8, "1 2 3 " * 90 + "4111 1111 1111 1111"), (9, "joe (at) x.com or joe [at] x [dot] org"), (9, "call (499) 555-6503, 4111.1111.1111.1111")]
+    odd += [(100 + k, "".join(rng.choice("0123456789 .-/()+@a") for _ in range(rng.randrange(600)))) for k in range(60)]
+    docs = tables[0].select("doc_id", "text").union(docs_of(spark, odd).select("doc_id", "text"))
+    got = private_data.fitted_spans(docs)
+    want = private_spans(docs, fit_private(docs))
+    assert got.schema == want.schema
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    added = [r for r in got.collect() if r.spans.count(":") // 2 > r.n_email + r.n_ip + r.n_card + r.n_phone]
+    assert added  # some are found beyond the base spans
+    nothing = private_data.fitted_spans(docs_of(spark, []))
+    assert nothing.collect() == [] and nothing.columns == want.columns
+
+
 def test_no_texts_with_data_add_nothing(spark):
     model = fit_private(docs_of(spark, [(1, "plain words"), (2, None)]))
     assert all_spans("(499) 555-6503", model) == ([], [])

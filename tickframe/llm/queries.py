@@ -17,7 +17,7 @@ from tickframe.llm.language import fit_language, languages
 from tickframe.llm.language_model import fit_language_model, model_scores
 from tickframe.llm.packing import pack_documents
 from tickframe.llm.piece_coding import coding_digests
-from tickframe.llm.private_data import fit_private, private_spans
+from tickframe.llm.private_data import fitted_spans
 from tickframe.llm.quality import fit_quality, quality_scores
 from tickframe.llm.rows import held_out, may_learn, prepare_texts
 from tickframe.llm.spelling import spelling_variants
@@ -90,8 +90,7 @@ def op3_language(spark, sf_dir):
 
 @query("op8_private_data")
 def op8_private_data(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    return private_spans(docs, fit_private(docs))
+    return fitted_spans(documents(spark, sf_dir))
 
 
 @query("op6_embedding_dedup")
